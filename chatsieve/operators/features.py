@@ -49,6 +49,7 @@ def terms_sql(analyzer: str, ngram: tuple[int, int], text: str) -> str:
     """SQL for the array of terms of a text, so that the step can be saved with the
     pipeline and runs as native expressions."""
     lo, hi = ngram
+    text = f"coalesce({text}, '')"
     if analyzer == "word":
         base = f"regexp_extract_all(lower({text}), r'{TOKEN_PATTERN}', 0)"
         parts = [

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import itertools
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -20,11 +21,16 @@ from chatsieve.operators.evaluate import confusion_columns, score_columns
 from chatsieve.operators.features import fit_features, idf_of, vocabulary_of
 from chatsieve.operators.sampling import stratified_folds
 
+# When the optimiser stops, and how many rows make a partition worth a task.
+TOLERANCE = 1e-4
+ROWS_PER_PARTITION = 20_000
 # Ten values of C spaced evenly in the logarithm between 1e-4 and 1e4.
 C_GRID = tuple(float(c) for c in np.logspace(-4, 4, 10))
 
 
-def logistic(c: float, n_rows: int, max_iter: int = 100, family: str = "auto", label: str = "y") -> LogisticRegression:
+def logistic(
+    c: float, n_rows: int, max_iter: int = 100, family: str = "auto", label: str = "y", tol: float = TOLERANCE
+) -> LogisticRegression:
     """Logistic regression with penalty strength C on n rows: Spark divides the loss
     by the number of rows, so its parameter is 1 / (C * n)."""
     return LogisticRegression(
@@ -34,6 +40,7 @@ def logistic(c: float, n_rows: int, max_iter: int = 100, family: str = "auto", l
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
+        tol=tol,
         family=family,
     )
 
@@ -42,9 +49,19 @@ def labelled(df: DataFrame, truth: str = "toxic") -> DataFrame:
     return df.withColumn("y", F.col(truth).cast("double"))
 
 
-def prepared(df: DataFrame, features: PipelineModel, truth: str, *keep: str) -> DataFrame:
-    """Label and features only, kept in memory for the passes of a fit."""
-    return labelled(features.transform(df), truth).select("y", "features", *keep).persist()
+@contextmanager
+def prepared(df: DataFrame, features: PipelineModel, truth: str, *keep: str) -> Iterator[tuple[DataFrame, int]]:
+    """Label and features only, kept for the passes of a fit, and their number.
+
+    An optimiser runs one job per step, so a small training set is drawn together
+    into few partitions; a large one stays as it is.
+    """
+    wide = labelled(features.transform(df), truth).select("y", "features", *keep).persist()
+    try:
+        n = wide.count()
+        yield wide.coalesce(max(1, n // ROWS_PER_PARTITION)), n
+    finally:
+        wide.unpersist()
 
 
 def fit_logistic(
@@ -60,11 +77,8 @@ def fit_logistic(
 ) -> PipelineModel:
     """TF-IDF and logistic regression as one pipeline."""
     features = fit_features(df, min_df, max_df, ngram, analyzer, text=text)
-    train = prepared(df, features, truth)
-    try:
-        model = logistic(c, train.count(), max_iter).fit(train)
-    finally:
-        train.unpersist()
+    with prepared(df, features, truth) as (train, n):
+        model = logistic(c, n, max_iter).fit(train)
     return PipelineModel(stages=[*features.stages, model])
 
 
@@ -88,9 +102,7 @@ def fit_logistic_cv(
     """
     features = fit_features(df, min_df, max_df, ngram, text=text)
     folded = stratified_folds(df.select(id_col, text, truth), k, seed, truth, id_col)
-    train = prepared(folded, features, truth, "fold")
-    try:
-        n = train.count()
+    with prepared(folded, features, truth, "fold") as (train, n):
         base = logistic(1.0, n, max_iter)
         in_fold = n * (k - 1) / k
         params = ParamGridBuilder().addGrid(base.regParam, [1.0 / (c * in_fold) for c in grid]).build()
@@ -105,8 +117,6 @@ def fit_logistic_cv(
         accuracy = list(search.avgMetrics)
         best = int(np.argmax(accuracy))
         model = logistic(grid[best], n, max_iter).fit(train)
-    finally:
-        train.unpersist()
     rows = [
         (float(c), float(a), i == best, i == best and i in (0, len(grid) - 1))
         for i, (c, a) in enumerate(zip(grid, accuracy))
@@ -124,11 +134,8 @@ def fit_naive_bayes(
     truth: str = "toxic",
 ) -> PipelineModel:
     features = fit_features(df, min_df, max_df, weighted=False, text=text)
-    train = prepared(df, features, truth)
-    try:
+    with prepared(df, features, truth) as (train, _):
         model = NaiveBayes(modelType="multinomial", smoothing=alpha, labelCol="y").fit(train)
-    finally:
-        train.unpersist()
     return PipelineModel(stages=[*features.stages, model])
 
 
@@ -143,13 +150,10 @@ def fit_random_forest(
     truth: str = "toxic",
 ) -> PipelineModel:
     features = fit_features(df, min_df, max_df, text=text)
-    train = prepared(df, features, truth)
-    try:
+    with prepared(df, features, truth) as (train, _):
         model = RandomForestClassifier(
             numTrees=trees, maxDepth=depth, seed=seed, labelCol="y", featuresCol="features"
         ).fit(train)
-    finally:
-        train.unpersist()
     return PipelineModel(stages=[*features.stages, model])
 
 
@@ -164,11 +168,8 @@ def fit_multiclass(
 ) -> PipelineModel:
     """Multinomial logistic regression over the label enum."""
     features = fit_features(df, min_df, max_df, text=text)
-    train = prepared(df, features, label)
-    try:
-        model = logistic(c, train.count(), max_iter, family="multinomial").fit(train)
-    finally:
-        train.unpersist()
+    with prepared(df, features, label) as (train, n):
+        model = logistic(c, n, max_iter, family="multinomial").fit(train)
     return PipelineModel(stages=[*features.stages, model])
 
 
@@ -263,16 +264,11 @@ def grid_search(
     results = []
     for settings, members in by_features.items():
         features = fit_features(train, **dict(settings), text=text)
-        fitted, held_out = prepared(train, features, truth), prepared(test, features, truth, truth)
-        try:
-            n = fitted.count()
+        with prepared(train, features, truth) as (fitted, n), prepared(test, features, truth, truth) as (held_out, _):
             for combo in members:
                 model = logistic(combo.get("c", 1.0), n).fit(fitted)
                 scored = model.transform(held_out).withColumn("pred", F.col("prediction") == 1.0)
                 results.append((combo, toxic_scores(scored, truth)))
-        finally:
-            fitted.unpersist()
-            held_out.unpersist()
     best = max(range(len(results)), key=lambda i: (results[i][1]["f1"], -i))
     rows = []
     for i, (combo, measures) in enumerate(results):

@@ -41,13 +41,12 @@ NAMES = f"""names AS (SELECT id, CASE id % 6
   FROM (SELECT doc_id AS id, lower(regexp_extract_all(text, '[A-Za-z]+')[1]) AS a,
     lower(regexp_extract_all(text, '[A-Za-z]+')[2]) AS b, ([{quoted(WORDS)}])[doc_id % 10 + 1] AS w FROM documents))"""
 SEGMENTS = (
-    "list_concat([], flatten(list_transform(regexp_split_to_array(author, '[^a-zA-Z0-9]+'),"
-    r" lambda p: regexp_extract_all(p, '[A-Z]*[a-z]+|[A-Z]+\b|[0-9]+'))))"
+    "flatten(list_transform(regexp_split_to_array(author, '[^a-zA-Z0-9]+'),"
+    r" lambda p: regexp_extract_all(p, '[A-Z]*[a-z]+|[A-Z]+\b|[0-9]+')))"
 )
 CAPS = NAMES + (
-    f", caps AS (SELECT id, author, coalesce(list_has_any(list_transform({SEGMENTS}, lambda s: lower(s)),"
-    f" [{quoted(WORDS)}]), false) AS flagged FROM names WHERE author IS NOT NULL"
-    " UNION ALL SELECT id, author, NULL FROM names WHERE author IS NULL)"
+    f", caps AS (SELECT id, author, list_has_any(list_transform({SEGMENTS}, lambda s: lower(s)),"
+    f" [{quoted(WORDS)}]) AS flagged FROM names)"
 )
 DOC_TOKENS = f"regexp_extract_all(lower(message), '{TOKEN}')"
 
@@ -74,6 +73,12 @@ def counts(pred="flagged", truth="toxic") -> str:
     )
 
 
+def distance(term, word) -> str:
+    """Edit distance in characters. The function counts bytes, so characters outside
+    ASCII, which are in none of the words, become one byte each."""
+    return f"levenshtein(regexp_replace({term}, '[^\\x00-\\x7F]', '?', 'g'), {word})"
+
+
 def metrics_by(key: str) -> str:
     return (
         f"WITH {FLAGGED}, c AS (SELECT {key}, {counts()} FROM flagged GROUP BY {key})"
@@ -253,12 +258,12 @@ EXPECTED = {
     " SELECT v.id, match_id, round(cosine, 6) AS cosine, best.verdict FROM v LEFT JOIN best ON v.id = best.id WHERE v.id % 2 = 0",
     "fuzzy_hits": f"WITH {TEXTS}, tok AS (SELECT DISTINCT id, term FROM ({tokens_of('texts')}) WHERE length(term) >= 4),"
     f" voc AS (SELECT DISTINCT term FROM tok), w AS (SELECT unnest([{quoted(WORDS)}]) AS word),"
-    " near AS (SELECT term, word, levenshtein(term, word) AS distance FROM voc, w WHERE levenshtein(term, word) <= 1"
-    " QUALIFY row_number() OVER (PARTITION BY term ORDER BY levenshtein(term, word), word) = 1)"
+    f" near AS (SELECT term, word, {distance('term', 'word')} AS distance FROM voc, w WHERE {distance('term', 'word')} <= 1"
+    f" QUALIFY row_number() OVER (PARTITION BY term ORDER BY {distance('term', 'word')}, word) = 1)"
     " SELECT id, term, word, distance::INTEGER AS distance FROM tok JOIN near USING (term)",
     "fuzzy_flag": f"WITH {TEXTS}, tok AS (SELECT DISTINCT id, term FROM ({tokens_of('texts')}) WHERE length(term) >= 4),"
     f" voc AS (SELECT DISTINCT term FROM tok), w AS (SELECT unnest([{quoted(WORDS)}]) AS word),"
-    " near AS (SELECT DISTINCT term FROM voc, w WHERE levenshtein(term, word) <= 2)"
+    f" near AS (SELECT DISTINCT term FROM voc, w WHERE {distance('term', 'word')} <= 2)"
     " SELECT id, id IN (SELECT id FROM tok WHERE term IN (SELECT term FROM near)) AS flagged FROM texts",
     "label_stats": f"WITH {MSGS}, c AS (SELECT label, count(*) AS n FROM msgs GROUP BY label), t AS (SELECT count(*) AS total,"
     " count(*) FILTER (toxic) AS bad FROM msgs), names AS (SELECT unnest([0, 1, 2, 3, 4, 5]) AS label, unnest(['NON_TOXIC',"
