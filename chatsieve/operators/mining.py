@@ -45,30 +45,33 @@ def greedy_rules(
     """Choose up to k words, each the one that adds most accuracy to those before it.
 
     A word gains one for every toxic and loses one for every clean text it newly
-    flags. Every step is one grouping of (term, +-1) with map-side sums, from which
-    one row, the winner, reaches the driver. Texts already flagged are told by
-    their own token arrays, so there is no join and no growing lineage.
+    flags. The gains of all words are summed once. A later step only sums the texts
+    flagged so far, told by their own token arrays, and takes that off. One row per
+    step, the winner, reaches the driver; no lineage grows from step to step.
     """
     base = df.select(
         F.array_distinct(token_array(F.col(text))).alias("terms"),
         F.when(F.col(truth), 1).otherwise(-1).alias("worth"),
     ).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def summed(rows: DataFrame, texts: str, gain: str) -> DataFrame:
+        pairs = rows.select("worth", F.explode("terms").alias("term"))
+        return pairs.groupBy("term").agg(F.count("*").alias(texts), F.sum("worth").alias(gain))
+
+    every = summed(base, "df", "all_gain").filter(F.col("df") >= min_df).persist(StorageLevel.MEMORY_AND_DISK)
     chosen: list[tuple] = []
     try:
         for step in range(1, k + 1):
-            words = [row[1] for row in chosen]
-            is_new = F.lit(True)
-            if words:
-                is_new = ~F.arrays_overlap("terms", F.array(*[F.lit(w) for w in words]))
+            words = F.array(*[F.lit(row[1]) for row in chosen]).cast("array<string>")
+            flagged = summed(base.filter(F.arrays_overlap("terms", words)), "old_texts", "old_gain")
             best = (
-                base.select(F.when(is_new, F.col("worth")).alias("worth"), F.explode("terms").alias("term"))
-                .groupBy("term")
-                .agg(
-                    F.count("*").alias("df"),
-                    F.sum("worth").alias("gain"),
-                    F.count("worth").alias("newly_flagged"),
+                every.join(flagged, "term", "left")
+                .select(
+                    "term",
+                    (F.col("all_gain") - F.coalesce("old_gain", F.lit(0))).alias("gain"),
+                    (F.col("df") - F.coalesce("old_texts", F.lit(0))).alias("newly_flagged"),
                 )
-                .filter((F.col("df") >= min_df) & (F.col("gain") > 0))
+                .filter(F.col("gain") > 0)
                 .orderBy(F.desc("gain"), "term")
                 .limit(1)
                 .collect()
@@ -77,6 +80,7 @@ def greedy_rules(
                 break
             chosen.append((step, best[0]["term"], best[0]["gain"], best[0]["newly_flagged"]))
     finally:
+        every.unpersist()
         base.unpersist()
     return df.sparkSession.createDataFrame(
         chosen, "step int, word string, gain bigint, newly_flagged bigint"
@@ -96,9 +100,10 @@ def error_terms(
     shares of texts with the word. Kinds: ``fp`` and ``fn``."""
     wrong = (F.col(pred) & ~F.col(truth)) if kind == "fp" else (~F.col(pred) & F.col(truth))
     marked = df.withColumn("_wrong", wrong)
-    sizes = marked.agg(F.count_if("_wrong").alias("a"), F.count_if(~F.col("_wrong")).alias("b"))
-    in_error = sizes.select("a").scalar()
-    in_other = sizes.select("b").scalar()
+    sizes = marked.agg(
+        F.struct(F.count_if("_wrong").alias("error"), F.count_if(~F.col("_wrong")).alias("other")).alias("n")
+    ).scalar()
+    in_error, in_other = sizes["error"], sizes["other"]
     counted = (
         marked.select("_wrong", F.explode(F.array_distinct(token_array(F.col(text)))).alias("term"))
         .groupBy("term")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatsieve.session import scratch_path
+
 HEAVY_KEYS = 1000
 
 
@@ -14,6 +16,14 @@ def heaviest(counts: DataFrame, key: str, weight: str) -> DataFrame:
     return counts.orderBy(F.desc(weight), F.asc(key)).limit(HEAVY_KEYS)
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to a table in the shared folder. Later plans start from
+    it: they know its size, and losing an executor does not bring the work back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def join_lookup(
     left: DataFrame,
     lookup: DataFrame,
@@ -25,11 +35,14 @@ def join_lookup(
     """Join rows to a lookup table with one row per (string) key.
 
     ``weight`` is the lookup column that says how many left rows a key has. The
-    heaviest keys are answered from a broadcast of fixed size and their rows are
-    spread over the shuffle by ``spread_by``; all other keys meet in a plain
-    equi join. Left rows are read once.
+    lookup table is settled first. One of at most ``HEAVY_KEYS`` rows is broadcast.
+    Of a larger one the heaviest keys are, and their rows are spread over the shuffle
+    by ``spread_by``; all other keys meet in an equi join. Left rows are read once.
     """
+    lookup = settled(lookup, "lookup")
     values = [c for c in lookup.columns if c != key]
+    if lookup.count() <= HEAVY_KEYS:
+        return left.join(F.broadcast(lookup), key, how).select(*left.columns, *values)
     packed = lookup.select(F.col(key), F.struct(*values).alias("_found"))
     heavy = heaviest(lookup, key, weight).select(F.col(key), F.struct(*values).alias("_hot"))
     marked = left.join(F.broadcast(heavy), key, "left").withColumn(

@@ -586,12 +586,14 @@ def stream_moderate(spark, d):
 
 @query
 def stream_flag_rate(spark, d):
-    flags = rules.rule_flag(tables.chat_stream(spark, d), WORDS, text="text").select("ts", "lang", "flagged")
+    said = rules.rule_flag(tables.texts(spark, d), WORDS).select("id", "lang", "flagged")
+    flags = tables.chat_stream(spark, d, said).select("ts", "lang", "flagged")
     rates = moderation.drain(moderation.stream_flag_rate(flags), "rates")
     return rates.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query
 def stream_dedupe(spark, d):
-    seen = moderation.stream_dedupe(tables.chat_stream(spark, d), "40 days").select("text_key")
+    stream = tables.chat_stream(spark, d, tables.texts(spark, d).select("id", "message"))
+    seen = moderation.stream_dedupe(stream, "40 days", text="message").select("text_key")
     return moderation.drain(seen, "distinct")

@@ -62,15 +62,15 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("id", author.alias("author"))
 
 
-def chat(events: DataFrame, documents: DataFrame, n_docs: int) -> DataFrame:
-    """Events, batch or stream, that each say one of the documents."""
-    said = events.select(
+def chat(events: DataFrame, said: DataFrame, n_docs: int) -> DataFrame:
+    """Events, batch or stream, that each say one of the documents in ``said``."""
+    spoken = events.select(
         F.col("event_id").alias("msg_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         "user_id",
-        (F.col("event_id") % n_docs).alias("doc_id"),
+        (F.col("event_id") % n_docs).alias("id"),
     )
-    return said.join(documents.select("doc_id", "text", "lang"), "doc_id")
+    return spoken.join(said, "id")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,9 +83,8 @@ def document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def chat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    return chat(event_stream(spark, sf_dir), documents, documents.count())
+def chat_stream(spark: SparkSession, sf_dir: str, said: DataFrame) -> DataFrame:
+    return chat(event_stream(spark, sf_dir), said, table(spark, sf_dir, "documents").count())
 
 
 def replies(df: DataFrame) -> DataFrame:
