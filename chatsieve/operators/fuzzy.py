@@ -77,4 +77,4 @@ def fuzzy_flag(
     out: str = "flagged",
 ) -> DataFrame:
     hits = fuzzy_hits(df, words, max_dist, min_len, text, id_col)
-    return with_flag(df, hits.select(id_col), id_col, out)
+    return with_flag(df, hits, text, id_col, out)

@@ -67,7 +67,7 @@ def rule_flag(
     else:
         raise ValueError("a word table can be joined in the modes 'token' and 'caps'")
     hits = token_hits(df.select(id_col, pieces.alias("_tokens")), words, id_col)
-    return with_flag(df, hits.select(id_col), id_col, out)
+    return with_flag(df, hits, text, id_col, out)
 
 
 def token_hits(tokenised: DataFrame, words: DataFrame, id_col: str) -> DataFrame:
@@ -82,10 +82,12 @@ def token_hits(tokenised: DataFrame, words: DataFrame, id_col: str) -> DataFrame
     return join_lookup(pairs, in_use, "word", "count", F.col(id_col)).select(id_col, "word")
 
 
-def with_flag(df: DataFrame, hit_ids: DataFrame, id_col: str, out: str) -> DataFrame:
-    """Mark the rows whose id is among the hits."""
-    marked = hit_ids.distinct().withColumn(out, F.lit(True))
-    return df.join(marked, id_col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
+def with_flag(df: DataFrame, hits: DataFrame, text: str, id_col: str, out: str) -> DataFrame:
+    """Mark the rows whose id is among the hits; a missing text has no flag, as in the
+    row-local rules."""
+    marked = hits.select(F.col(id_col), F.lit(True).alias("_hit")).distinct()
+    flag = F.when(F.col(text).isNotNull(), F.coalesce("_hit", F.lit(False)))
+    return df.join(marked, id_col, "left").withColumn(out, flag).drop("_hit")
 
 
 def contains_word(
@@ -193,7 +195,7 @@ def apply_exceptions(
     allowed = allow.select(F.lower(F.trim("word")).alias("word")).distinct()
     bad_words = suspects.groupBy("word").count().join(allowed, "word", "left_anti")
     hits = join_lookup(suspects, bad_words, "word", "count", F.col(id_col))
-    return with_flag(df, hits.select(id_col), id_col, out)
+    return with_flag(df, hits, text, id_col, out)
 
 
 def rule_scorecard(
