@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chatsieve.functions.patterns import NOT_AFTER_WORD, NOT_BEFORE_WORD, clean_words, quote
+from chatsieve.functions.patterns import WORD_CHAR, clean_words, is_single_token
 
 # How a name falls into segments. An upper-case run belongs to the
 # lower-case run after it; an upper-case run before a digit is in no segment.
@@ -102,17 +102,24 @@ def normalised(text: Column) -> Column:
 def language_of(text: Column, words_by_language: Mapping[str, Iterable[str]]) -> Column:
     """Language whose function words occur most often; a tie goes to the first by
     name, and a text with no such word has none (``und``)."""
-    lowered = F.lower(text)
-    votes = []
-    for rank, lang in enumerate(sorted(words_by_language)):
-        words = "|".join(map(quote, clean_words(words_by_language[lang])))
-        pattern = f"{NOT_AFTER_WORD}(?:{words}){NOT_BEFORE_WORD}"
-        votes.append(
+    listed = {lang: clean_words(words) for lang, words in words_by_language.items()}
+    if not all(is_single_token(w) for words in listed.values() for w in words):
+        raise ValueError("function words are single words")
+    every = sorted({w for words in listed.values() for w in words})
+    all_words = F.regexp_extract_all(F.lower(text), F.lit(WORD_CHAR + "+"), F.lit(0))
+    found = F.filter(all_words, lambda w: w.isin(every))
+
+    def best_of(words_found: Column) -> Column:
+        votes = [
             F.struct(
-                F.regexp_count(lowered, F.lit(pattern)).alias("votes"),
+                F.size(F.filter(words_found, lambda w: w.isin(listed[lang]))).alias("votes"),
                 F.lit(-rank).alias("rank"),
                 F.lit(lang).alias("lang"),
             )
-        )
-    best = F.array_max(F.array(*votes))
+            for rank, lang in enumerate(sorted(listed))
+        ]
+        return F.array_max(F.array(*votes))
+
+    # The words found are bound to a name once, not looked for again for each language.
+    best = F.transform(F.array(found), best_of)[0]
     return F.when(best["votes"] > 0, best["lang"]).otherwise(F.lit("und"))

@@ -6,6 +6,7 @@ per text.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, SQLTransformer
 from pyspark.ml.linalg import Vectors
@@ -25,16 +26,18 @@ def tfidf(
 ) -> DataFrame:
     """Long table (id, term, tf, idf, weight).
 
-    Occurrences of a term within a text are summed before the shuffle, since a text
-    lies in one partition. The inverse document frequencies join as a lookup whose
-    most frequent terms are broadcast.
+    The texts are shuffled once, by id; counting and scaling to unit length then need
+    no shuffle of the longer token table. The inverse document frequencies join as a
+    lookup whose most frequent terms are broadcast.
     """
     n_docs = df.agg(F.count("*").alias("n")).scalar()
     weights = document_frequency(df, min_df, max_df, text).select(
         "term", "df", (F.ln((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf")
     )
     counts = (
-        df.select(id_col, F.explode(token_array(F.col(text))).alias("term"))
+        df.select(id_col, text)
+        .repartition(id_col)
+        .select(id_col, F.explode(token_array(F.col(text))).alias("term"))
         .groupBy(id_col, "term")
         .agg(F.count("*").alias("tf"))
     )
@@ -92,19 +95,23 @@ def fit_features(
         maxDF=float(max_df) if max_df < 1 else float(2**53),
         vocabSize=MAX_VOCABULARY + 1,
     )
-    split_up = terms.transform(df)
-    counter = vectoriser.fit(split_up)
-    if len(counter.vocabulary) > MAX_VOCABULARY:
-        raise ValueError("the vocabulary is too large for one model: raise min_df or lower max_df")
-    stages = [terms, counter]
-    if weighted:
-        idf = IDF(inputCol=counted_col, outputCol="_idf").fit(counter.transform(split_up)).idf
-        stages += [
-            ElementwiseProduct(
-                scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol=counted_col, outputCol="_scaled"
-            ),
-            Normalizer(p=2.0, inputCol="_scaled", outputCol=out),
-        ]
+    split_up = terms.transform(df.select(text)).select("_terms").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counter = vectoriser.fit(split_up)
+        counted = counter.transform(split_up)
+        if counted.schema[counted_col].metadata["ml_attr"]["num_attrs"] > MAX_VOCABULARY:
+            raise ValueError("the vocabulary is too large for one model: raise min_df or lower max_df")
+        stages = [terms, counter]
+        if weighted:
+            idf = IDF(inputCol=counted_col, outputCol="_idf").fit(counted).idf
+            stages += [
+                ElementwiseProduct(
+                    scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol=counted_col, outputCol="_scaled"
+                ),
+                Normalizer(p=2.0, inputCol="_scaled", outputCol=out),
+            ]
+    finally:
+        split_up.unpersist()
     return PipelineModel(stages=stages)
 
 
@@ -119,6 +126,3 @@ def idf_of(model: PipelineModel):
             return stage.getScalingVec().toArray()
     return None
 
-
-def drop_working(df: DataFrame) -> DataFrame:
-    return df.drop("_terms", "_counts", "_scaled")

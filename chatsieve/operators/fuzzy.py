@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chatsieve.functions.patterns import clean_words
 from chatsieve.functions.text import token_array
-from chatsieve.operators.rules import with_flag
+from chatsieve.operators.rules import listed_words, with_flag
 from chatsieve.operators.skew import join_lookup
 
 
@@ -48,8 +48,7 @@ def fuzzy_hits(
     """
     if not isinstance(words, DataFrame):
         words = df.sparkSession.createDataFrame([(w,) for w in clean_words(words)], "word string")
-    listed = words.select(F.lower(F.trim("word")).alias("word")).distinct()
-    listed = listed.filter(F.length("word") >= min_len)
+    listed = listed_words(words).filter(F.length("word") >= min_len)
     long_tokens = F.filter(F.array_distinct(token_array(F.col(text))), lambda t: F.length(t) >= min_len)
     pairs = df.select(id_col, F.explode(long_tokens).alias("term"))
     vocabulary = pairs.groupBy("term").agg(F.count("*").alias("texts"))

@@ -212,7 +212,8 @@ def explain_score(
     The weights are one row per vocabulary term, bounded by the model, and are
     broadcast; the terms of a text stay together in one shuffle by id.
     """
-    terms = model.stages[0].transform(df.select(id_col, text)).select(id_col, F.explode("_terms").alias("term"))
+    by_id = df.select(id_col, text).repartition(id_col)
+    terms = model.stages[0].transform(by_id).select(id_col, F.explode("_terms").alias("term"))
     counts = terms.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
     valued = counts.join(F.broadcast(weights_table(df.sparkSession, model)), "term").withColumn(
         "_raw", F.col("tf") * F.col("idf")

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from chatsieve.functions.patterns import (
     WORD_CHAR,
+    WORDS_PER_PATTERN,
     boundary_pattern,
     clean_words,
     is_single_token,
@@ -25,11 +26,34 @@ from chatsieve.operators.skew import join_lookup
 
 MODES = ("boundary", "substring", "caps", "token")
 
+# A word table of up to this many words is written into the expression: a look-up in
+# a hash set per token, and no shuffle. A larger one is joined.
+ROW_LOCAL_WORDS = 20_000
+
 
 def literal_words(words: Iterable[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
 
+def short_list(words: DataFrame, limit: int) -> list[str] | None:
+    """The distinct lower-cased words of a table, or None if there are more than limit."""
+    rows = listed_words(words).take(limit + 1)
+    return [r["word"] for r in rows] if len(rows) <= limit else None
+
+
+def listed_words(words: DataFrame) -> DataFrame:
+    word = F.lower(F.trim("word")).alias("word")
+    return words.select(word).filter(F.col("word") != "").distinct()
+
+
+def holds_any(pieces: Column, words: Iterable[str]) -> Column:
+    """True where an array holds one of the (lower-case) words."""
+    words = list(dict.fromkeys(words))
+    if len(words) <= 50:
+        return F.arrays_overlap(pieces, literal_words(words))
+    return F.exists(pieces, lambda piece: piece.isin(words))
+
+
 def rule_expr(text: Column, words: Iterable[str], mode: str = "boundary") -> Column:
     """Boolean rule over one text column; row-local in every mode."""
     words = clean_words(words)
@@ -37,14 +61,20 @@ def rule_expr(text: Column, words: Iterable[str], mode: str = "boundary") -> Col
         return matches_any(text, words, boundary_pattern)
     if mode == "substring":
         return matches_any(text, words, substring_pattern)
-    lowered = literal_words(dict.fromkeys(w.lower() for w in words))
-    if mode == "caps":
-        return F.arrays_overlap(lower_all(segment_array(text)), lowered)
-    if mode == "token":
-        return F.arrays_overlap(token_array(text), lowered)
+    if mode in ("caps", "token"):
+        return holds_any(pieces_of(text, mode), [w.lower() for w in words])
     raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
 
 
+def pieces_of(text: Column, mode: str) -> Column:
+    """The lower-case parts of a text that must equal a listed word."""
+    if mode == "token":
+        return token_array(text)
+    if mode == "caps":
+        return lower_all(segment_array(text))
+    raise ValueError("a word table is matched in the modes 'token' and 'caps'")
+
+
 def rule_flag(
     df: DataFrame,
     words: Iterable[str] | DataFrame,
@@ -55,30 +85,30 @@ def rule_flag(
 ) -> DataFrame:
     """Add a boolean column: does the text break the word-list rule?
 
-    A word DataFrame is matched by joins (``token`` and ``caps`` modes); its size
-    does not matter.
+    A word DataFrame is matched in ``token`` and ``caps`` mode, by joins when it is
+    too large for an expression.
     """
     if not isinstance(words, DataFrame):
         return df.withColumn(out, rule_expr(F.col(text), words, mode))
-    if mode == "token":
-        pieces = token_array(F.col(text))
-    elif mode == "caps":
-        pieces = lower_all(segment_array(F.col(text)))
-    else:
-        raise ValueError("a word table can be joined in the modes 'token' and 'caps'")
-    hits = token_hits(df.select(id_col, pieces.alias("_tokens")), words, id_col)
+    pieces = pieces_of(F.col(text), mode)
+    few = short_list(words, ROW_LOCAL_WORDS)
+    if few is not None:
+        return df.withColumn(out, holds_any(pieces, clean_words(few)))
+    hits = token_hits(df, words, mode, text, id_col)
     return with_flag(df, hits, text, id_col, out)
 
 
-def token_hits(tokenised: DataFrame, words: DataFrame, id_col: str) -> DataFrame:
-    """(id, word) for every listed word a text holds, from a ``_tokens`` array column.
+def token_hits(
+    df: DataFrame, words: DataFrame, mode: str = "token", text: str = "message", id_col: str = "id"
+) -> DataFrame:
+    """(id, word) for every word of a table of any size that a text holds.
 
     The vocabulary, counted with map-side partial sums, meets the word table first.
     Only the words in use go on, with their counts, to the join with the texts.
     """
-    pairs = tokenised.select(id_col, F.explode(F.array_distinct("_tokens")).alias("word"))
-    listed = words.select(F.lower(F.trim("word")).alias("word")).distinct()
-    in_use = pairs.groupBy("word").count().join(listed, "word", "left_semi")
+    pieces = F.array_distinct(pieces_of(F.col(text), mode))
+    pairs = df.select(id_col, F.explode(pieces).alias("word"))
+    in_use = pairs.groupBy("word").count().join(listed_words(words), "word", "left_semi")
     return join_lookup(pairs, in_use, "word", "count", F.col(id_col)).select(id_col, "word")
 
 
@@ -182,9 +212,12 @@ def apply_exceptions(
 ) -> DataFrame:
     """Substring rule in which a hit inside an allow-listed word does not count.
 
-    A list is blanked out of the text by a pattern. An allow table of any size is
+    A short list is blanked out of the text by a pattern. A long allow table is
     taken out by an anti join on the words that hold a hit, which are few.
     """
+    if isinstance(allow, DataFrame):
+        few = short_list(allow, WORDS_PER_PATTERN)
+        allow = allow if few is None else few
     if not isinstance(allow, DataFrame):
         left_over = F.regexp_replace(F.col(text), boundary_pattern(allow), "\x01")
         return df.withColumn(out, matches_any(left_over, words, substring_pattern))
@@ -192,8 +225,7 @@ def apply_exceptions(
     suspects = df.select(id_col, F.explode(F.array_distinct(whole_words)).alias("word")).filter(
         matches_any(F.col("word"), words, substring_pattern)
     )
-    allowed = allow.select(F.lower(F.trim("word")).alias("word")).distinct()
-    bad_words = suspects.groupBy("word").count().join(allowed, "word", "left_anti")
+    bad_words = suspects.groupBy("word").count().join(listed_words(allow), "word", "left_anti")
     hits = join_lookup(suspects, bad_words, "word", "count", F.col(id_col))
     return with_flag(df, hits, text, id_col, out)
 

@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chatsieve.functions.text import seeded_order
+from chatsieve.operators.skew import heaviest
 
 # Ranks are worked out per leading part of the order hash: 16 ** 3 parts per class.
 HASH_PREFIX = 3
+MAX_CLASSES = 100
+ROWS_PER_BUCKET = 100_000
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int = 42, id_col: str = "id") -> DataFrame:
@@ -60,8 +63,9 @@ def stratified_split(
 
     The prefix counts show in which hash prefix a class reaches its test share. Only
     the rows of that prefix are ranked, to find the last hash that still belongs to
-    the test rows. With one such hash per class the table itself is split in a
-    single pass without a shuffle. ``label`` is a closed set of classes.
+    the test rows. That is one hash per class, found by one job; the table itself is
+    then split row by row, without a shuffle. ``label`` is a closed set of at most
+    ``MAX_CLASSES`` classes.
     """
     narrow = with_hash(df.select(label, id_col), seed, id_col).select(label, "_order", "_part")
     wanted = F.round(F.col("_class_n") * F.lit(float(frac)))
@@ -72,15 +76,19 @@ def stratified_split(
     )
     place = F.row_number().over(Window.partitionBy(label, "_part").orderBy("_order"))
     last = (
-        narrow.join(F.broadcast(turning), [label, "_part"])
+        narrow.join(turning, [label, "_part"])
         .withColumn("_place", place)
         .filter(F.col("_place") == F.col("_room"))
-        .select(label, F.col("_order").alias("_last"))
-    )
-    in_test = seeded_order(seed, F.col(id_col)) <= F.col("_last")
-    return df.join(F.broadcast(last), label, "left").select(
-        *df.columns, F.when(in_test, "test").otherwise("train").alias(out)
+        .select(label, "_order")
+        .take(MAX_CLASSES + 1)
     )
+    if len(last) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    in_test = F.lit(False)
+    for row in last:
+        in_test = F.when(F.col(label) == row[label], F.col("_order") <= row["_order"]).otherwise(in_test)
+    hashed = df.withColumn("_order", seeded_order(seed, F.col(id_col)))
+    return hashed.select(*df.columns, F.when(in_test, "test").otherwise("train").alias(out))
 
 
 def stratified_folds(
@@ -91,12 +99,16 @@ def stratified_folds(
     id_col: str = "id",
     out: str = "fold",
 ) -> DataFrame:
-    """Deal the rows of each class to k folds in turn."""
+    """Deal the rows of each class to k folds in turn.
+
+    The join with the prefix counts and the ranking share one shuffle by class and
+    prefix, which no class can make uneven. Pass only the columns that are needed.
+    """
     hashed = with_hash(df, seed, id_col)
     counts = class_prefix_counts(hashed.select(label, "_part"), label).select(label, "_part", "_before")
     rank = F.row_number().over(Window.partitionBy(label, "_part").orderBy("_order", id_col))
     fold = ((rank + F.col("_before") - 1) % k).cast("int")
-    return hashed.join(F.broadcast(counts), [label, "_part"]).select(*df.columns, fold.alias(out))
+    return hashed.join(counts, [label, "_part"]).select(*df.columns, fold.alias(out))
 
 
 def bucket_of(id_col: str, buckets: int) -> Column:
@@ -107,14 +119,16 @@ def bucket_of(id_col: str, buckets: int) -> Column:
 def pack_batches(
     df: DataFrame,
     size: int = 100,
-    buckets: int = 64,
+    buckets: int | None = None,
     id_col: str = "id",
 ) -> DataFrame:
     """Number the rows into batches of at most ``size``: adds (bucket, batch, place).
 
-    Buckets are even because they hash a unique id; take as many as keep
-    rows / buckets small. Each bucket ends in one batch that may be part full.
+    Buckets are even because they hash a unique id. By default there is one per
+    ``ROWS_PER_BUCKET`` rows; each ends in one batch that may be part full.
     """
+    if buckets is None:
+        buckets = 1 + df.count() // ROWS_PER_BUCKET
     with_bucket = df.withColumn("bucket", bucket_of(id_col, buckets))
     number = F.row_number().over(Window.partitionBy("bucket").orderBy(id_col)) - 1
     return with_bucket.withColumn("_no", number).select(
@@ -126,7 +140,7 @@ def pack_batches(
 
 
 def request_batches(
-    df: DataFrame, size: int = 100, buckets: int = 64, text: str = "message", id_col: str = "id"
+    df: DataFrame, size: int = 100, buckets: int | None = None, text: str = "message", id_col: str = "id"
 ) -> DataFrame:
     """One row per batch with its messages in order; a batch holds at most ``size``."""
     packed = pack_batches(df.select(id_col, text), size, buckets, id_col)
@@ -143,24 +157,38 @@ def with_context(
     out: str = "context",
     separator: str = " | ",
     span: int = 4096,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add the last k messages of the same conversation, oldest first.
 
-    A conversation is cut into spans of the order column, so one that holds a large
-    share of the rows is spread over many tasks. The first k rows of a span look
-    back across the cut: they get their context from a second pass over just the
-    edges (first k and last k rows) of the spans. (key, order) is unique.
+    (key, order) is unique. Conversations are windows of one shuffle. One with more
+    than ``hot_rows`` messages, of which the ``HEAVY_KEYS`` longest are told apart, is
+    cut into spans of the order column, so that many tasks share it. The first k rows
+    of a span look back across the cut: they get their context from a second pass
+    over just the edges (first k and last k rows) of the spans.
     """
+    lengths = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = [r[key] for r in heaviest(lengths, key, "_n").collect()]
+    back = Window.partitionBy(key).orderBy(order).rowsBetween(-k, -1)
+    if not hot:
+        found = df.withColumn("_context", F.collect_list(text).over(back))
+        return found.select(*df.columns, F.array_join("_context", separator).alias(out))
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     in_span = Window.partitionBy(key, "_span").orderBy(order)
     rows = (
-        df.withColumn("_span", F.floor(F.col(order) / span))
+        df.filter(is_hot)
+        .withColumn("_span", F.floor(F.col(order) / span))
         .withColumn("_place", F.row_number().over(in_span))
         .withColumn("_last", F.lead(order, k).over(in_span).isNull())
         .withColumn("_context", F.collect_list(text).over(in_span.rowsBetween(-k, -1)))
     )
-    back = Window.partitionBy(key).orderBy(order).rowsBetween(-k, -1)
     edges = rows.filter((F.col("_place") <= k) | F.col("_last")).withColumn(
         "_context", F.collect_list(text).over(back)
     )
-    found = rows.filter(F.col("_place") > k).unionByName(edges.filter(F.col("_place") <= k))
-    return found.select(*df.columns, F.array_join("_context", separator).alias(out))
+    parts = [
+        df.filter(~is_hot).withColumn("_context", F.collect_list(text).over(back)),
+        rows.filter(F.col("_place") > k),
+        edges.filter(F.col("_place") <= k),
+    ]
+    joined = [p.select(*df.columns, F.array_join("_context", separator).alias(out)) for p in parts]
+    return joined[0].unionByName(joined[1]).unionByName(joined[2])

@@ -17,6 +17,7 @@ from chatsieve.functions.text import (
     token_array,
     word_ngram_array,
 )
+from chatsieve.operators.rules import ROW_LOCAL_WORDS, listed_words, short_list
 from chatsieve.operators.skew import join_lookup
 
 
@@ -61,11 +62,12 @@ def char_ngrams(
 def remove_stop_words(
     token_df: DataFrame, stop_words: Iterable[str] | DataFrame, term: str = "term", id_col: str = "id"
 ) -> DataFrame:
-    """Drop listed words from a token table. A list becomes a hash-set filter; a word
-    table of any size is met by the vocabulary first, then by the tokens."""
-    if not isinstance(stop_words, DataFrame):
-        return token_df.filter(~F.col(term).isin([w.lower() for w in clean_words(stop_words)]))
-    listed = stop_words.select(F.lower(F.trim("word")).alias(term)).distinct()
+    """Drop listed words from a token table. A list or short table becomes a hash-set
+    filter; a long table is met by the vocabulary first, then by the tokens."""
+    few = short_list(stop_words, ROW_LOCAL_WORDS) if isinstance(stop_words, DataFrame) else clean_words(stop_words)
+    if few is not None:
+        return token_df.filter(~F.col(term).isin([w.lower() for w in few]))
+    listed = listed_words(stop_words).withColumnRenamed("word", term)
     kept = token_df.groupBy(term).count().join(listed, term, "left_anti")
     return join_lookup(token_df, kept, term, "count", F.col(id_col)).select(*token_df.columns)
 

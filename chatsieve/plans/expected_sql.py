@@ -210,6 +210,8 @@ EXPECTED = {
     "rule_flag_token": f"WITH {TEXTS} SELECT id, {hit('message')} AS flagged FROM texts",
     "rule_flag_token_table": f"WITH {TEXTS}, {WORD_TABLE}, h AS (SELECT DISTINCT id FROM ({tokens_of('texts')})"
     " WHERE term IN (SELECT word FROM word_table)) SELECT id, id IN (SELECT id FROM h) AS flagged FROM texts",
+    "token_hits": f"WITH {TEXTS}, {WORD_TABLE} SELECT DISTINCT id, term AS word FROM ({tokens_of('texts')})"
+    " WHERE term IN (SELECT word FROM word_table)",
     "rule_flag_caps_table": f"WITH {NAMES}, {WORD_TABLE}, s AS (SELECT id, lower(unnest({SEGMENTS})) AS word FROM names),"
     " h AS (SELECT DISTINCT id FROM s WHERE word IN (SELECT word FROM word_table))"
     " SELECT id, id IN (SELECT id FROM h) AS flagged FROM names",

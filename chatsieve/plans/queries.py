@@ -173,6 +173,11 @@ def rule_flag_token_table(spark, d):
     )
 
 
+@query
+def token_hits(spark, d):
+    return rules.token_hits(tables.texts(spark, d), word_table(spark, d))
+
+
 @query
 def rule_flag_caps_table(spark, d):
     return rules.rule_flag(tables.names(spark, d), word_table(spark, d), "caps", text="author").select("id", "flagged")

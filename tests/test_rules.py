@@ -103,14 +103,18 @@ def test_rules_agree_with_python(frame, texts):
         assert not row.boundary or row.substring
 
 
-def test_word_table_equals_word_list(frame):
+def test_word_table_equals_word_list(frame, monkeypatch):
     texts = ["the ass is here", "nothing", "BB and ass", "assess", ""]
     df = frame(list(enumerate(texts)), "id int, message string")
     table = frame([("ass",), ("bb ",), ("zz",)], "word string")
     for mode in ("token", "caps"):
         by_list = rules.rule_flag(df, ["ass", "bb", "zz"], mode).orderBy("id").collect()
-        by_table = rules.rule_flag(df, table, mode).orderBy("id").collect()
-        assert [r.flagged for r in by_list] == [r.flagged for r in by_table]
+        for limit in (100, 1):
+            monkeypatch.setattr(rules, "ROW_LOCAL_WORDS", limit)
+            by_table = rules.rule_flag(df, table, mode).orderBy("id").collect()
+            assert [r.flagged for r in by_list] == [r.flagged for r in by_table]
+    many = ["ass", *(f"w{i}" for i in range(100))]
+    assert flags(frame, texts, many, "token") == [True, False, True, False, False]
 
 
 def test_censor(frame):
@@ -136,15 +140,17 @@ def test_positions_of_hits(frame, texts):
         assert got == want
 
 
-def test_exceptions(frame):
+def test_exceptions(frame, monkeypatch):
     texts = ["assessment", "assessment and class", "the ass", "Cassandra", None]
     df = frame(list(enumerate(texts)), "id int, message string")
     allow = ["assessment", "cassandra"]
     by_list = [r.flagged for r in rules.apply_exceptions(df, ["ass"], allow).orderBy("id").collect()]
     table = frame([(w,) for w in allow], "word string")
-    by_table = [r.flagged for r in rules.apply_exceptions(df, ["ass"], table).orderBy("id").collect()]
     assert by_list == [False, True, True, False, None]
-    assert by_table == [False, True, True, False, None]
+    for limit in (500, 1):
+        monkeypatch.setattr(rules, "WORDS_PER_PATTERN", limit)
+        by_table = [r.flagged for r in rules.apply_exceptions(df, ["ass"], table).orderBy("id").collect()]
+        assert by_table == by_list
 
 
 def test_scorecard_paths_agree(frame):

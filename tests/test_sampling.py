@@ -49,15 +49,16 @@ def test_batches(frame):
     assert len(batches) <= 1050 // 100 + 3
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(st.tuples(st.integers(0, 2), st.integers(-30, 60)), max_size=60, unique=True),
     st.integers(1, 4),
     st.sampled_from([1, 3, 16, 4096]),
+    st.sampled_from([0, 8, 100]),
 )
-def test_context_across_spans(frame, keys, k, span):
+def test_context_across_spans(frame, keys, k, span, hot_rows):
     df = frame([(c, t, f"{c}:{t}") for c, t in keys], "conv_id int, turn int, text string")
-    got = {(r.conv_id, r.turn): r.context for r in sampling.with_context(df, k, span=span).collect()}
+    got = {(r.conv_id, r.turn): r.context for r in sampling.with_context(df, k, span=span, hot_rows=hot_rows).collect()}
     want = {}
     for c, t in keys:
         before = sorted(u for d, u in keys if d == c and u < t)[-k:]

@@ -49,11 +49,13 @@ def test_tokens_and_ngrams(frame, texts):
     )
 
 
-def test_stop_words(frame):
+def test_stop_words(frame, monkeypatch):
     df = frame([(1, "the", 1), (1, "cat", 1), (2, "the", 1)], "id int, term string, x int")
     table = frame([("The",)], "word string")
     assert [r.term for r in tokens.remove_stop_words(df, ["THE"]).collect()] == ["cat"]
-    assert [r.term for r in tokens.remove_stop_words(df, table).collect()] == ["cat"]
+    for limit in (10, 0):
+        monkeypatch.setattr(tokens, "ROW_LOCAL_WORDS", limit)
+        assert [r.term for r in tokens.remove_stop_words(df, table).collect()] == ["cat"]
 
 
 def test_document_frequency(frame):
