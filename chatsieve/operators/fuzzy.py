@@ -45,12 +45,16 @@ def fuzzy_hits(
     first by name.
 
     Only the distinct tokens are compared; the few that match go back to the texts.
+    Tokens longer or shorter than any listed word by more than the distance are left
+    out at once.
     """
     if not isinstance(words, DataFrame):
         words = df.sparkSession.createDataFrame([(w,) for w in clean_words(words)], "word string")
     listed = listed_words(words).filter(F.length("word") >= min_len)
-    long_tokens = F.filter(F.array_distinct(token_array(F.col(text))), lambda t: F.length(t) >= min_len)
-    pairs = df.select(id_col, F.explode(long_tokens).alias("term"))
+    bounds = listed.agg(F.min(F.length("word")).alias("lo"), F.max(F.length("word")).alias("hi")).first()
+    lo, hi = max(min_len, (bounds["lo"] or 0) - max_dist), (bounds["hi"] or 0) + max_dist
+    fitting = F.filter(F.array_distinct(token_array(F.col(text))), lambda t: F.length(t).between(lo, hi))
+    pairs = df.select(id_col, F.explode(fitting).alias("term"))
     vocabulary = pairs.groupBy("term").agg(F.count("*").alias("texts"))
     near = (
         vocabulary.select("term", "texts", F.explode(deletions(F.col("term"), max_dist)).alias("form"))

@@ -24,6 +24,12 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def compact(key: Column) -> Column:
+    """A string key of at most 65 characters: long ones are replaced by their hash, so
+    that a fixed number of keys has a fixed size."""
+    return F.when(F.length(key) <= 64, key).otherwise(F.concat(F.lit("\x01"), F.sha2(key, 256)))
+
+
 def join_lookup(
     left: DataFrame,
     lookup: DataFrame,
@@ -34,26 +40,25 @@ def join_lookup(
 ) -> DataFrame:
     """Join rows to a lookup table with one row per (string) key.
 
-    ``weight`` is the lookup column that says how many left rows a key has. The
-    lookup table is settled first. One of at most ``HEAVY_KEYS`` rows is broadcast.
-    Of a larger one the heaviest keys are, and their rows are spread over the shuffle
-    by ``spread_by``; all other keys meet in an equi join. Left rows are read once.
+    ``weight`` is the lookup column that says how many left rows a key has; the other
+    columns are small values. The lookup table is settled first. One of at most
+    ``HEAVY_KEYS`` rows is broadcast. Of a larger one the heaviest keys are, and their
+    rows are spread over the shuffle by ``spread_by``; all other keys meet in an equi
+    join. Left rows are read once.
     """
-    lookup = settled(lookup, "lookup")
     values = [c for c in lookup.columns if c != key]
+    lookup = settled(lookup.select(compact(F.col(key)).alias("_key"), *values), "lookup")
+    keyed = left.withColumn("_key", compact(F.col(key)))
     if lookup.count() <= HEAVY_KEYS:
-        return left.join(F.broadcast(lookup), key, how).select(*left.columns, *values)
-    packed = lookup.select(F.col(key), F.struct(*values).alias("_found"))
-    heavy = heaviest(lookup, key, weight).select(F.col(key), F.struct(*values).alias("_hot"))
-    marked = left.join(F.broadcast(heavy), key, "left").withColumn(
-        "_key",
-        F.when(F.col("_hot").isNull(), F.col(key)).otherwise(
-            F.concat(F.lit("\0"), F.xxhash64(spread_by).cast("string"))
-        ),
+        return keyed.join(F.broadcast(lookup), "_key", how).select(*left.columns, *values)
+    packed = lookup.select("_key", F.struct(*values).alias("_found"))
+    heavy = heaviest(lookup, "_key", weight).select("_key", F.struct(*values).alias("_hot"))
+    spread_key = F.concat(F.lit("\0"), F.xxhash64(spread_by).cast("string"))
+    marked = keyed.join(F.broadcast(heavy), "_key", "left").withColumn(
+        "_key", F.when(F.col("_hot").isNull(), F.col("_key")).otherwise(spread_key)
     )
-    joined = marked.join(packed.withColumnRenamed(key, "_key"), "_key", "left")
-    found = F.coalesce(F.col("_hot"), F.col("_found"))
-    out = joined.select(*left.columns, found.alias("_value"))
+    joined = marked.join(packed, "_key", "left")
+    out = joined.select(*left.columns, F.coalesce("_hot", "_found").alias("_value"))
     if how == "inner":
         out = out.filter(F.col("_value").isNotNull())
     return out.select(*left.columns, *[F.col("_value")[v].alias(v) for v in values])

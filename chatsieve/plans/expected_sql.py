@@ -196,6 +196,8 @@ EXPECTED = {
     "read_usernames": f"WITH {NAMES} SELECT author FROM names WHERE author IS NOT NULL",
     "read_wordlist": "SELECT lower(regexp_extract(text, '[A-Za-z]+')) AS word FROM documents"
     " WHERE doc_id % 7 <> 0 AND regexp_extract(text, '[A-Za-z]+') <> ''",
+    "save_load_model": f"WITH {MSGS}, {SPLIT} SELECT id, true AS same FROM split WHERE split = 'test'",
+    "stream_score": "SELECT doc_id AS id, true AS same FROM documents",
     "union_datasets": f"WITH {MSGS} SELECT id, md5(message) AS message_md5, label, 'documents' AS dataset FROM msgs"
     " UNION ALL SELECT conv_id * 1000 + turn, md5(text), 0, 'conversations' FROM conversations",
     "binary_label": f"WITH {MSGS} SELECT id, label, label <> 0 AS toxic FROM msgs",
@@ -228,7 +230,7 @@ EXPECTED = {
     "apply_exceptions": f"WITH {TEXTS} SELECT id, len(list_filter(regexp_extract_all(lower(message), '{L}+'),"
     f" lambda w: {inside('w', INNER_WORDS)} AND w NOT IN ({quoted(ALLOWED)}))) > 0 AS flagged FROM texts",
     "parse_verdict": f"WITH {FLAGGED}, {REPLIES} SELECT id, status, verdict FROM annotated",
-    "term_counts": f"WITH {TEXTS} SELECT id, term, count(*) AS tf FROM ({tokens_of('texts')}) GROUP BY id, term",
+    "tokens": f"WITH {TEXTS} SELECT id, term, count(*) AS tf FROM ({tokens_of('texts')}) GROUP BY id, term",
     "word_ngrams": f"WITH {TEXTS}, t AS (SELECT {DOC_TOKENS} AS w FROM texts),"
     " n AS (SELECT 1 AS n, unnest(w) AS term FROM t UNION ALL SELECT 2, unnest(list_transform(range(1, len(w)),"
     " lambda i: w[i] || ' ' || w[i + 1])) FROM t) SELECT n, term, count(*) AS total FROM n GROUP BY n, term",
@@ -284,8 +286,8 @@ EXPECTED = {
  UNION ALL SELECT 'accuracy', round(acc, 6), round(acc, 6), round(acc, 6), n FROM a
  UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), sum(s)::BIGINT FROM m
  UNION ALL SELECT 'weighted avg', round(sum(p * s) / sum(s), 6), round(sum(r * s) / sum(s), 6), round(sum(f * s) / sum(s), 6), sum(s)::BIGINT FROM m""",
-    "false_positives": f"WITH {MSGS} SELECT id, label FROM msgs WHERE {inside('message', INNER_WORDS)} AND NOT toxic",
-    "false_negatives": f"WITH {FLAGGED} SELECT id, label FROM flagged WHERE NOT flagged AND toxic",
+    "error_rows": f"WITH {MSGS}, f AS (SELECT *, {inside('message', INNER_WORDS)} AS flagged FROM msgs)"
+    " SELECT CASE WHEN flagged THEN 'fp' ELSE 'fn' END AS kind, id, label FROM f WHERE flagged <> toxic",
     "flag_summary": f"WITH {CAPS} SELECT count(*) AS total, count(*) FILTER (flagged) AS flagged,"
     " count(*) - count(*) FILTER (flagged) AS clean, round(100.0::DOUBLE * count(*) FILTER (flagged) / count(*), 6) AS flagged_pct,"
     " round(100.0::DOUBLE * (count(*) - count(*) FILTER (flagged)) / count(*), 6) AS clean_pct FROM caps",
@@ -296,7 +298,7 @@ EXPECTED = {
     ' SELECT flagged, reviewed, offensive, round(offensive::DOUBLE / reviewed, 6) AS "precision",'
     " floor(flagged * 0.9::DOUBLE)::BIGINT AS estimate_high, floor(flagged * 0.5::DOUBLE)::BIGINT AS estimate_medium,"
     " floor(flagged * (offensive::DOUBLE / reviewed))::BIGINT AS estimate_reviewed FROM c",
-    "metrics_by_language": metrics_by("lang"),
+    "metrics_by": metrics_by("lang"),
     "metrics_by_source": metrics_by("source"),
     "rate_triage": f"WITH {TEXTS}, f AS (SELECT lang, {hit('message')} AS flagged FROM texts),"
     " c AS (SELECT lang, count(*) AS total, count(*) FILTER (flagged) AS flagged FROM f GROUP BY lang),"

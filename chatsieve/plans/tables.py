@@ -45,10 +45,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names made of the first two words of each text and an insult: (id, author)."""
+    first = F.nullif(F.regexp_extract("text", "[A-Za-z]+", 0), F.lit(""))
+    second = F.nullif(F.regexp_extract("text", "[A-Za-z]+[^A-Za-z]+([A-Za-z]+)", 1), F.lit(""))
     docs = documents(spark, sf_dir).select(
-        F.col("doc_id").alias("id"), F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)).alias("w")
+        F.col("doc_id").alias("id"), F.lower(first).alias("a"), F.lower(second).alias("b")
     )
-    a, b = F.lower(F.get("w", F.lit(0))), F.lower(F.get("w", F.lit(1)))
+    a, b = F.col("a"), F.col("b")
     w = F.get(F.array(*[F.lit(x) for x in WORDS]), (F.col("id") % 10).cast("int"))
     shape = F.col("id") % 6
     author = (

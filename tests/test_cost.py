@@ -89,7 +89,7 @@ def test_capacity(frame):
 def test_lookup_join_with_a_hot_key(spark, monkeypatch):
     """A third of the rows share one key; both ways through the join give the same."""
     left = spark.range(3000).select(
-        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("word")
+        "id", F.when(F.col("id") % 3 == 0, "hot" * 60).otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("word")
     )
     lookup = left.groupBy("word").count().filter("word <> 'k7'")
     for how, n in (("inner", left.filter("word <> 'k7'").count()), ("left", 3000)):
