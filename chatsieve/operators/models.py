@@ -6,6 +6,7 @@ import itertools
 import random
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -243,6 +244,7 @@ def grid_search(
     split: str = "split",
     sample: int | None = None,
     seed: int = 42,
+    parallelism: int = 4,
     text: str = "message",
     truth: str = "toxic",
 ) -> DataFrame:
@@ -251,7 +253,8 @@ def grid_search(
 
     Settings: c, min_df, max_df, ngram, analyzer. ``best`` marks the highest F1 on the
     toxic class, ``on_edge`` a best value at the end of a range, a hint to look further.
-    Combinations that share a vectoriser share its fitted features.
+    Combinations that share a vectoriser share its fitted features and are fitted
+    ``parallelism`` at a time.
     """
     names = list(grid)
     combos = [dict(zip(names, values)) for values in itertools.product(*grid.values())]
@@ -266,10 +269,14 @@ def grid_search(
     for settings, members in by_features.items():
         features = fit_features(train, **dict(settings), text=text)
         with prepared(train, features, truth) as (fitted, n), prepared(test, features, truth, truth) as (held_out, _):
-            for combo in members:
+
+            def judge(combo: dict) -> tuple[dict, dict]:
                 model = logistic(combo.get("c", 1.0), n).fit(fitted)
                 scored = model.transform(held_out).withColumn("pred", F.col("prediction") == 1.0)
-                results.append((combo, toxic_scores(scored, truth)))
+                return combo, toxic_scores(scored, truth)
+
+            with ThreadPool(min(parallelism, len(members))) as pool:
+                results += pool.map(judge, members)
     best = max(range(len(results)), key=lambda i: (results[i][1]["f1"], -i))
     rows = []
     for i, (combo, measures) in enumerate(results):

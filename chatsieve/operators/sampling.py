@@ -14,8 +14,8 @@ from pyspark.sql.window import Window
 from chatsieve.functions.text import seeded_order
 from chatsieve.operators.skew import heaviest
 
-# Ranks are worked out per leading part of the order hash: 16 ** 3 parts per class.
-HASH_PREFIX = 3
+# Ranks are worked out per leading part of the order hash: 16 ** 4 parts per class.
+HASH_PREFIX = 4
 MAX_CLASSES = 100
 ROWS_PER_BUCKET = 100_000
 

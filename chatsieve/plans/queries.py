@@ -80,7 +80,7 @@ def read_messages(spark, d):
     rows.write.csv(
         path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
-    back = readers.read_messages(spark, path)
+    back = readers.stored(readers.read_messages(spark, path), scratch_path(spark, "stored"))
     return back.select("index", F.md5("message").alias("message_md5"), "label")
 
 
@@ -484,7 +484,7 @@ def fit_logistic(spark, d):
 
 @query
 def fit_logistic_cv(spark, d):
-    _, search = models.fit_logistic_cv(train_rows(spark, d), max_iter=50)
+    _, search = models.fit_logistic_cv(train_rows(spark, d), max_iter=50, parallelism=8)
     return search
 
 

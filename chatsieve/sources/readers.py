@@ -35,8 +35,8 @@ def read_messages(
     """Labelled messages: incomplete rows dropped, label as int (also from ``3.0``),
     index as long. Other columns of the file stay.
 
-    A file with line breaks in its fields is read by one task; give a folder of files,
-    and keep the result as Parquet for repeated use.
+    A file with line breaks in its fields is read by one task: give a folder of files,
+    and keep the result with ``stored`` for repeated use.
     """
     raw = read_csv(spark, path)
     missing = [c for c in MESSAGE_COLUMNS[1:] if c not in raw.columns]
@@ -61,3 +61,10 @@ def read_wordlist(spark: SparkSession, path: str) -> DataFrame:
     """One word per line, trimmed, blank lines skipped."""
     trimmed = F.regexp_replace("value", r"(?U)^\s+|\s+$", "")
     return spark.read.text(path).select(trimmed.alias("word")).filter(F.col("word") != "")
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Keep a table as Parquet, in pieces every executor can read by itself, and go on
+    from there."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -136,3 +136,18 @@ def test_train_and_evaluate_use_the_same_split(spark, tmp_path):
     assert names["review"].count() == 5 and names["summary"].first().flagged >= 5
     by_model, _ = load_model(spark, path)
     assert workflows.review_names(tables.names(spark, DATA), model=by_model, order="id")["summary"].first().total == 200
+
+
+def test_quality_floors(spark):
+    """Rules and a tuned character model on the labelled texts."""
+    from chatsieve.operators.rules import rule_flag
+
+    messages = tables.messages(spark, "/root/testdata/sf0.01")
+    rules = models.toxic_scores(rule_flag(messages, tables.WORDS), pred="flagged")
+    assert rules["precision"] == 1.0 and rules["f1"] > 0.78
+    split = stratified_split(messages)
+    fitted = models.fit_logistic(
+        split.filter("split = 'train'"), c=100.0, min_df=3, max_df=0.2, ngram=(1, 4), analyzer="char"
+    )
+    learned = models.toxic_scores(models.score(split.filter("split = 'test'"), fitted))
+    assert learned["f1"] > 0.6 and learned["accuracy"] > 0.9
