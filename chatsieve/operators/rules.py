@@ -1,7 +1,6 @@
 """Word-list rules: flag, count, censor, explain and make exceptions.
 
-Word lists are Python iterables, or DataFrames with a ``word`` column for lists
-that are too large to write into a pattern.
+Word lists are Python iterables or DataFrames with a ``word`` column.
 """
 
 from __future__ import annotations
@@ -21,15 +20,18 @@ from chatsieve.functions.patterns import (
     matches_any,
     substring_pattern,
 )
-from chatsieve.functions.text import lower_all, segment_array, token_array
+from chatsieve.functions.text import char_ngram_array, lower_all, segment_array, token_array
 from chatsieve.operators.skew import join_lookup
 
 MODES = ("boundary", "substring", "caps", "token")
 
 # A word table of up to this many words is written into the expression: a look-up in
-# a hash set per token, and no shuffle. A larger one is joined.
+# a hash set per piece of text, and no shuffle. A larger one is joined.
 ROW_LOCAL_WORDS = 20_000
 
+# From this many words on, hash look-ups beat trying every word at every position.
+HASHED_WORDS = 100
+
 
 def literal_words(words: Iterable[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
@@ -46,6 +48,16 @@ def listed_words(words: DataFrame) -> DataFrame:
     return words.select(word).filter(F.col("word") != "").distinct()
 
 
+def word_list(words: Iterable[str] | DataFrame) -> list[str]:
+    """The words of a list or table for rules that are patterns."""
+    if not isinstance(words, DataFrame):
+        return clean_words(words)
+    few = short_list(words, ROW_LOCAL_WORDS)
+    if few is None:
+        raise ValueError(f"this rule takes at most {ROW_LOCAL_WORDS} words")
+    return clean_words(few)
+
+
 def holds_any(pieces: Column, words: Iterable[str]) -> Column:
     """True where an array holds one of the (lower-case) words."""
     words = list(dict.fromkeys(words))
@@ -55,24 +67,35 @@ def holds_any(pieces: Column, words: Iterable[str]) -> Column:
 
 
 def rule_expr(text: Column, words: Iterable[str], mode: str = "boundary") -> Column:
-    """Boolean rule over one text column; row-local in every mode."""
+    """Boolean rule over one text column; row-local in every mode.
+
+    Short lists are patterns. Of long ones the pieces of a text are looked up in lower
+    case: its words, its segments, or its substrings of the lengths in the list.
+    """
     words = clean_words(words)
-    if mode == "boundary":
-        return matches_any(text, words, boundary_pattern)
-    if mode == "substring":
+    lowered = [w.lower() for w in words]
+    if mode == "substring" and len(words) <= HASHED_WORDS:
         return matches_any(text, words, substring_pattern)
-    if mode in ("caps", "token"):
-        return holds_any(pieces_of(text, mode), [w.lower() for w in words])
-    raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    if mode == "boundary":
+        rest = [w for w in words if not is_single_token(w)]
+        if len(words) - len(rest) <= HASHED_WORDS:
+            return matches_any(text, words, boundary_pattern)
+        hit = holds_any(pieces_of(text, mode), [w for w in lowered if is_single_token(w)])
+        return hit | matches_any(text, rest, boundary_pattern) if rest else hit
+    return holds_any(pieces_of(text, mode, {len(w) for w in lowered}), lowered)
 
 
-def pieces_of(text: Column, mode: str) -> Column:
+def pieces_of(text: Column, mode: str, lengths: Iterable[int] = ()) -> Column:
     """The lower-case parts of a text that must equal a listed word."""
     if mode == "token":
         return token_array(text)
+    if mode == "boundary":
+        return F.regexp_extract_all(F.lower(text), F.lit(WORD_CHAR + "+"), F.lit(0))
     if mode == "caps":
         return lower_all(segment_array(text))
-    raise ValueError("a word table is matched in the modes 'token' and 'caps'")
+    if mode == "substring":
+        return F.concat(*[char_ngram_array(F.lower(text), n) for n in sorted(lengths)])
+    raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
 
 
 def rule_flag(
@@ -85,16 +108,22 @@ def rule_flag(
 ) -> DataFrame:
     """Add a boolean column: does the text break the word-list rule?
 
-    A word DataFrame is matched in ``token`` and ``caps`` mode, by joins when it is
-    too large for an expression.
+    A word DataFrame may have any size; one that is too large for an expression is
+    joined. Then pass only the columns that are needed, since rows meet by id.
     """
     if not isinstance(words, DataFrame):
         return df.withColumn(out, rule_expr(F.col(text), words, mode))
-    pieces = pieces_of(F.col(text), mode)
     few = short_list(words, ROW_LOCAL_WORDS)
     if few is not None:
-        return df.withColumn(out, holds_any(pieces, clean_words(few)))
-    hits = token_hits(df, words, mode, text, id_col)
+        return df.withColumn(out, rule_expr(F.col(text), few, mode))
+    hits = token_hits(df, words, mode, text, id_col).select(id_col)
+    if mode == "boundary":
+        phrases = words.filter(~F.trim("word").rlike(f"^{WORD_CHAR}*$"))
+        few = short_list(phrases, ROW_LOCAL_WORDS)
+        if few is None:
+            raise ValueError(f"more than {ROW_LOCAL_WORDS} entries of the word table are not single words")
+        if few:
+            hits = hits.unionByName(df.filter(matches_any(F.col(text), few)).select(id_col))
     return with_flag(df, hits, text, id_col, out)
 
 
@@ -106,7 +135,11 @@ def token_hits(
     The vocabulary, counted with map-side partial sums, meets the word table first.
     Only the words in use go on, with their counts, to the join with the texts.
     """
-    pieces = F.array_distinct(pieces_of(F.col(text), mode))
+    lengths = []
+    if mode == "substring":
+        rows = listed_words(words).select(F.length("word").alias("n")).distinct().collect()
+        lengths = [r["n"] for r in rows]
+    pieces = F.array_distinct(pieces_of(F.col(text), mode, lengths))
     pairs = df.select(id_col, F.explode(pieces).alias("word"))
     in_use = pairs.groupBy("word").count().join(listed_words(words), "word", "left_semi")
     return join_lookup(pairs, in_use, "word", "count", F.col(id_col)).select(id_col, "word")
@@ -139,7 +172,7 @@ def contains_word(
 
 def censor(
     df: DataFrame,
-    words: Iterable[str],
+    words: Iterable[str] | DataFrame,
     mode: str = "boundary",
     per_char: bool = False,
     text: str = "message",
@@ -147,7 +180,7 @@ def censor(
 ) -> DataFrame:
     """Star out matched words: ``***`` for each match, or one star per character."""
     make = {"boundary": boundary_pattern, "substring": substring_pattern}[mode]
-    pattern = make(words)
+    pattern = make(word_list(words))
     if not per_char:
         return df.withColumn(out, F.regexp_replace(F.col(text), pattern, "***"))
     stars = F.transform(
@@ -161,7 +194,7 @@ def censor(
 
 def explain_match(
     df: DataFrame,
-    words: Iterable[str],
+    words: Iterable[str] | DataFrame,
     mode: str = "boundary",
     text: str = "message",
     id_col: str = "id",
@@ -172,7 +205,7 @@ def explain_match(
     Only hits are shuffled, without the texts.
     """
     make = {"boundary": boundary_pattern, "substring": substring_pattern}[mode]
-    pattern = make(words)
+    pattern = make(word_list(words))
     hits = (
         df.select(
             id_col,
@@ -204,7 +237,7 @@ def explain_match(
 
 def apply_exceptions(
     df: DataFrame,
-    words: Iterable[str],
+    words: Iterable[str] | DataFrame,
     allow: Iterable[str] | DataFrame,
     text: str = "message",
     id_col: str = "id",
@@ -215,6 +248,7 @@ def apply_exceptions(
     A short list is blanked out of the text by a pattern. A long allow table is
     taken out by an anti join on the words that hold a hit, which are few.
     """
+    words = word_list(words)
     if isinstance(allow, DataFrame):
         few = short_list(allow, WORDS_PER_PATTERN)
         allow = allow if few is None else few
@@ -232,12 +266,12 @@ def apply_exceptions(
 
 def rule_scorecard(
     df: DataFrame,
-    words: Iterable[str],
+    words: Iterable[str] | DataFrame,
     text: str = "message",
     truth: str = "toxic",
 ) -> DataFrame:
     """Per word: flagged, correct, incorrect and precision."""
-    words = clean_words(words)
+    words = word_list(words)
     if all(map(is_single_token, words)):
         lowered = literal_words(dict.fromkeys(w.lower() for w in words))
         whole_words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD_CHAR + "+"), F.lit(0))

@@ -212,11 +212,16 @@ EXPECTED = {
     "rule_flag_token": f"WITH {TEXTS} SELECT id, {hit('message')} AS flagged FROM texts",
     "rule_flag_token_table": f"WITH {TEXTS}, {WORD_TABLE}, h AS (SELECT DISTINCT id FROM ({tokens_of('texts')})"
     " WHERE term IN (SELECT word FROM word_table)) SELECT id, id IN (SELECT id FROM h) AS flagged FROM texts",
+    "rule_flag_boundary_table": f"WITH {TEXTS}, {WORD_TABLE}, h AS (SELECT DISTINCT id FROM (SELECT id,"
+    f" unnest(regexp_extract_all(lower(message), '{L}+')) AS term FROM texts) WHERE term IN (SELECT word FROM word_table))"
+    " SELECT id, id IN (SELECT id FROM h) AS flagged FROM texts",
+    "rule_flag_substring_table": f"WITH {NAMES}, {WORD_TABLE} SELECT id, CASE WHEN author IS NOT NULL THEN"
+    " EXISTS (SELECT 1 FROM word_table WHERE contains(lower(author), word)) END AS flagged FROM names",
     "token_hits": f"WITH {TEXTS}, {WORD_TABLE} SELECT DISTINCT id, term AS word FROM ({tokens_of('texts')})"
     " WHERE term IN (SELECT word FROM word_table)",
     "rule_flag_caps_table": f"WITH {NAMES}, {WORD_TABLE}, s AS (SELECT id, lower(unnest({SEGMENTS})) AS word FROM names),"
     " h AS (SELECT DISTINCT id FROM s WHERE word IN (SELECT word FROM word_table))"
-    " SELECT id, id IN (SELECT id FROM h) AS flagged FROM names",
+    " SELECT id, CASE WHEN author IS NOT NULL THEN id IN (SELECT id FROM h) END AS flagged FROM names",
     "name_segments": f"WITH {NAMES} SELECT id, array_to_string({SEGMENTS}, ' ') AS segments FROM names",
     "normalise_text": normalised() + " SELECT id, normalised FROM norm",
     "rule_flag_normalised": normalised() + f" SELECT id, {hit('normalised')} AS flagged FROM norm",

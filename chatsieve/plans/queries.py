@@ -173,6 +173,16 @@ def rule_flag_token_table(spark, d):
     )
 
 
+@query
+def rule_flag_boundary_table(spark, d):
+    return rules.rule_flag(tables.texts(spark, d), word_table(spark, d)).select("id", "flagged")
+
+
+@query
+def rule_flag_substring_table(spark, d):
+    return rules.rule_flag(tables.names(spark, d), word_table(spark, d), "substring", text="author").select("id", "flagged")
+
+
 @query
 def token_hits(spark, d):
     return rules.token_hits(tables.texts(spark, d), word_table(spark, d))

@@ -107,7 +107,7 @@ def test_word_table_equals_word_list(frame, monkeypatch):
     texts = ["the ass is here", "nothing", "BB and ass", "assess", ""]
     df = frame(list(enumerate(texts)), "id int, message string")
     table = frame([("ass",), ("bb ",), ("zz",)], "word string")
-    for mode in ("token", "caps"):
+    for mode in rules.MODES:
         by_list = rules.rule_flag(df, ["ass", "bb", "zz"], mode).orderBy("id").collect()
         for limit in (100, 1):
             monkeypatch.setattr(rules, "ROW_LOCAL_WORDS", limit)
@@ -117,11 +117,30 @@ def test_word_table_equals_word_list(frame, monkeypatch):
     assert flags(frame, texts, many, "token") == [True, False, True, False, False]
 
 
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text("aAbBsS1_- $é", max_size=14), min_size=60, max_size=60))
+def test_long_lists_give_what_patterns_give(frame, texts):
+    words = ["ass", "bb", "É", "a$", "s1", "a b", *(f"filler{i}" for i in range(120))]
+    df = frame(list(enumerate(texts)), "id int, message string")
+    table = frame([(w,) for w in words], "word string")
+    for mode in ("boundary", "substring"):
+        short = rules.rule_flag(df, words[:6], mode, out="short")
+        both = rules.rule_flag(short, words, mode, out="long")
+        assert both.filter("short <> long").collect() == []
+        local, rules.ROW_LOCAL_WORDS = rules.ROW_LOCAL_WORDS, 30
+        try:
+            joined = rules.rule_flag(short, table, mode, out="joined")
+            assert joined.filter("short <> joined").collect() == [] and joined.count() == len(texts)
+        finally:
+            rules.ROW_LOCAL_WORDS = local
+
+
 def test_censor(frame):
     df = frame([(1, "you Ass ass, assessment")], "id int, message string")
     assert rules.censor(df, ["ass"]).first().censored == "you *** ***, assessment"
     assert rules.censor(df, ["ass"], "substring").first().censored == "you *** ***, ***essment"
     assert rules.censor(df, ["you", "assess"], "substring", per_char=True).first().censored == "*** Ass ass, ******ment"
+    assert rules.censor(df, frame([("ass ",)], "word string")).first().censored == "you *** ***, assessment"
     once = rules.censor(df, ["ass"]).select("id", F.col("censored").alias("message"))
     assert rules.censor(once, ["ass"]).first().censored == once.first().message
 
