@@ -353,6 +353,14 @@ EXPECTED = {
     "fit_naive_bayes": f"WITH {MSGS}, {TFIDF}, c AS (SELECT term, sum(tf) FILTER (toxic) AS a, sum(tf) FILTER (NOT toxic) AS b"
     " FROM raw JOIN msgs USING (id) GROUP BY term), t AS (SELECT sum(a) AS ta, sum(b) AS tb, count(*) AS v FROM c)"
     " SELECT term, round(ln((coalesce(a, 0) + 1)::DOUBLE / (ta + v)) - ln((coalesce(b, 0) + 1)::DOUBLE / (tb + v)), 6) AS log_odds FROM c, t",
+    "score_naive_bayes": f"WITH {TEXTS}, {MSGS}, {TFIDF}, c AS (SELECT term, sum(tf) FILTER (toxic) AS a,"
+    " sum(tf) FILTER (NOT toxic) AS b FROM raw JOIN msgs USING (id) GROUP BY term),"
+    " t AS (SELECT sum(a) AS ta, sum(b) AS tb, count(*) AS v FROM c),"
+    " w AS (SELECT term, ln((coalesce(a, 0) + 1)::DOUBLE / (ta + v)) - ln((coalesce(b, 0) + 1)::DOUBLE / (tb + v)) AS odds FROM c, t),"
+    " p AS (SELECT ln(count(*) FILTER (toxic) + 1) - ln(count(*) FILTER (NOT toxic) + 1) AS prior FROM msgs),"
+    f" s AS (SELECT id, sum(odds) AS total FROM ({tokens_of('texts')}) JOIN w USING (term) GROUP BY id)"
+    " SELECT texts.id, round(1 / (1 + exp(least(700, -(prior + coalesce(total, 0))))), 6) AS probability"
+    " FROM p, texts LEFT JOIN s ON texts.id = s.id",
     "annotate": f"""WITH {TEXTS}, {MSGS}, {CACHE}, a AS (SELECT id, k IS NOT NULL AS cache_hit, cache.verdict AS cached,
  length(message) AS n, {hit('message')} AS h FROM texts LEFT JOIN cache ON sha256(message) = k)
  SELECT id, CASE WHEN cache_hit THEN 'OK' WHEN n % 17 = 0 THEN 'BLOCKED' WHEN n % 19 = 0 THEN 'INVALID' ELSE 'OK' END AS status,

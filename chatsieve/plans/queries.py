@@ -532,6 +532,13 @@ def fit_naive_bayes(spark, d):
     return spark.createDataFrame(odds, "term string, odds double").select("term", F.round("odds", 6).alias("log_odds"))
 
 
+@query
+def score_naive_bayes(spark, d):
+    """Every text scored by the counts model of the labelled ones."""
+    model = models.fit_naive_bayes(tables.messages(spark, d), min_df=3, max_df=0.2)
+    return models.score(tables.texts(spark, d), model).select("id", F.round("probability", 6).alias("probability"))
+
+
 @query
 def fit_random_forest(spark, d):
     model = models.fit_random_forest(train_rows(spark, d))
