@@ -69,8 +69,8 @@ def main(args):
         at = args.index("--sf")
         sf_dir = args[at + 1]
         del args[at : at + 2]
-    from chatsieve.plans.expected_sql import EXPECTED
-    from chatsieve.plans.queries import QUERIES
+    from __spark_entry__ import ALL_QUERIES as QUERIES
+    from __spark_entry__ import ALL_SQL as EXPECTED
     from chatsieve.session import build_session
 
     spark, con = build_session("8"), connect(sf_dir)
