@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from chatsieve.llm.tables import texts_of
 
-LANES, SAMPLED = 256, 0.001
+LANES, ACCURACY = 256, 10_000
 _CUT = re.compile(r"\n+|(?<=[.!?]) +")
 
 
@@ -117,8 +117,9 @@ def edited_fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     given = texts_of(docs)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    cuts = given.select("doc_id").stat.approxQuantile("doc_id", [k / parts for k in range(parts - 1, 0, -1)], SAMPLED)
-    bounds = sorted({int(c) for c in cuts}, reverse=True)
+    shares = [k / parts for k in range(1, parts)] or [0.5]
+    cuts = given.agg(F.percentile_approx("doc_id", shares, ACCURACY)).first()[0]
+    bounds = sorted(set(cuts or []), reverse=True)
     part = _stair(key, bounds, 0, len(bounds))
     heads = given.select(part.alias("part"), key.alias("key")).groupBy("part").agg(F.max("key").alias("head")).collect()
     heads = sorted((r.part, r["head"]) for r in heads)
