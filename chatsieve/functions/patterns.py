@@ -39,6 +39,32 @@ def is_word_char(ch: str) -> bool:
     return ch == "_" or ch.isalnum()
 
 
+def fold_table() -> dict[str, str]:
+    """Letters whose one-character case fold (upper case, then lower case) is not their
+    lower case, like the long s and the final sigma; from the rule, over all letters."""
+    out = {}
+    for c in map(chr, range(0x80, 0x10000)):
+        up = c.upper()
+        if len(up) == 1 and c.isalnum() and len(up.lower()) == 1 and up.lower() != c.lower():
+            out[c] = up.lower()
+    return out | {"\u0130": "i"}
+
+
+FOLDS = fold_table()
+
+
+def fold(word: str) -> str:
+    """The case fold that decides whether two words are the same, whatever the rule mode
+    and the length of the list."""
+    return "".join(FOLDS.get(c, c.lower() if len(c.lower()) == 1 else c) for c in word)
+
+
+def folded(text: Column) -> Column:
+    """``fold`` of a column; it keeps the number of characters."""
+    once = F.lower(F.translate(text, "\u0130", "i"))
+    return F.translate(once, "".join(FOLDS), "".join(FOLDS.values()))
+
+
 def is_single_token(word: str) -> bool:
     return all(is_word_char(c) for c in word)
 
@@ -76,5 +102,7 @@ def substring_pattern(words: Iterable[str]) -> str:
 def matches_any(text: Column, words: Iterable[str], make_pattern=boundary_pattern) -> Column:
     """True where the text matches at least one word."""
     words = clean_words(words)
+    text = folded(text)
+    words = list(dict.fromkeys(map(fold, words)))
     chunks = [words[i : i + WORDS_PER_PATTERN] for i in range(0, len(words), WORDS_PER_PATTERN)]
     return reduce(lambda a, b: a | b, [text.rlike(make_pattern(c)) for c in chunks])

@@ -128,8 +128,9 @@ def error_rows(
 
 
 def flag_summary(df: DataFrame, pred: str = "flagged") -> DataFrame:
+    """Verdicts, flagged and clean; a row without a verdict is neither."""
     return df.agg(
-        F.count("*").alias("total"), F.count_if(F.col(pred)).alias("flagged")
+        F.count(pred).alias("total"), F.count_if(F.col(pred)).alias("flagged")
     ).select(
         "total",
         "flagged",

@@ -55,13 +55,17 @@ def terms_sql(analyzer: str, ngram: tuple[int, int], text: str) -> str:
     text = f"coalesce({text}, '')"
     if analyzer == "word":
         base = f"regexp_extract_all(lower({text}), r'{TOKEN_PATTERN}', 0)"
-        parts = [
-            base
+        if (lo, hi) == (1, 1):
+            return base
+        runs = [
+            "b"
             if n == 1
-            else f"if(size({base}) < {n}, array(), transform(sequence(1, greatest(size({base}) - {n - 1}, 1)),"
-            f" i -> array_join(slice({base}, i, {n}), ' ')))"
+            else f"if(size(b) < {n}, array(), transform(sequence(1, greatest(size(b) - {n - 1}, 1)),"
+            f" i -> array_join(slice(b, i, {n}), ' ')))"
             for n in range(lo, hi + 1)
         ]
+        # The tokens are bound to b once, not found again for every position.
+        return f"transform(array({base}), b -> concat({', '.join(runs)}))[0]"
     elif analyzer == "char":
         base = f"regexp_replace(lower({text}), r'{SPACE_RUN_PATTERN}', ' ')"
         parts = [f"regexp_extract_all({base}, r'(?s)(?=(.{{{n}}})).', 1)" for n in range(lo, hi + 1)]

@@ -174,9 +174,9 @@ def fit_multiclass(
     return PipelineModel(stages=[*features.stages, model])
 
 
-def score(df: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
-    """Add (probability, pred) to every row; a map-only pass."""
-    probability = vector_to_array("probability")[1]
+def score(df: DataFrame, model: PipelineModel, threshold: float = 0.5, text: str = "message") -> DataFrame:
+    """Add (probability, pred) to every row; a map-only pass. A missing text has neither."""
+    probability = F.when(F.col(text).isNotNull(), vector_to_array("probability")[1])
     return model.transform(df).select(
         *df.columns, probability.alias("probability"), (probability > threshold).alias("pred")
     )

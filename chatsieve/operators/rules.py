@@ -13,14 +13,15 @@ from pyspark.sql.window import Window
 
 from chatsieve.functions.patterns import (
     WORD_CHAR,
-    WORDS_PER_PATTERN,
     boundary_pattern,
     clean_words,
+    fold,
+    folded,
     is_single_token,
     matches_any,
     substring_pattern,
 )
-from chatsieve.functions.text import char_ngram_array, lower_all, segment_array, token_array
+from chatsieve.functions.text import char_ngram_array, segment_array, token_array
 from chatsieve.operators.skew import join_lookup
 
 MODES = ("boundary", "substring", "caps", "token")
@@ -44,7 +45,7 @@ def short_list(words: DataFrame, limit: int) -> list[str] | None:
 
 
 def listed_words(words: DataFrame) -> DataFrame:
-    word = F.lower(F.trim("word")).alias("word")
+    word = folded(F.regexp_replace("word", r"^[\s\x{85}\x{a0}]+|[\s\x{85}\x{a0}]+$", "")).alias("word")
     return words.select(word).filter(F.col("word") != "").distinct()
 
 
@@ -69,11 +70,12 @@ def holds_any(pieces: Column, words: Iterable[str]) -> Column:
 def rule_expr(text: Column, words: Iterable[str], mode: str = "boundary") -> Column:
     """Boolean rule over one text column; row-local in every mode.
 
-    Short lists are patterns. Of long ones the pieces of a text are looked up in lower
-    case: its words, its segments, or its substrings of the lengths in the list.
+    Short lists are patterns on the folded text. Of long ones the folded pieces of a text
+    are looked up: its words, its segments, or its substrings of the lengths in the list.
+    Both find the same, since both compare folded characters.
     """
     words = clean_words(words)
-    lowered = [w.lower() for w in words]
+    lowered = [fold(w) for w in words]
     if mode == "substring" and len(words) <= HASHED_WORDS:
         return matches_any(text, words, substring_pattern)
     if mode == "boundary":
@@ -86,15 +88,15 @@ def rule_expr(text: Column, words: Iterable[str], mode: str = "boundary") -> Col
 
 
 def pieces_of(text: Column, mode: str, lengths: Iterable[int] = ()) -> Column:
-    """The lower-case parts of a text that must equal a listed word."""
+    """The folded parts of a text that must equal a listed word."""
     if mode == "token":
-        return token_array(text)
+        return token_array(folded(text))
     if mode == "boundary":
-        return F.regexp_extract_all(F.lower(text), F.lit(WORD_CHAR + "+"), F.lit(0))
+        return F.regexp_extract_all(folded(text), F.lit(WORD_CHAR + "+"), F.lit(0))
     if mode == "caps":
-        return lower_all(segment_array(text))
+        return F.split(folded(F.array_join(segment_array(text), " ")), " ")
     if mode == "substring":
-        return F.concat(*[char_ngram_array(F.lower(text), n) for n in sorted(lengths)])
+        return F.concat(*[char_ngram_array(folded(text), n) for n in sorted(lengths)])
     raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
 
 
@@ -245,25 +247,47 @@ def apply_exceptions(
 ) -> DataFrame:
     """Substring rule in which a hit inside an allow-listed word does not count.
 
-    A short list is blanked out of the text by a pattern. A long allow table is
-    taken out by an anti join on the words that hold a hit, which are few.
+    Allowed phrases (entries with a symbol or space) are blanked out by a pattern first,
+    then allowed words by look-up of every word of the text; the rule is matched on what
+    is left. An allow table of more than ``ROW_LOCAL_WORDS`` words is joined: only texts
+    that the rule hits at all, which are few, are cut up for it and put together again.
     """
     words = word_list(words)
     if isinstance(allow, DataFrame):
-        few = short_list(allow, WORDS_PER_PATTERN)
+        few = short_list(allow, ROW_LOCAL_WORDS)
         allow = allow if few is None else few
     if not isinstance(allow, DataFrame):
-        left_over = F.regexp_replace(F.col(text), boundary_pattern(allow), "\x01")
-        return df.withColumn(out, matches_any(left_over, words, substring_pattern))
-    whole_words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD_CHAR + "+"), F.lit(0))
-    suspects = df.select(id_col, F.explode(F.array_distinct(whole_words)).alias("word")).filter(
-        matches_any(F.col("word"), words, substring_pattern)
+        listed = clean_words(allow)
+        single = list(dict.fromkeys(fold(w) for w in listed if is_single_token(w)))
+        left = without_phrases(F.col(text), [w for w in listed if not is_single_token(w)])
+        if single:
+            blank = F.transform(word_pieces(left), lambda p: F.when(folded(p).isin(single), "\x01").otherwise(p))
+            left = F.array_join(blank, "")
+        return df.withColumn(out, matches_any(left, words, substring_pattern))
+    phrases = short_list(allow.filter(~F.trim("word").rlike(f"^{WORD_CHAR}*$")), ROW_LOCAL_WORDS)
+    if phrases is None:
+        raise ValueError(f"more than {ROW_LOCAL_WORDS} entries of the allow table are not single words")
+    suspects = df.filter(matches_any(F.col(text), words, substring_pattern)).select(
+        id_col, F.posexplode(word_pieces(without_phrases(F.col(text), phrases))).alias("at", "piece")
     )
-    bad_words = suspects.groupBy("word").count().join(listed_words(allow), "word", "left_anti")
-    hits = join_lookup(suspects, bad_words, "word", "count", F.col(id_col))
+    suspects = suspects.withColumn("word", folded(F.col("piece")))
+    in_use = suspects.groupBy("word").count().join(listed_words(allow), "word", "left_semi")
+    found = join_lookup(suspects, in_use, "word", "count", F.struct(id_col, "at"), how="left")
+    part = F.struct("at", F.when(F.col("count").isNull(), F.col("piece")).otherwise("\x01").alias("piece"))
+    whole = found.groupBy(id_col).agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    hits = whole.filter(matches_any(F.array_join("parts.piece", ""), words, substring_pattern))
     return with_flag(df, hits, text, id_col, out)
 
 
+def word_pieces(text: Column) -> Column:
+    """The text cut into its words and what stands between them."""
+    return F.regexp_extract_all(text, F.lit(f"(?s){WORD_CHAR}+|(?:(?!{WORD_CHAR}).)+"), F.lit(0))
+
+
+def without_phrases(text: Column, phrases: list[str]) -> Column:
+    return F.regexp_replace(text, boundary_pattern(phrases), "\x01") if phrases else text
+
+
 def rule_scorecard(
     df: DataFrame,
     words: Iterable[str] | DataFrame,
@@ -273,12 +297,10 @@ def rule_scorecard(
     """Per word: flagged, correct, incorrect and precision."""
     words = word_list(words)
     if all(map(is_single_token, words)):
-        lowered = literal_words(dict.fromkeys(w.lower() for w in words))
-        whole_words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD_CHAR + "+"), F.lit(0))
-        found = F.array_intersect(whole_words, lowered)
+        found = F.array_intersect(pieces_of(F.col(text), "boundary"), literal_words(dict.fromkeys(map(fold, words))))
     else:
         found = F.array_compact(
-            F.array(*[F.when(matches_any(F.col(text), [w]), F.lit(w.lower())) for w in words])
+            F.array(*[F.when(matches_any(F.col(text), [w]), F.lit(fold(w))) for w in words])
         )
     counted = (
         df.select(F.explode(found).alias("word"), truth)
@@ -286,7 +308,7 @@ def rule_scorecard(
         .agg(F.count("*").alias("flagged"), F.count_if(F.col(truth)).alias("correct"))
     )
     listed = df.sparkSession.createDataFrame(
-        [(w,) for w in dict.fromkeys(w.lower() for w in words)], "word string"
+        [(w,) for w in dict.fromkeys(map(fold, words))], "word string"
     )
     return listed.join(counted, "word", "left").select(
         "word",

@@ -76,7 +76,7 @@ def stratified_split(
     )
     place = F.row_number().over(Window.partitionBy(label, "_part").orderBy("_order"))
     last = (
-        narrow.join(turning, [label, "_part"])
+        narrow.join(F.broadcast(turning), [label, "_part"])  # one row per class
         .withColumn("_place", place)
         .filter(F.col("_place") == F.col("_room"))
         .select(label, "_order")

@@ -293,9 +293,9 @@ EXPECTED = {
  UNION ALL SELECT 'weighted avg', round(sum(p * s) / sum(s), 6), round(sum(r * s) / sum(s), 6), round(sum(f * s) / sum(s), 6), sum(s)::BIGINT FROM m""",
     "error_rows": f"WITH {MSGS}, f AS (SELECT *, {inside('message', INNER_WORDS)} AS flagged FROM msgs)"
     " SELECT CASE WHEN flagged THEN 'fp' ELSE 'fn' END AS kind, id, label FROM f WHERE flagged <> toxic",
-    "flag_summary": f"WITH {CAPS} SELECT count(*) AS total, count(*) FILTER (flagged) AS flagged,"
-    " count(*) - count(*) FILTER (flagged) AS clean, round(100.0::DOUBLE * count(*) FILTER (flagged) / count(*), 6) AS flagged_pct,"
-    " round(100.0::DOUBLE * (count(*) - count(*) FILTER (flagged)) / count(*), 6) AS clean_pct FROM caps",
+    "flag_summary": f"WITH {CAPS} SELECT count(flagged) AS total, count(*) FILTER (flagged) AS flagged,"
+    " count(flagged) - count(*) FILTER (flagged) AS clean, round(100.0::DOUBLE * count(*) FILTER (flagged) / count(flagged), 6) AS flagged_pct,"
+    " round(100.0::DOUBLE * (count(flagged) - count(*) FILTER (flagged)) / count(flagged), 6) AS clean_pct FROM caps",
     "precision_projection": f"WITH {CAPS}, hits AS (SELECT id FROM caps WHERE flagged),"
     " sample AS (SELECT id, id % 10 <> 3 AS offensive FROM hits ORDER BY md5('42:' || CAST(id AS VARCHAR)), id LIMIT 50),"
     " c AS (SELECT count(*) AS flagged, count(offensive) AS reviewed, count(*) FILTER (offensive) AS offensive"

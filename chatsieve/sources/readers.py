@@ -15,9 +15,10 @@ NA_TOKENS = (
 MESSAGE_COLUMNS = ("index", "message", "label")
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with a header, quoted fields and line breaks inside quotes, all strings."""
-    return spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True)
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A CSV with a header and quoted fields, all strings. With ``multi_line`` fields may
+    hold line breaks, and one task reads each file; without it large files are split."""
+    return spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multi_line)
 
 
 def without_na(df: DataFrame, na_tokens: Iterable[str]) -> DataFrame:
@@ -30,15 +31,20 @@ def without_na(df: DataFrame, na_tokens: Iterable[str]) -> DataFrame:
 
 
 def read_messages(
-    spark: SparkSession, path: str, na_tokens: Iterable[str] = NA_TOKENS, index: str = "index"
+    spark: SparkSession,
+    path: str,
+    na_tokens: Iterable[str] = NA_TOKENS,
+    index: str = "index",
+    multi_line: bool = True,
 ) -> DataFrame:
     """Labelled messages: incomplete rows dropped, label as int (also from ``3.0``),
     index as long. Other columns of the file stay.
 
-    A file with line breaks in its fields is read by one task: give a folder of files,
-    and keep the result with ``stored`` for repeated use.
+    Without line breaks in the fields, turn ``multi_line`` off, and a large file is read
+    by several tasks. With them give a folder of files, and keep the result with
+    ``stored`` for repeated use.
     """
-    raw = read_csv(spark, path)
+    raw = read_csv(spark, path, multi_line)
     missing = [c for c in MESSAGE_COLUMNS[1:] if c not in raw.columns]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
@@ -47,11 +53,15 @@ def read_messages(
 
 
 def read_usernames(
-    spark: SparkSession, path: str, n: int | None = None, na_tokens: Iterable[str] = NA_TOKENS
+    spark: SparkSession,
+    path: str,
+    n: int | None = None,
+    na_tokens: Iterable[str] = NA_TOKENS,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """The ``author`` column; with ``n`` only the first n rows of the file, from which
+    """The ``author`` column, from files that are split unless names hold line breaks; with ``n`` only the first n rows of the file, from which
     missing names are then dropped."""
-    names = read_csv(spark, path).select("author")
+    names = read_csv(spark, path, multi_line).select("author")
     if n is not None and n > 0:
         names = names.limit(n)
     return without_na(names, na_tokens)

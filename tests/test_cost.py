@@ -117,3 +117,35 @@ def test_hot_rows_are_spread(spark, monkeypatch):
 
 def test_text_key_is_sha256(frame):
     assert frame([("é",)], "m string").select(text_key(F.col("m"))).first()[0] == hashlib.sha256("é".encode()).hexdigest()
+
+
+def test_semantic_cache_of_vectors_without_direction(frame):
+    a = frame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [0.0, 1.0])], "id long, vector array<double>")
+    b = frame([(7, [0.0, 0.0], True), (8, [2.0, 0.1], True), (9, None, False)], "id long, vector array<double>, verdict boolean")
+    got = {r.id: (r.match_id, r.verdict) for r in cost.semantic_cache(a, b, 0.9).collect()}
+    assert got == {1: (8, True), 2: (None, None), 3: (None, None), 4: (None, None)}
+    assert {r.match_id for r in cost.semantic_cache(a, b.limit(0), 0.9).collect()} == {None}
+
+
+def test_semantic_cache_multiplies_few_pairs_of_clusters(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(30, 16))
+    rows = centres[np.arange(600) % 30] + 0.05 * rng.normal(size=(600, 16))
+    table = [(int(i), [float(x) for x in v], bool(i % 2)) for i, v in enumerate(rows)]
+    vectors = spark.createDataFrame(table, "id long, vector array<double>, verdict boolean")
+    new, cache = vectors.filter("id >= 300"), vectors.filter("id < 300")
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    cosines = np.round(unit[300:] @ unit[:300].T, 9)
+    got = {r.id: r.match_id for r in cost.semantic_cache(new, cache, 0.95, cache_rows=7, new_rows=9).collect()}
+    assert all(got[300 + i] == (int(cosines[i].argmax()) if cosines[i].max() >= 0.95 else None) for i in range(300))
+
+
+def test_missing_texts_keep_their_rows_and_are_not_sent(frame):
+    def classify(texts):
+        assert None not in texts
+        return ['{"classification": "clean"}'] * len(texts)
+
+    df = frame([(1, "a"), (2, None), (3, "b")], "id long, message string")
+    got = {r.id: r.status for r in cost.annotate(df, classify, cache_of(frame, {"b": True})).collect()}
+    assert got == {1: "OK", 2: "NO_TEXT", 3: "OK"}
+    assert cost.cached_annotate(df, cache_of(frame, {"z": True}))[1].count() == 2

@@ -166,12 +166,42 @@ def test_exceptions(frame, monkeypatch):
     by_list = [r.flagged for r in rules.apply_exceptions(df, ["ass"], allow).orderBy("id").collect()]
     table = frame([(w,) for w in allow], "word string")
     assert by_list == [False, True, True, False, None]
-    for limit in (500, 1):
-        monkeypatch.setattr(rules, "WORDS_PER_PATTERN", limit)
+    for limit in (20_000, 1):
+        monkeypatch.setattr(rules, "ROW_LOCAL_WORDS", limit)
         by_table = [r.flagged for r in rules.apply_exceptions(df, ["ass"], table).orderBy("id").collect()]
         assert by_table == by_list
 
 
+def test_exceptions_with_symbols_and_phrases(frame, monkeypatch):
+    texts = ["f*ck you", "i love new york", "yorkſhire", "York, New", "a f*ck new\tyork"]
+    df = frame(list(enumerate(texts)), "id int, message string")
+    allow = ["new york", "Yorkshire", "\tclass ", *[f"filler{i}" for i in range(30)]]
+    table = frame([(w,) for w in allow], "word string")
+    rule = ["f*ck", "york"]
+    want = [True, False, False, True, True]
+    assert [r.flagged for r in rules.apply_exceptions(df, rule, allow).orderBy("id").collect()] == want
+    for limit in (20_000, 5):
+        monkeypatch.setattr(rules, "ROW_LOCAL_WORDS", limit)
+        assert [r.flagged for r in rules.apply_exceptions(df, rule, table).orderBy("id").collect()] == want
+
+
+def test_list_length_and_kind_change_no_answer(frame, monkeypatch):
+    texts = ["you aſſ there", "μασ", "Kill it", "you ass there", "ΜΑΣ!", "K\u0131ll", "s\u00b5rf", None, "nothing", "class"]
+    df = frame(list(enumerate(texts)), "id int, message string")
+    base = ["ass", "μας", " kill\t", "sμrf"]
+    for mode in ("boundary", "substring", "token"):
+        seen = []
+        for n in (0, 96, 97, 600):
+            words = base + [f"filler{i}x" for i in range(n)]
+            seen.append([r.flagged for r in rules.rule_flag(df, words, mode).orderBy("id").collect()])
+        table = frame([(w,) for w in words], "word string")
+        for limit in (20_000, 3):
+            monkeypatch.setattr(rules, "ROW_LOCAL_WORDS", limit)
+            seen.append([r.flagged for r in rules.rule_flag(df, table, mode).orderBy("id").collect()])
+        assert all(s == seen[0] for s in seen), mode
+        assert seen[0][:7] == [True] * 7 and seen[0][7] is None
+
+
 def test_scorecard_paths_agree(frame):
     rows = [(1, "bad bad dog", True), (2, "bad cat", False), (3, "dog", True)]
     df = frame(rows, "id int, message string, toxic boolean")
