@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chatsieve.functions.text import seeded_order, token_array
 
@@ -89,7 +90,7 @@ def greedy_rules(
 
 def error_terms(
     df: DataFrame,
-    kind: str = "fn",
+    kind: str | None = "fn",
     k: int = 20,
     min_df: int = 3,
     text: str = "message",
@@ -97,26 +98,38 @@ def error_terms(
     pred: str = "flagged",
 ) -> DataFrame:
     """Words that errors hold more often than other rows: smoothed log ratio of the
-    shares of texts with the word. Kinds: ``fp`` and ``fn``."""
-    wrong = (F.col(pred) & ~F.col(truth)) if kind == "fp" else (~F.col(pred) & F.col(truth))
-    marked = df.withColumn("_wrong", wrong)
-    sizes = marked.agg(
-        F.struct(F.count_if("_wrong").alias("error"), F.count_if(~F.col("_wrong")).alias("other")).alias("n")
-    ).scalar()
-    in_error, in_other = sizes["error"], sizes["other"]
+    shares of texts with the word. Kinds: ``fp``, ``fn``, or both of them (None), which
+    are counted in one pass over the texts."""
+    wrong = {"fp": F.col(pred) & ~F.col(truth), "fn": ~F.col(pred) & F.col(truth)}
+    kinds = [kind] if kind else ["fp", "fn"]
+    marked = df.select(text, *[wrong[x].alias(x) for x in kinds])
+
+    def sums(name: str) -> list:
+        return [f(c).alias(f"{x}_{name}{n}") for x in kinds for f, c, n in ((F.count_if, F.col(x), 1), (F.count_if, ~F.col(x), 0))]
+
+    sizes = marked.agg(*sums("n"))
     counted = (
-        marked.select("_wrong", F.explode(F.array_distinct(token_array(F.col(text)))).alias("term"))
+        marked.select(*kinds, F.explode(F.array_distinct(token_array(F.col(text)))).alias("term"))
         .groupBy("term")
-        .agg(F.count_if("_wrong").alias("error_texts"), F.count_if(~F.col("_wrong")).alias("other_texts"))
-        .filter((F.col("error_texts") > 0) & (F.col("error_texts") + F.col("other_texts") >= min_df))
-    )
-    score = F.ln(
-        ((F.col("error_texts") + 0.5) / (in_error + 1.0)) / ((F.col("other_texts") + 0.5) / (in_other + 1.0))
+        .agg(*sums("t"))
     )
-    return (
-        counted.select(F.lit(kind).alias("kind"), "term", "error_texts", "other_texts", F.round(score, 6).alias("score"))
-        .orderBy(F.desc("score"), "term")
-        .limit(k)
+    rows = [
+        F.struct(
+            F.lit(x).alias("kind"),
+            F.col(f"{x}_t1").alias("error_texts"),
+            F.col(f"{x}_t0").alias("other_texts"),
+            F.round(
+                F.ln(((F.col(f"{x}_t1") + 0.5) / (F.col(f"{x}_n1") + 1.0)) / ((F.col(f"{x}_t0") + 0.5) / (F.col(f"{x}_n0") + 1.0))),
+                6,
+            ).alias("score"),
+        )
+        for x in kinds
+    ]
+    scored = counted.crossJoin(F.broadcast(sizes)).select("term", F.inline(F.array(*rows)))  # sizes: one row
+    scored = scored.filter((F.col("error_texts") > 0) & (F.col("error_texts") + F.col("other_texts") >= min_df))
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("score"), "term"))
+    return scored.withColumn("_place", place).filter(F.col("_place") <= k).select(
+        "kind", "term", "error_texts", "other_texts", "score"
     )
 
 

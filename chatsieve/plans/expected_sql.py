@@ -38,8 +38,10 @@ NAMES = f"""names AS (SELECT id, CASE id % 6
   WHEN 0 THEN a || w WHEN 1 THEN upper(a[1]) || a[2:] || upper(w[1]) || w[2:] WHEN 2 THEN a || '-' || w
   WHEN 3 THEN upper(a[1]) || a[2:] || upper(b[1]) || b[2:] WHEN 4 THEN a || '_' || b
   ELSE upper(w) || CAST(id AS VARCHAR) END AS author
-  FROM (SELECT doc_id AS id, lower(regexp_extract_all(text, '[A-Za-z]+')[1]) AS a,
-    lower(regexp_extract_all(text, '[A-Za-z]+')[2]) AS b, ([{quoted(WORDS)}])[doc_id % 10 + 1] AS w FROM documents))"""
+  FROM (SELECT doc_id * 1000000 + i - 1 AS id, lower(ws[i]) AS a, lower(ws[i + 1]) AS b,
+    ([{quoted(WORDS)}])[(doc_id * 1000000 + i - 1) % 10 + 1] AS w
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i
+      FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z]+') AS ws FROM documents))))"""
 SEGMENTS = (
     "flatten(list_transform(regexp_split_to_array(author, '[^a-zA-Z0-9]+'),"
     r" lambda p: regexp_extract_all(p, '[A-Z]*[a-z]+|[A-Z]+\b|[0-9]+')))"
@@ -181,7 +183,7 @@ REPLIES = """replies AS (SELECT *, CASE WHEN id % 17 = 0 THEN NULL WHEN id % 19
    WHEN answer IN ('profane', 'clean') THEN 'OK' ELSE 'INVALID' END AS status,
    CASE WHEN answer IN ('profane', 'clean') THEN answer = 'profane' END AS verdict FROM parsed)"""
 BUCKETED = (
-    "bucketed AS (SELECT id, ('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT % 4 AS bucket FROM texts),"
+    "bucketed AS (SELECT id, ('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT % (1 + (SELECT count(*) FROM texts) // 100000) AS bucket FROM texts),"
     " numbered AS (SELECT id, bucket, row_number() OVER (PARTITION BY bucket ORDER BY id) - 1 AS no FROM bucketed)"
 )
 TFIDF = f"""tf AS (SELECT id, term, count(*) AS tf FROM ({tokens_of('msgs')}) GROUP BY id, term),
@@ -194,8 +196,13 @@ TFIDF = f"""tf AS (SELECT id, term, count(*) AS tf FROM ({tokens_of('msgs')}) GR
 EXPECTED = {
     "read_messages": f"WITH {MSGS} SELECT id AS index, md5(message) AS message_md5, label FROM msgs WHERE id % 29 <> 0",
     "read_usernames": f"WITH {NAMES} SELECT author FROM names WHERE author IS NOT NULL",
-    "read_wordlist": "SELECT lower(regexp_extract(text, '[A-Za-z]+')) AS word FROM documents"
-    " WHERE doc_id % 7 <> 0 AND regexp_extract(text, '[A-Za-z]+') <> ''",
+    "read_wordlist": "SELECT lower(ws[i]) AS word FROM (SELECT ws, unnest(range(1, len(ws) + 1)) AS i"
+    " FROM (SELECT regexp_extract_all(text, '[A-Za-z]+') AS ws FROM documents)) WHERE (i - 1) % 7 <> 0",
+    "review_names": f"WITH {CAPS} SELECT id, author FROM caps WHERE flagged"
+    " ORDER BY md5('42:' || CAST(id AS VARCHAR)), id LIMIT 50",
+    "evaluate_rules": f"WITH {FLAGGED}, e AS (SELECT CASE WHEN flagged THEN 'fp' ELSE 'fn' END AS kind, id FROM flagged"
+    " WHERE flagged <> toxic) SELECT kind, id FROM (SELECT *, row_number() OVER (PARTITION BY kind"
+    " ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) AS r FROM e) WHERE r <= 10",
     "save_load_model": f"WITH {MSGS}, {SPLIT} SELECT id, true AS same FROM split WHERE split = 'test'",
     "stream_score": "SELECT doc_id AS id, true AS same FROM documents",
     "union_datasets": f"WITH {MSGS} SELECT id, md5(message) AS message_md5, label, 'documents' AS dataset FROM msgs"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from chatsieve.functions.text import text_key
 from chatsieve.operators import cost, evaluate, features, fuzzy, mining, models, rules, sampling
 from chatsieve.operators import tokens as token_ops
-from chatsieve.plans import tables
+from chatsieve.plans import tables, workflows
 from chatsieve.plans.tables import WORDS
 from chatsieve.session import scratch_path
 from chatsieve.sources import model_store, readers
@@ -94,9 +94,9 @@ def read_usernames(spark, d):
 @query
 def read_wordlist(spark, d):
     path = scratch_path(spark, "words")
-    first = F.lower(F.regexp_extract("text", "[A-Za-z]+", 0))
-    lines = tables.documents(spark, d).select(
-        F.when(F.col("doc_id") % 7 == 0, "   ").otherwise(F.concat(F.lit("  "), first, F.lit("\t"))).alias("value")
+    every = F.posexplode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("at", "word")
+    lines = tables.documents(spark, d).select(every).select(
+        F.when(F.col("at") % 7 == 0, "   ").otherwise(F.concat(F.lit("  "), F.lower("word"), F.lit("\t"))).alias("value")
     )
     lines.write.text(path)
     return readers.read_wordlist(spark, path)
@@ -404,8 +404,7 @@ def greedy_rules(spark, d):
 
 @query
 def error_terms(spark, d):
-    f = flagged(spark, d)
-    return mining.error_terms(f, "fn", 20).unionByName(mining.error_terms(f, "fp", 20))
+    return mining.error_terms(flagged(spark, d), None, 20)
 
 
 @query
@@ -423,6 +422,22 @@ def capacity_estimate(spark, d):
     return cost.capacity_estimate(tables.texts(spark, d), 0.1, 0.54, 30)
 
 
+@query
+def review_names(spark, d):
+    """The names job: the flagged names to check by hand."""
+    found = workflows.review_names(tables.names(spark, d), WORDS)
+    return found["review"].select("id", "author")
+
+
+@query
+def evaluate_rules(spark, d):
+    """The evaluation job: its samples of false positives and false negatives."""
+    found = workflows.evaluate_rules(tables.messages(spark, d), WORDS)
+    return found["false_positives"].select(F.lit("fp").alias("kind"), "id").union(
+        found["false_negatives"].select(F.lit("fn").alias("kind"), "id")
+    )
+
+
 # --- windows, samples, splits ------------------------------------------------------
 
 
@@ -434,12 +449,12 @@ def with_context(spark, d):
 
 @query
 def pack_batches(spark, d):
-    return sampling.pack_batches(tables.texts(spark, d).select("id"), 100, 4)
+    return sampling.pack_batches(tables.texts(spark, d).select("id"), 100)
 
 
 @query
 def request_batches(spark, d):
-    packed = sampling.request_batches(tables.texts(spark, d), 100, 4)
+    packed = sampling.request_batches(tables.texts(spark, d), 100)
     ids = F.array_join(F.transform("items", lambda i: i["id"].cast("string")), ",")
     return packed.select("bucket", "batch", "n", ids.alias("ids"))
 

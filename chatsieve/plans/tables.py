@@ -20,11 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, dealt to all cores when they come in fewer files than that. A
-    large table has many files and is read where it lies, without a shuffle."""
+    """The documents, dealt to all cores when the scan has fewer parts than that. A large
+    table has many parts and is read where it lies, without a shuffle."""
     docs = table(spark, sf_dir, "documents")
     cores = spark.sparkContext.defaultParallelism
-    return docs.repartition(cores, "doc_id") if len(docs.inputFiles()) < cores else docs
+    return docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,11 +44,14 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names made of the first two words of each text and an insult: (id, author)."""
-    first = F.nullif(F.regexp_extract("text", "[A-Za-z]+", 0), F.lit(""))
-    second = F.nullif(F.regexp_extract("text", "[A-Za-z]+[^A-Za-z]+([A-Za-z]+)", 1), F.lit(""))
-    docs = documents(spark, sf_dir).select(
-        F.col("doc_id").alias("id"), F.lower(first).alias("a"), F.lower(second).alias("b")
+    """Names made of every two neighbouring words of each text and an insult: (id, author);
+    the id holds the text's id and the place of the first word."""
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    held = documents(spark, sf_dir).select("doc_id", words.alias("words"))
+    docs = held.select("doc_id", "words", F.posexplode_outer("words").alias("at", "a")).filter("at IS NOT NULL").select(
+        (F.col("doc_id") * 1_000_000 + F.col("at")).alias("id"),
+        F.lower("a").alias("a"),
+        F.lower(F.get("words", F.col("at") + 1)).alias("b"),
     )
     a, b = F.col("a"), F.col("b")
     w = F.get(F.array(*[F.lit(x) for x in WORDS]), (F.col("id") % 10).cast("int"))

@@ -59,8 +59,8 @@ def read_usernames(
     na_tokens: Iterable[str] = NA_TOKENS,
     multi_line: bool = False,
 ) -> DataFrame:
-    """The ``author`` column, from files that are split unless names hold line breaks; with ``n`` only the first n rows of the file, from which
-    missing names are then dropped."""
+    """The ``author`` column, from files that are split unless names hold line breaks; with
+    ``n`` only the first n rows of the file, from which missing names are then dropped."""
     names = read_csv(spark, path, multi_line).select("author")
     if n is not None and n > 0:
         names = names.limit(n)
