@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: What a letter that no training text has costs on top: it is one of a thousand.
+FOREIGN = float(np.log(1000))
 ORDER, DISCOUNT, ROWS_PER_LANGUAGE, SLACK, UNKNOWN = 4, 0.75, 1000, 1.5, "und"
 _POINTS = 0x110000
 
@@ -100,7 +102,8 @@ class LanguageModel:
             first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
             times = np.diff(np.append(first, len(codes)))
             total += times @ self._look(order, codes[first])
-        return -total / max(1, len(symbols) - 1)
+        foreign = np.count_nonzero(symbols > self.grams[0][-1])  # letters in no training text
+        return (foreign * FOREIGN - total) / max(1, len(symbols) - 1)
 
     def _look(self, n: int, codes: np.ndarray) -> np.ndarray:
         """Log probability of n-grams in each language; unseen ones back off."""
@@ -174,12 +177,12 @@ def fit_language_model(
     The fit reads about ``rows_per_language`` whole texts of each language, drawn by a hash
     of the id: that bound is what makes the model small enough to send everywhere. The
     ceiling of a language is ``slack`` times the highest cross-entropy its own texts of
-    twenty characters or more reach. Raises ValueError without any labelled row.
+    twenty characters or more reach. Without any labelled row there is no language to find.
     """
     rows = labelled.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        raise ValueError("no labelled text to learn a language from")
+        return LanguageModel([], alphabet_of([]), 6, [], [], [], [], np.zeros(0))
     languages = sorted(sizes)
     share = F.coalesce(*[F.when(F.col("lang") == x, min(1.0, rows_per_language / sizes[x])) for x in languages])
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
@@ -223,8 +226,8 @@ def _predict_batches(batches: Iterator[pa.RecordBatch], sent):
         out = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             points = symbols_of(text or "", model.alphabet)
-            if not points.any():
-                out.append((doc_id, UNKNOWN, 0.0, None, True))
+            if not points.any() or not model.languages:
+                out.append((doc_id, UNKNOWN, 0.0, None, not points.any()))
                 continue
             entropy = model.entropy(points)
             best = int(entropy.argmin())
