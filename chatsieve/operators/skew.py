@@ -16,6 +16,15 @@ def heaviest(counts: DataFrame, key: str, weight: str) -> DataFrame:
     return counts.orderBy(F.desc(weight), F.asc(key)).limit(HEAVY_KEYS)
 
 
+def above_share(counts: DataFrame, weight: str) -> DataFrame:
+    """The keys that hold a quarter of an even shuffle partition or more. There are at most
+    four times as many as partitions, so they are safe to broadcast; any other key fits
+    well in one task."""
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum(weight)).first()[0] or 0
+    return counts.filter(F.col(weight) * (4 * parts) >= total)
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """The rows written once to a table in the shared folder. Later plans start from
     it: they know its size, and losing an executor does not bring the work back."""
@@ -42,9 +51,9 @@ def join_lookup(
 
     ``weight`` is the lookup column that says how many left rows a key has; the other
     columns are small values. The lookup table is settled first. One of at most
-    ``HEAVY_KEYS`` rows is broadcast. Of a larger one the heaviest keys are, and their
-    rows are spread over the shuffle by ``spread_by``; all other keys meet in an equi
-    join. Left rows are read once.
+    ``HEAVY_KEYS`` rows is broadcast. Of a larger one the keys above an even share of a
+    task are, and their rows are spread over the shuffle by ``spread_by``; all other
+    keys meet in an equi join. Left rows are read once.
     """
     values = [c for c in lookup.columns if c != key]
     lookup = settled(lookup.select(compact(F.col(key)).alias("_key"), *values), "lookup")
@@ -52,7 +61,7 @@ def join_lookup(
     if lookup.count() <= HEAVY_KEYS:
         return keyed.join(F.broadcast(lookup), "_key", how).select(*left.columns, *values)
     packed = lookup.select("_key", F.struct(*values).alias("_found"))
-    heavy = heaviest(lookup, "_key", weight).select("_key", F.struct(*values).alias("_hot"))
+    heavy = above_share(lookup, weight).select("_key", F.struct(*values).alias("_hot"))
     spread_key = F.concat(F.lit("\0"), F.xxhash64(spread_by).cast("string"))
     marked = keyed.join(F.broadcast(heavy), "_key", "left").withColumn(
         "_key", F.when(F.col("_hot").isNull(), F.col("_key")).otherwise(spread_key)

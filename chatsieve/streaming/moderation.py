@@ -15,6 +15,8 @@ from chatsieve.operators.models import score
 from chatsieve.operators.rules import censor, rule_flag
 from chatsieve.session import scratch_path
 
+SALTS = 64
+
 
 def stream_moderate(
     stream: DataFrame, words: Iterable[str], mode: str = "boundary", text: str = "text"
@@ -58,9 +60,14 @@ def stream_flag_rate(
 
 
 def stream_dedupe(stream: DataFrame, horizon: str = "1 hour", text: str = "text", ts: str = "ts") -> DataFrame:
-    """Pass the first of each distinct text; repeats within the horizon are dropped."""
+    """Pass the first of each distinct text; repeats within the horizon are dropped.
+
+    Copies of a text that everybody sends are first dropped in ``SALTS`` groups, so that
+    no task sees more than one of them per group and horizon."""
     keyed = stream.withColumn("text_key", text_key(F.col(text)))
-    return keyed.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(["text_key"])
+    salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(SALTS)))
+    fewer = salted.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(["text_key", "_salt"])
+    return fewer.drop("_salt").dropDuplicatesWithinWatermark(["text_key"])
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
