@@ -1,17 +1,15 @@
-"""Licence notices in whole files, by a positional index of their rarest words.
-
-Every template word has its positions (postings). The rarest words of each template,
-by document frequency over the whole corpus, are its keys: an occurrence of a key word
-in a file proposes the template at the file position that would put the key in its
-place, and two keys that agree propose the same place. At each proposed place the
-other words are intersected by relative position, and the template's mandatory phrases
-must stand there word for word.
+"""Licence notices in whole files, by a positional index of a word they cannot lack.
+
+Every template word has its positions (postings). A template's mandatory phrases must
+stand word for word, so the rarest word in them, by document frequency over the whole
+corpus, is its key: an occurrence of the key in a file proposes the template at the
+file position that would put the key in its place, and no place that passes goes
+without a proposal. At each proposed place the mandatory phrases are verified and the
+other words are intersected by relative position.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,7 +63,9 @@ NOTICES = (
         ("mozilla public license v 2 0",),
     ),
 )
-KEYS, MIN_COVER = 3, 0.7
+MIN_COVER = 0.7
+#: Words by which the SQL looks up a notice; the operator loses no place and needs one.
+KEYS = 3
 
 
 def document_frequency(words: DataFrame, vocabulary: list[str]) -> dict[str, int]:
@@ -81,6 +81,21 @@ def _at(words: str, phrase: str, start: Column) -> Column:
     return F.when(start >= 0, F.slice(words, start + 1, F.size(wanted)) == wanted).otherwise(False)
 
 
+def _offset(text: list[str], phrase: str) -> int:
+    """Word of the template at which its phrase begins."""
+    at = f" {' '.join(text)} ".index(f" {phrase} ")
+    return len(" ".join(text)[:at].split())
+
+
+def _key(text: list[str], must: tuple[str, ...], seen: dict[str, int]) -> int:
+    """Place in the template of the rarest word that must stand there; with no mandatory
+    phrase there would be none, which is an error."""
+    places = [_offset(text, p) + k for p in must for k in range(len(p.split(" ")))]
+    if not places:
+        raise ValueError(f"a notice without a mandatory phrase: {' '.join(text)}")
+    return min(places, key=lambda at: (seen.get(text[at], 0), at))
+
+
 def _covered(words: str, template: str, start: Column) -> Column:
     """Words of the template that stand in their places when it begins at ``start``."""
     wanted = F.split(F.lit(template), " ")
@@ -89,12 +104,12 @@ def _covered(words: str, template: str, start: Column) -> Column:
 
 
 def scan_licenses(
-    docs: DataFrame, phrases: dict[str, str] = PHRASES, notices=NOTICES, keys: int = KEYS, min_cover: float = MIN_COVER
+    docs: DataFrame, phrases: dict[str, str] = PHRASES, notices=NOTICES, min_cover: float = MIN_COVER
 ) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) per row.
 
     Base labels come from phrases standing word for word anywhere in the file; labels add
-    those of the notices. ``score`` is the largest share of a notice's words found in
+    those of the notices, each looked for at every place of the file. ``score`` is the largest share of a notice's words found in
     place (1 where a base phrase stands and no notice covers more, as the phrase itself
     is whole, halved because it is no full notice). NULL and empty texts have no words
     and no labels ('' and score 0). Repeated rows give a row each; other columns are not
@@ -104,9 +119,8 @@ def scan_licenses(
     templates = [(label, text.split(" "), must) for label, text, must in notices]
     vocabulary = sorted({w for _, text, _ in templates for w in text})
     seen = document_frequency(split, vocabulary)
-    rarity = {w: -math.log1p(seen.get(w, 0)) for w in vocabulary}
-    keyed = [sorted(set(text), key=lambda w: (-rarity[w], w))[:keys] for _, text, _ in templates]
-    heads = sorted({p.split(" ")[0] for p in phrases} | {w for ks in keyed for w in ks})
+    keyed = [_key(text, must, seen) for _, text, must in templates]
+    heads = sorted({p.split(" ")[0] for p in phrases} | {text[at] for (_, text, _), at in zip(templates, keyed)})
     place = F.array_compact(F.transform("words", lambda w, i: F.when(w.isin(heads), i)))
     rows = split.select("doc_id", "words", place.alias("place"))
 
@@ -119,13 +133,10 @@ def scan_licenses(
     def shifted(word: str, by: int) -> Column:
         return F.transform(F.filter("place", lambda i: F.get("words", i) == word), lambda i: i - by)
 
-    def cover(text: list[str], must: tuple[str, ...], keyed_by: list[str]) -> Column:
-        moved = [shifted(w, p) for w in keyed_by for p, x in enumerate(text) if x == w]
-        proposed = F.array_distinct(F.flatten(F.array(*moved)))
-        sound = proposed
+    def cover(text: list[str], must: tuple[str, ...], key: int) -> Column:
+        sound = shifted(text[key], key)
         for phrase in must:
-            at = f" {' '.join(text)} ".index(f" {phrase} ")
-            sound = holding(sound, phrase, len(" ".join(text)[:at].split()))
+            sound = holding(sound, phrase, _offset(text, phrase))
         best = F.array_max(F.transform(sound, lambda s: _covered("words", " ".join(text), s)))
         share = F.coalesce(best, F.lit(0)) / F.lit(float(len(text)))
         return F.when(F.size("place") > 0, F.when(share >= min_cover, share).otherwise(0.0)).otherwise(0.0)

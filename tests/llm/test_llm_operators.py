@@ -237,6 +237,37 @@ def test_licenses(frame):
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
 
 
+def test_licenses_without_their_rarest_words(frame):
+    rng = random.Random(6)
+    texts = []
+    for _, text, must in licenses.NOTICES:
+        words = text.split()
+        held = set()
+        for phrase in must:
+            n = len(phrase.split())
+            at = next(i for i in range(len(words)) if words[i : i + n] == phrase.split())
+            held |= set(range(at, at + n))
+        for share in (0.1, 0.3, 0.5):
+            kept = [w if i in held or rng.random() > share else "other" for i, w in enumerate(words)]
+            texts += [" ".join(kept), " ".join(["pad"] * 7 + kept[: max(held) + 1 + rng.randrange(len(words) - max(held))])]
+    texts.append(" ".join(licenses.NOTICES[9][1].split()[:15]))
+    got = {r.doc_id: r for r in licenses.scan_licenses(frame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        words, want, best = text.split(), set(), 0.0
+        for label, notice, must in licenses.NOTICES:
+            wanted = notice.split()
+            for s in range(-len(wanted), len(words)):
+                same = [0 <= s + k < len(words) and words[s + k] == w for k, w in enumerate(wanted)]
+                laid = " ".join(w if ok else "-" for w, ok in zip(wanted, same))
+                if all(f" {p} " in f" {laid} " for p in must) and sum(same) / len(wanted) >= licenses.MIN_COVER:
+                    want.add(label)
+                    best = max(best, sum(same) / len(wanted))
+        base = {label for phrase, label in licenses.PHRASES.items() if f" {phrase} " in f" {text} "}
+        assert set(filter(None, got[i].labels.split(","))) == want | base, text
+        assert abs(got[i].score - max(best, 0.5 if base else 0.0)) < 1e-12
+    assert got[len(texts) - 1].labels == "bsd" and got[len(texts) - 1].score == 15 / 21
+
+
 def test_scoring_prefers_what_is_like_the_target(spark, docs, empty):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice("abcde" if i % 2 else "cdefg") for _ in range(60)), i) for i in range(200)]
