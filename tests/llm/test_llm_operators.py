@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -281,6 +282,48 @@ def test_scoring_prefers_what_is_like_the_target(spark, docs, empty):
     assert scoring.score_documents(table, none).count() == 202 and scoring.score_documents(empty, none).count() == 0
 
 
+@pytest.mark.parametrize("shares", [(scoring.WORD_SHARE, scoring.PAIR_SHARE), (0.01, 0.002), (2, 2)])
+def test_scoring_counts_every_word_and_pair(frame, shares):
+    rng = random.Random(8)
+    texts = {i: prose(rng, rng.randrange(1, 60), 300) for i in range(80)} | {80: "Once TWICE once twice", 81: "", 82: "one"}
+    rows = [(i, t) for i, t in texts.items()] + [(80, texts[80])]
+    docs = frame(rows, "doc_id long, text string").repartition(3)
+    wanted = [i for i in texts if i % 4 == 0]
+    other = {100: "w0 w1 never seen once twice w2"}
+    scored = scoring.fit_matched_models(docs, frame([(i,) for i in wanted], "doc_id long"), *shares)
+    got = scoring.score_documents(docs.union(frame(list(other.items()), "doc_id long, text string")), scored).collect()
+    assert sorted(r.doc_id for r in got) == sorted([*texts, 80, 100])
+
+    def losses(chosen):
+        said = [t.lower().split() for i, t in rows if i in chosen]
+        words = Counter(w for ws in said for w in ws)
+        pairs = Counter(p for ws in said for p in zip(ws, ws[1:]))
+        size, total = len({w for _, t in rows for w in t.lower().split()}) + 1, sum(words.values())
+        listed = {p for _, t in rows for p in zip(t.lower().split(), t.lower().split()[1:])}
+
+        def mean(text):
+            ws, out = text.lower().split(), []
+            for k, w in enumerate(ws):
+                chance = (words[w] + 1) / (total + size)
+                if k:
+                    p = (ws[k - 1], w)
+                    seen = scoring.WEIGHT * pairs[p] / max(words[p[0]], 1) if p in listed else 0.0
+                    chance = seen + (1 - scoring.WEIGHT) * chance
+                out.append(-np.log(chance))
+            return np.mean(out) if out else None
+
+        return mean
+
+    target, background = losses(set(wanted)), losses(set(texts))
+    for r in got:
+        text = (texts | other)[r.doc_id]
+        assert r.n_tokens == len(text.split())
+        if r.n_tokens:
+            assert abs(r.target_loss - target(text)) < 1e-9 and abs(r.background_loss - background(text)) < 1e-9
+        else:
+            assert r.score is None
+
+
 def test_language(spark, frame):
     rng = random.Random(4)
     letters = {"aa": "abcdeé", "bb": "defghi", "cc": "aeioub"}
