@@ -16,7 +16,9 @@ from chatsieve.llm.words import ascii_words
 
 MASKS = ((0, 1, 3, 4, 6, 8), (0, 2, 3, 5, 7, 8))
 MIN_SCORE, MIN_SHARE = 12, 0.7
-#: Seeds that are broadcast at most, 24 bytes each.
+#: Seeds that are broadcast at most, 24 bytes each. Of k masks that span n words, an item
+#: has at most n / k words a seed, so the items that go along are bounded too, at 8 n / k
+#: bytes a seed.
 BROADCAST_SEEDS = 1_000_000
 
 
@@ -73,8 +75,8 @@ def contaminated(
     words if those are fewer. ``start`` is the document's word at which the item's first
     word lies (negative where the document has only a later part).
 
-    Up to ``broadcast_seeds`` seeds of the benchmark are sent to the documents, which are
-    then verified where they are read, without a shuffle. Beyond it, both sides are
+    Up to ``broadcast_seeds`` seeds of the benchmark are sent to the documents, and the
+    words of each item once, so documents are verified where they are read, without a shuffle. Beyond it, both sides are
     shuffled by seed, and words join the distinct hits afterwards; results are the same.
 
     NULL and empty texts, NULL ids and texts or items of fewer words than a mask spans
@@ -82,15 +84,18 @@ def contaminated(
     """
     items = _hashed(benchmark, "item_id", "item").where("item_id IS NOT NULL")
     items = items.select("item_id", F.array_compact("item").alias("item"))
-    wanted = _seeds(items, "item", masks, "item_id").withColumnRenamed("at", "item_at").distinct()
+    items = items.where(F.size("item") >= 1 + max(max(m) for m in masks))
+    items = items.select(F.xxhash64("item_id", "item").alias("item_key"), "item_id", "item").dropDuplicates(["item_key"])
+    wanted = _seeds(items, "item", masks, "item_key").drop("item").withColumnRenamed("at", "item_at").distinct()
     texts = _hashed(docs, "doc_id", "words").where("doc_id IS NOT NULL")
     found = _seeds(texts, "words", masks, "doc_id")
     shift = F.col("at") - F.col("item_at")
     if wanted.count() <= broadcast_seeds:
-        hits = found.join(F.broadcast(wanted), "seed").select("doc_id", "item_id", "item", "words", shift.alias("start"))
+        hits = found.join(F.broadcast(wanted), "seed").select("doc_id", "item_key", "words", shift.alias("start"))
+        hits = hits.join(F.broadcast(items), "item_key")
     else:
-        hits = found.drop("words").join(wanted.drop("item"), "seed")
-        hits = hits.select("doc_id", "item_id", shift.alias("start")).distinct().join(items, "item_id").join(texts, "doc_id")
+        hits = found.drop("words").join(wanted, "seed")
+        hits = hits.select("doc_id", "item_key", shift.alias("start")).distinct().join(items, "item_key").join(texts, "doc_id")
     best = hits.select(
         "doc_id", "item_id", "start", F.size("item").alias("item_words"), F.inline(F.array(_stretch("words", "item", F.col("start"))))
     )

@@ -174,6 +174,23 @@ def test_contamination(spark, frame):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_contamination_sends_a_long_item_once(spark, frame):
+    rng = random.Random(12)
+    item = prose(rng, 1500, 10**6)
+    docs = frame([(1, " ".join(item.split()[700:730])), (2, prose(rng, 50, 10**6))], "doc_id long, text string")
+    found = decontaminate.contaminated(docs, frame([(5, item)], "item_id long, text string"))
+    assert [(r.doc_id, r.item_id, r.start, r.matched) for r in found.collect()] == [(1, 5, -700, 30)]
+    plan, sent = [found._jdf.queryExecution().executedPlan()], []
+    while plan:
+        node = plan.pop()
+        name = node.getClass().getSimpleName()
+        if name == "BroadcastExchangeExec":
+            sent.append(node.metrics().apply("dataSize").value())
+        plan += [node.executedPlan()] if name == "AdaptiveSparkPlanExec" else [node.plan()] if name.endswith("QueryStageExec") else []
+        plan += [node.children().apply(k) for k in range(node.children().size())]
+    assert sent and max(sent) < 5_000_000
+
+
 def test_edited_fingerprints(docs, texts, empty):
     rows = sorted([(i, t or "") for i, t in enumerate(texts)] + [(3, texts[3] or "")], key=lambda r: (-r[0], r[1]))
     want = []
