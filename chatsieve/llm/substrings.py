@@ -234,7 +234,7 @@ def repeated_spans(
     )
 
 
-def _kept_batches(batches: Iterator[pa.RecordBatch], with_text: bool):
+def _kept_batches(batches: Iterator[pa.RecordBatch], with_text: bool, with_key: bool):
     for batch in batches:
         out = []
         for doc_id, text, spans, copy in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans", "copy")), strict=True):
@@ -254,15 +254,18 @@ def _kept_batches(batches: Iterator[pa.RecordBatch], with_text: bool):
             out.append((doc_id, len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(), shown))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         columns = zip(*out, strict=True) if out else [[]] * 5
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(x), t) for x, t in zip(columns, types, strict=True)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
-        )
+        arrays, names = [pa.array(list(x), t) for x, t in zip(columns, types, strict=True)], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
+        if with_key:
+            arrays, names = [*arrays, batch.column("text_key")], [*names, "text_key"]
+        yield pa.RecordBatch.from_arrays(arrays, names)
 
 
 def dedup_substrings(
-    docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_fragments: int = SHARD_FRAGMENTS, with_text: bool = True
-) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, kept) per row of ``docs``.
+    docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_fragments: int = SHARD_FRAGMENTS, with_text: bool = True,
+    with_key: bool = False,
+) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256, kept) per row of ``docs``; ``with_key``
+    adds text_key, the xxhash64 of the text as it was.
 
     ``kept`` is the text as it was where nothing went, else the kept words joined by one
     space (NULL without ``with_text``). NULL and empty texts have no words. Rows that
@@ -273,6 +276,7 @@ def dedup_substrings(
     per_doc = spans.groupBy("doc_id").agg(
         F.collect_set(F.when(~F.col("copy"), F.struct("lo", "hi"))).alias("spans"), F.max("copy").alias("copy")
     )
-    return texts_of(docs).join(per_doc, "doc_id", "left").mapInArrow(
-        lambda it: _kept_batches(it, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-    )
+    rows, schema = texts_of(docs), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
+    if with_key:
+        rows, schema = rows.withColumn("text_key", F.xxhash64("text")), schema + ", text_key long"
+    return rows.join(per_doc, "doc_id", "left").mapInArrow(lambda it: _kept_batches(it, with_text, with_key), schema)

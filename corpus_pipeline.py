@@ -29,11 +29,14 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 50 words that an earlier document has."""
-    cut = substrings.dedup_substrings(docs).where("n_removed > 0")
-    cut = cut.select(F.col("doc_id").alias("_doc_id"), F.col("kept").alias("_kept"))
+    """Texts without the passages of 50 words that an earlier document has. Rows that
+    repeat an id stay a row each, cut by their own text."""
+    cut = substrings.dedup_substrings(docs, with_key=True).where("n_removed > 0")
+    cut = cut.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), F.col("kept").alias("_kept"))
+    cut = cut.dropDuplicates(["_doc_id", "_text_key"])
     changed = F.col("_doc_id").isNotNull()
-    joined = docs.join(cut, docs["doc_id"] == cut["_doc_id"], "left")
+    same = F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == cut["_text_key"]
+    joined = docs.join(cut, (docs["doc_id"] == cut["_doc_id"]) & same, "left")
     text = F.when(changed, F.col("_kept")).otherwise(docs["text"])
     size = F.when(changed, F.char_length("_kept")).otherwise(docs["n_chars"])
     new = {"text": text, "n_chars": size.cast(docs.schema["n_chars"].dataType)}

@@ -54,3 +54,11 @@ def test_run_packs_what_is_left_and_empty_tables_pass(spark, tables):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def test_repeated_rows_that_lose_a_passage_stay_a_row_each(spark, tables):
+    _, _, passage = tables
+    texts = [(1, f"first {passage}"), (2, f"some {passage} more"), (2, f"some {passage} more"), (3, "short"), (3, "short")]
+    docs = spark.createDataFrame([(i, t, "aa", "s", len(t), "k", 1, 2) for i, t in texts], SCHEMA).coalesce(1)
+    got = sorted((r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.substring_stage(spark, docs, "").collect())
+    assert got == [(1, f"first {passage}", len(passage) + 6), (2, "some more", 9), (2, "some more", 9), (3, "short", 5), (3, "short", 5)]
