@@ -225,6 +225,24 @@ SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+OP12 = """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, sha256(concat('1:', doc_id)) AS s FROM documents),
+d AS (
+  SELECT doc_id, t, length(t) AS n, [('0x' || s[8 * k + 1 : 8 * k + 8])::BIGINT FOR k IN range(4)] AS h FROM h),
+f AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR h[3] % 100 >= 90 THEN 'plain'
+      WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+c AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS x FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || x || '<M>' || m
+    WHEN 'spm' THEN '<S>' || x || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM c
+"""
+
 EXPECTED: dict[str, str] = {
     "op1_minhash": OP1,
     "op2_chat": OP2,
@@ -233,4 +251,5 @@ EXPECTED: dict[str, str] = {
     "op6_scoring": OP6,
     "op7_licenses": OP7,
     "op8_substrings": OP8,
+    "op12_infill": OP12,
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatsieve.llm import chat, decontaminate, fingerprint, language, licenses, minhash, packing, scoring, substrings, urls
+from chatsieve.llm import (
+    chat, decontaminate, fingerprint, infill, language, licenses, minhash, packing, scoring, substrings, urls,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,10 +109,17 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", "entropy", "rejected")
 
 
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    text = infill.restored(F.col("output"), F.col("form"))
+    hashes = [F.sha2(x, 256).alias(f"{name}_sha256") for name, x in (("output", F.col("output")), ("restored", text))]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash, op2_chat, op3_decontaminate, op4_fingerprint, op5_urls, op6_scoring, op7_licenses, op8_substrings,
-        op9_packing, op10_language,
+        op9_packing, op10_language, op12_infill,
     )
 }
