@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatsieve.llm import (
-    chat, decontaminate, fingerprint, infill, language, licenses, minhash, packing, scoring, substrings, urls,
+    alignment, chat, decontaminate, fingerprint, infill, language, licenses, minhash, packing, scoring, substrings, urls,
 )
+from chatsieve.llm.tables import settled
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,10 +117,23 @@ def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path, ranks = tokenizer_files()
+    made = alignment.align(table(spark, sf_dir, "documents"), path, public_tokenizers.path("piece_bpe_32k.model"), ranks)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    made = settled(made.withColumn("groups_sha256", digest).drop("groups"), "aligned", compression="zstd")
+    sums = alignment.score_links(made, alignment.count_links(made))
+    return made.join(sums, "row", "left").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_best", "count_sum")], "groups_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash, op2_chat, op3_decontaminate, op4_fingerprint, op5_urls, op6_scoring, op7_licenses, op8_substrings,
-        op9_packing, op10_language, op12_infill,
+        op9_packing, op10_language, op12_infill, op13_alignment,
     )
 }

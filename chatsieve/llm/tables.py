@@ -13,9 +13,9 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
+def settled(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read again: it is computed once, and a
     lost executor costs a re-read instead of the whole lineage."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
