@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatsieve.llm import (
-    alignment, chat, decontaminate, fingerprint, infill, language, licenses, minhash, packing, scoring, substrings, urls,
+    alignment, chat, decontaminate, fingerprint, histogram_packing, infill, language, licenses, minhash, packing, scoring,
+    substrings, urls,
 )
 from chatsieve.llm.tables import settled
 
@@ -110,6 +111,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", "entropy", "rejected")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return histogram_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = infill.fill_in_middle(table(spark, sf_dir, "documents"))
     text = infill.restored(F.col("output"), F.col("form"))
@@ -134,6 +141,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash, op2_chat, op3_decontaminate, op4_fingerprint, op5_urls, op6_scoring, op7_licenses, op8_substrings,
-        op9_packing, op10_language, op12_infill, op13_alignment,
+        op9_packing, op10_language, op11_packing, op12_infill, op13_alignment,
     )
 }
