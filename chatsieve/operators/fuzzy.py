@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from chatsieve.functions.patterns import clean_words
 from chatsieve.functions.text import token_array
-from chatsieve.operators.rules import listed_words, with_flag
+from chatsieve.operators.matching import listed_words
+from chatsieve.operators.rules import with_flag
 from chatsieve.operators.skew import join_lookup
 
 

@@ -21,15 +21,13 @@ from chatsieve.functions.patterns import (
     matches_any,
     substring_pattern,
 )
-from chatsieve.functions.text import char_ngram_array, segment_array, token_array
+from chatsieve.functions.text import segment_array, token_array
+from chatsieve.operators import matching
+from chatsieve.operators.matching import as_list, listed_words, local_hits, local_words, replaced, with_hits
 from chatsieve.operators.skew import join_lookup
 
 MODES = ("boundary", "substring", "caps", "token")
 
-# A word table of up to this many words is written into the expression: a look-up in
-# a hash set per piece of text, and no shuffle. A larger one is joined.
-ROW_LOCAL_WORDS = 20_000
-
 # From this many words on, hash look-ups beat trying every word at every position.
 HASHED_WORDS = 100
 
@@ -38,27 +36,6 @@ def literal_words(words: Iterable[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
 
-def short_list(words: DataFrame, limit: int) -> list[str] | None:
-    """The distinct lower-cased words of a table, or None if there are more than limit."""
-    rows = listed_words(words).take(limit + 1)
-    return [r["word"] for r in rows] if len(rows) <= limit else None
-
-
-def listed_words(words: DataFrame) -> DataFrame:
-    word = folded(F.regexp_replace("word", r"^[\s\x{85}\x{a0}]+|[\s\x{85}\x{a0}]+$", "")).alias("word")
-    return words.select(word).filter(F.col("word") != "").distinct()
-
-
-def word_list(words: Iterable[str] | DataFrame) -> list[str]:
-    """The words of a list or table for rules that are patterns."""
-    if not isinstance(words, DataFrame):
-        return clean_words(words)
-    few = short_list(words, ROW_LOCAL_WORDS)
-    if few is None:
-        raise ValueError(f"this rule takes at most {ROW_LOCAL_WORDS} words")
-    return clean_words(few)
-
-
 def holds_any(pieces: Column, words: Iterable[str]) -> Column:
     """True where an array holds one of the (lower-case) words."""
     words = list(dict.fromkeys(words))
@@ -71,23 +48,25 @@ def rule_expr(text: Column, words: Iterable[str], mode: str = "boundary") -> Col
     """Boolean rule over one text column; row-local in every mode.
 
     Short lists are patterns on the folded text. Of long ones the folded pieces of a text
-    are looked up: its words, its segments, or its substrings of the lengths in the list.
+    are looked up: its words, its segments, or its windows of words or characters.
     Both find the same, since both compare folded characters.
     """
     words = clean_words(words)
-    lowered = [fold(w) for w in words]
-    if mode == "substring" and len(words) <= HASHED_WORDS:
-        return matches_any(text, words, substring_pattern)
-    if mode == "boundary":
-        rest = [w for w in words if not is_single_token(w)]
-        if len(words) - len(rest) <= HASHED_WORDS:
-            return matches_any(text, words, boundary_pattern)
-        hit = holds_any(pieces_of(text, mode), [w for w in lowered if is_single_token(w)])
-        return hit | matches_any(text, rest, boundary_pattern) if rest else hit
-    return holds_any(pieces_of(text, mode, {len(w) for w in lowered}), lowered)
+    lowered = list(dict.fromkeys(map(fold, words)))
+    if mode in ("caps", "token"):
+        return holds_any(pieces_of(text, mode), lowered)
+    if len(lowered) <= HASHED_WORDS:
+        return matches_any(text, words, pattern_of(mode))
+    if mode == "boundary" and all(map(is_single_token, lowered)):
+        return holds_any(pieces_of(text, mode), lowered)
+    return F.when(text.isNotNull(), F.size(local_words(folded(text), lowered, mode)) > 0)
+
+
+def pattern_of(mode: str):
+    return {"boundary": boundary_pattern, "substring": substring_pattern}[mode]
 
 
-def pieces_of(text: Column, mode: str, lengths: Iterable[int] = ()) -> Column:
+def pieces_of(text: Column, mode: str) -> Column:
     """The folded parts of a text that must equal a listed word."""
     if mode == "token":
         return token_array(folded(text))
@@ -95,8 +74,6 @@ def pieces_of(text: Column, mode: str, lengths: Iterable[int] = ()) -> Column:
         return F.regexp_extract_all(folded(text), F.lit(WORD_CHAR + "+"), F.lit(0))
     if mode == "caps":
         return F.split(folded(F.array_join(segment_array(text), " ")), " ")
-    if mode == "substring":
-        return F.concat(*[char_ngram_array(folded(text), n) for n in sorted(lengths)])
     raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
 
 
@@ -110,39 +87,33 @@ def rule_flag(
 ) -> DataFrame:
     """Add a boolean column: does the text break the word-list rule?
 
-    A word DataFrame may have any size; one that is too large for an expression is
+    A word list or table may have any size; one that is too large for an expression is
     joined. Then pass only the columns that are needed, since rows meet by id.
     """
-    if not isinstance(words, DataFrame):
-        return df.withColumn(out, rule_expr(F.col(text), words, mode))
-    few = short_list(words, ROW_LOCAL_WORDS)
-    if few is not None:
-        return df.withColumn(out, rule_expr(F.col(text), few, mode))
-    hits = token_hits(df, words, mode, text, id_col).select(id_col)
-    if mode == "boundary":
-        phrases = words.filter(~F.trim("word").rlike(f"^{WORD_CHAR}*$"))
-        few = short_list(phrases, ROW_LOCAL_WORDS)
-        if few is None:
-            raise ValueError(f"more than {ROW_LOCAL_WORDS} entries of the word table are not single words")
-        if few:
-            hits = hits.unionByName(df.filter(matches_any(F.col(text), few)).select(id_col))
-    return with_flag(df, hits, text, id_col, out)
+    listed = as_list(df, words)
+    if not isinstance(listed, DataFrame):
+        return df.withColumn(out, rule_expr(F.col(text), listed, mode))
+    return with_flag(df, token_hits(df, listed, mode, text, id_col).select(id_col), text, id_col, out)
+
+
+def held_pieces(df: DataFrame, words: DataFrame, mode: str, text: str) -> Column:
+    """The distinct parts of a text that may be an entry of a word table: its words and, where
+    the table has phrases, windows of words; segments; or runs of characters."""
+    if mode in ("caps", "token"):
+        return F.array_distinct(pieces_of(F.col(text), mode))
+    _, windows = matching.all_windows(df, words, mode, text)
+    return F.array_distinct(F.transform(windows, lambda w: w["word"]))
 
 
 def token_hits(
     df: DataFrame, words: DataFrame, mode: str = "token", text: str = "message", id_col: str = "id"
 ) -> DataFrame:
-    """(id, word) for every word of a table of any size that a text holds.
+    """(id, word) for every entry of a table of any size that a text holds.
 
     The vocabulary, counted with map-side partial sums, meets the word table first.
     Only the words in use go on, with their counts, to the join with the texts.
     """
-    lengths = []
-    if mode == "substring":
-        rows = listed_words(words).select(F.length("word").alias("n")).distinct().collect()
-        lengths = [r["n"] for r in rows]
-    pieces = F.array_distinct(pieces_of(F.col(text), mode, lengths))
-    pairs = df.select(id_col, F.explode(pieces).alias("word"))
+    pairs = df.select(id_col, F.explode(held_pieces(df, words, mode, text)).alias("word"))
     in_use = pairs.groupBy("word").count().join(listed_words(words), "word", "left_semi")
     return join_lookup(pairs, in_use, "word", "count", F.col(id_col)).select(id_col, "word")
 
@@ -179,19 +150,24 @@ def censor(
     per_char: bool = False,
     text: str = "message",
     out: str = "censored",
+    id_col: str = "id",
 ) -> DataFrame:
-    """Star out matched words: ``***`` for each match, or one star per character."""
-    make = {"boundary": boundary_pattern, "substring": substring_pattern}[mode]
-    pattern = make(word_list(words))
-    if not per_char:
-        return df.withColumn(out, F.regexp_replace(F.col(text), pattern, "***"))
-    stars = F.transform(
-        F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)),
-        lambda m: F.regexp_replace(m, "(?s).", "*"),
-    )
-    pieces = F.split(F.col(text), pattern, -1)
-    joined = F.array_join(F.zip_with(pieces, stars, lambda p, s: F.concat(p, F.coalesce(s, F.lit("")))), "")
-    return df.withColumn(out, joined)
+    """Star out matched words: ``***`` for each match, or one star per character.
+
+    Words match as in ``rule_flag``, on folded text; the longest entry at a place counts. A
+    list above ``ROW_LOCAL_WORDS`` entries is joined, and rows meet their matches by id.
+    """
+    stars = (lambda m: F.repeat(F.lit("*"), F.length(m))) if per_char else (lambda m: F.lit("***"))
+    listed = as_list(df, words)
+    column = F.col(text)
+    if isinstance(listed, DataFrame):
+        marked = with_hits(df, listed, mode, text, id_col)
+        done = F.when(F.size("_hits") > 0, replaced(column, F.col("_hits"), mode, stars)).otherwise(column)
+        return marked.withColumn(out, done).drop("_hits")
+    done = replaced(column, local_hits(folded(column), listed, mode), mode, stars)
+    if len(listed) <= HASHED_WORDS:  # most texts have no match, which a pattern tells at once
+        done = F.when(matches_any(column, listed, pattern_of(mode)), done).otherwise(column)
+    return df.withColumn(out, done)
 
 
 def explain_match(
@@ -201,36 +177,32 @@ def explain_match(
     text: str = "message",
     id_col: str = "id",
 ) -> DataFrame:
-    """One row per hit: the rule, the matched text and its 1-based first and last position.
+    """One row per hit: the rule (folded), the matched text and its 1-based first and last position.
 
     A text is cut at its matches; a running sum of the lengths gives the positions.
-    Only hits are shuffled, without the texts.
+    Only hits are shuffled, without the texts. The longest entry at a place counts, and a
+    list may have any size, as in ``censor``.
     """
-    make = {"boundary": boundary_pattern, "substring": substring_pattern}[mode]
-    pattern = make(word_list(words))
-    hits = (
-        df.select(
-            id_col,
-            F.split(F.col(text), pattern, -1).alias("gaps"),
-            F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)).alias("found"),
-        )
-        .filter(F.size("found") > 0)
-        .select(id_col, F.posexplode(F.arrays_zip("gaps", "found")).alias("hit_no", "hit"))
-        .filter(F.col("hit.found").isNotNull())
-        .select(
-            id_col,
-            (F.col("hit_no") + 1).alias("hit_no"),
-            F.col("hit.found").alias("matched"),
-            F.length("hit.gaps").alias("gap"),
-            F.length("hit.found").alias("width"),
-        )
+    listed = as_list(df, words)
+    if not isinstance(listed, DataFrame) and len(listed) <= HASHED_WORDS:
+        df = df.filter(matches_any(F.col(text), listed, pattern_of(mode)))
+    marked = with_hits(df.select(id_col, text), listed, mode, text, id_col).filter(F.size("_hits") > 0)
+    parts = matching.cut(
+        F.col(text), F.col("_hits"), mode, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("matched"))
+    )
+    hits = marked.select(id_col, F.posexplode(parts).alias("hit_no", "hit")).select(
+        id_col,
+        (F.col("hit_no") + 1).alias("hit_no"),
+        "hit.matched",
+        "hit.gap",
+        F.length("hit.matched").alias("width"),
     )
     so_far = Window.partitionBy(id_col).orderBy("hit_no")
     ends = F.sum(F.col("gap") + F.col("width")).over(so_far)
     return hits.withColumn("end_pos", ends).select(
         id_col,
         "hit_no",
-        F.lower("matched").alias("rule"),
+        folded(F.col("matched")).alias("rule"),
         "matched",
         (F.col("end_pos") - F.col("width") + 1).alias("start_pos"),
         "end_pos",
@@ -245,47 +217,30 @@ def apply_exceptions(
     id_col: str = "id",
     out: str = "flagged",
 ) -> DataFrame:
-    """Substring rule in which a hit inside an allow-listed word does not count.
+    """Substring rule in which a hit inside an allow-listed word or phrase does not count.
 
-    Allowed phrases (entries with a symbol or space) are blanked out by a pattern first,
-    then allowed words by look-up of every word of the text; the rule is matched on what
-    is left. An allow table of more than ``ROW_LOCAL_WORDS`` words is joined: only texts
-    that the rule hits at all, which are few, are cut up for it and put together again.
+    Allowed entries are blanked out, the longest at a place first, and the rule is matched on
+    what is left. Both lists may have any size. Allow lists above ``ROW_LOCAL_WORDS`` entries
+    are joined, with only the texts that the rule hits at all, which are few.
     """
-    words = word_list(words)
-    if isinstance(allow, DataFrame):
-        few = short_list(allow, ROW_LOCAL_WORDS)
-        allow = allow if few is None else few
-    if not isinstance(allow, DataFrame):
-        listed = clean_words(allow)
-        single = list(dict.fromkeys(fold(w) for w in listed if is_single_token(w)))
-        left = without_phrases(F.col(text), [w for w in listed if not is_single_token(w)])
-        if single:
-            blank = F.transform(word_pieces(left), lambda p: F.when(folded(p).isin(single), "\x01").otherwise(p))
-            left = F.array_join(blank, "")
-        return df.withColumn(out, matches_any(left, words, substring_pattern))
-    phrases = short_list(allow.filter(~F.trim("word").rlike(f"^{WORD_CHAR}*$")), ROW_LOCAL_WORDS)
-    if phrases is None:
-        raise ValueError(f"more than {ROW_LOCAL_WORDS} entries of the allow table are not single words")
-    suspects = df.filter(matches_any(F.col(text), words, substring_pattern)).select(
-        id_col, F.posexplode(word_pieces(without_phrases(F.col(text), phrases))).alias("at", "piece")
-    )
-    suspects = suspects.withColumn("word", folded(F.col("piece")))
-    in_use = suspects.groupBy("word").count().join(listed_words(allow), "word", "left_semi")
-    found = join_lookup(suspects, in_use, "word", "count", F.struct(id_col, "at"), how="left")
-    part = F.struct("at", F.when(F.col("count").isNull(), F.col("piece")).otherwise("\x01").alias("piece"))
-    whole = found.groupBy(id_col).agg(F.array_sort(F.collect_list(part)).alias("parts"))
-    hits = whole.filter(matches_any(F.array_join("parts.piece", ""), words, substring_pattern))
-    return with_flag(df, hits, text, id_col, out)
-
-
-def word_pieces(text: Column) -> Column:
-    """The text cut into its words and what stands between them."""
-    return F.regexp_extract_all(text, F.lit(f"(?s){WORD_CHAR}+|(?:(?!{WORD_CHAR}).)+"), F.lit(0))
-
-
-def without_phrases(text: Column, phrases: list[str]) -> Column:
-    return F.regexp_replace(text, boundary_pattern(phrases), "\x01") if phrases else text
+    rule, allowed = as_list(df, words), as_list(df, allow)
+    column = F.col(text)
+    blank = lambda m: F.lit("\x01")
+    if isinstance(allowed, DataFrame):
+        suspects = rule_flag(df.select(id_col, text), rule, "substring", text, id_col, "_suspect").filter("_suspect")
+        marked = with_hits(suspects.drop("_suspect"), allowed, "boundary", text, id_col)
+        left = marked.select(id_col, replaced(column, F.col("_hits"), "boundary", blank).alias("_left"))
+        hits = rule_flag(left, rule, "substring", "_left", id_col, "_hit").filter("_hit").select(id_col)
+        return with_flag(df, hits, text, id_col, out)
+    if len(allowed) <= HASHED_WORDS:
+        longest_first = sorted(allowed, key=len, reverse=True)
+        left = F.regexp_replace(folded(column), boundary_pattern(longest_first), "\x01")
+    else:
+        left = replaced(folded(column), local_hits(folded(column), allowed, "boundary"), "boundary", blank)
+    if isinstance(rule, DataFrame):
+        return rule_flag(df.withColumn("_left", left), rule, "substring", "_left", id_col, out).drop("_left")
+    hit = rule_expr(column, rule, "substring")
+    return df.withColumn(out, F.when(hit, rule_expr(left, rule, "substring")).otherwise(hit))
 
 
 def rule_scorecard(
@@ -294,23 +249,24 @@ def rule_scorecard(
     text: str = "message",
     truth: str = "toxic",
 ) -> DataFrame:
-    """Per word: flagged, correct, incorrect and precision."""
-    words = word_list(words)
-    if all(map(is_single_token, words)):
-        found = F.array_intersect(pieces_of(F.col(text), "boundary"), literal_words(dict.fromkeys(map(fold, words))))
+    """Per word: flagged, correct, incorrect and precision. Each entry is looked for by
+    itself, also inside longer ones. Counts are summed before they meet the list, so it may
+    have any size."""
+    listed = as_list(df, words)
+    if isinstance(listed, DataFrame):
+        found, table = held_pieces(df, listed, "boundary", text), listed_words(listed)
     else:
-        found = F.array_compact(
-            F.array(*[F.when(matches_any(F.col(text), [w]), F.lit(fold(w))) for w in words])
-        )
+        table = df.sparkSession.createDataFrame([(w,) for w in dict.fromkeys(map(fold, listed))], "word string")
+        if all(map(is_single_token, listed)):
+            found = F.array_intersect(pieces_of(F.col(text), "boundary"), literal_words(dict.fromkeys(map(fold, listed))))
+        else:
+            found = local_words(folded(F.col(text)), list(dict.fromkeys(map(fold, listed))), "boundary")
     counted = (
         df.select(F.explode(found).alias("word"), truth)
         .groupBy("word")
         .agg(F.count("*").alias("flagged"), F.count_if(F.col(truth)).alias("correct"))
     )
-    listed = df.sparkSession.createDataFrame(
-        [(w,) for w in dict.fromkeys(map(fold, words))], "word string"
-    )
-    return listed.join(counted, "word", "left").select(
+    return table.join(counted, "word", "left").select(
         "word",
         F.coalesce("flagged", F.lit(0)).alias("flagged"),
         F.coalesce("correct", F.lit(0)).alias("correct"),

@@ -17,7 +17,7 @@ from chatsieve.functions.text import (
     token_array,
     word_ngram_array,
 )
-from chatsieve.operators.rules import ROW_LOCAL_WORDS, listed_words, short_list
+from chatsieve.operators.matching import ROW_LOCAL_WORDS, listed_words, short_list
 from chatsieve.operators.skew import join_lookup
 
 

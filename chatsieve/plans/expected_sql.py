@@ -61,6 +61,27 @@ WORD_TABLE = (
     "word_table AS (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text),"
     f" '{TOKEN}')) AS word FROM benchmark) WHERE length(word) >= 9 UNION SELECT unnest([{quoted(WORDS)}]))"
 )
+# Words of all documents; neighbouring words of benchmark items; pieces of every text, and of
+# neighbouring phrases those that count from the left.
+EVERY_WORD = (
+    f"single AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{L}+')) AS word FROM documents),"
+    f" bench AS (SELECT regexp_extract_all(lower(text), '{L}+') AS w FROM benchmark),"
+    " phrase AS (SELECT DISTINCT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS word FROM bench)"
+)
+PLACED = (
+    f"parts AS (SELECT id, regexp_extract_all(message, '{L}+|{NOT_L}+') AS p FROM texts),"
+    f" cut AS (SELECT id, unnest(p) AS part, generate_subscripts(p, 1) AS pos FROM parts),"
+    " near AS (SELECT *, sum(length(part)) OVER w::BIGINT AS end_pos, lower(part) AS low,"
+    f" regexp_matches(part, '^{L}') AS wordy, part || lead(part) OVER w || lead(part, 2) OVER w AS three"
+    " FROM cut WINDOW w AS (PARTITION BY id ORDER BY pos)),"
+    " begun AS (SELECT id, pos, pos - 2 * row_number() OVER (PARTITION BY id ORDER BY pos) AS run"
+    " FROM near WHERE wordy AND lower(three) IN (FROM phrase)),"
+    " taken AS (SELECT id, pos FROM (SELECT id, pos, row_number() OVER (PARTITION BY id, run ORDER BY pos) AS n FROM begun)"
+    " WHERE n % 2 = 1),"
+    " state AS (SELECT near.*, t0.pos IS NOT NULL AS opens, t1.pos IS NOT NULL OR t2.pos IS NOT NULL AS covered FROM near"
+    " LEFT JOIN taken t0 ON t0.id = near.id AND t0.pos = near.pos LEFT JOIN taken t1 ON t1.id = near.id AND t1.pos = near.pos - 1"
+    " LEFT JOIN taken t2 ON t2.id = near.id AND t2.pos = near.pos - 2)"
+)
 CACHE = "cache AS (SELECT sha256(message) AS k, bool_or(toxic) AS verdict FROM msgs GROUP BY 1)"
 MEASURES = """round(coalesce((tp + tn)::DOUBLE / nullif(tp + fp + fn + tn, 0), 0), 6) AS accuracy,
  round(coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0), 6) AS "precision",
@@ -239,6 +260,18 @@ EXPECTED = {
     " placed AS (SELECT id, part, pos, sum(length(part)) OVER (PARTITION BY id ORDER BY pos)::BIGINT AS end_pos FROM cut)"
     " SELECT id, (row_number() OVER (PARTITION BY id ORDER BY pos))::INTEGER AS hit_no, lower(part) AS rule, part AS matched,"
     f" end_pos - length(part) + 1 AS start_pos, end_pos FROM placed WHERE lower(part) IN ({quoted(WORDS)})",
+    "censor_table": f"WITH {TEXTS}, {EVERY_WORD}, {PLACED} SELECT t.id, coalesce(censored, t.message) AS censored FROM texts t LEFT JOIN"
+    " (SELECT id, string_agg(CASE WHEN wordy OR covered THEN repeat('*', length(part)) ELSE part END, '' ORDER BY pos) AS censored"
+    " FROM state GROUP BY id) USING (id)",
+    "explain_match_table": f"WITH {TEXTS}, {EVERY_WORD}, {PLACED}, hit AS (SELECT id, pos,"
+    " CASE WHEN opens THEN three ELSE part END AS matched, end_pos - length(part) + 1 AS start_pos"
+    " FROM state WHERE wordy AND NOT covered)"
+    " SELECT id, (row_number() OVER (PARTITION BY id ORDER BY pos))::INTEGER AS hit_no, lower(matched) AS rule, matched,"
+    " start_pos, start_pos + length(matched) - 1 AS end_pos FROM hit",
+    "apply_exceptions_two_tables": f"WITH {TEXTS}, allow AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS w"
+    f" FROM benchmark), long AS (SELECT DISTINCT id FROM (SELECT id, unnest(regexp_extract_all(lower(message), '{L}+')) AS w FROM texts)"
+    " WHERE length(w) >= 8 AND w NOT IN (SELECT w FROM allow))"
+    " SELECT id, CASE WHEN message IS NOT NULL THEN id IN (SELECT id FROM long) END AS flagged FROM texts",
     "apply_exceptions": f"WITH {TEXTS} SELECT id, len(list_filter(regexp_extract_all(lower(message), '{L}+'),"
     f" lambda w: {inside('w', INNER_WORDS)} AND w NOT IN ({quoted(ALLOWED)}))) > 0 AS flagged FROM texts",
     "parse_verdict": f"WITH {FLAGGED}, {REPLIES} SELECT id, status, verdict FROM annotated",
@@ -326,6 +359,11 @@ EXPECTED = {
     f" (SELECT id, toxic, unnest(regexp_extract_all(lower(message), '{L}+')) AS word FROM msgs)),"
     " c AS (SELECT word, count(id) AS flagged, count(*) FILTER (toxic) AS correct FROM w LEFT JOIN h USING (word) GROUP BY word)"
     ' SELECT word, flagged, correct, flagged - correct AS incorrect, round(correct::DOUBLE / nullif(flagged, 0), 6) AS "precision" FROM c',
+    "rule_scorecard_table": f"WITH {MSGS}, {EVERY_WORD}, p AS (SELECT id, toxic, regexp_extract_all(lower(message), '{L}+|{NOT_L}+')"
+    f" AS p FROM msgs), held AS (SELECT id, toxic, unnest(p) AS word FROM p UNION SELECT id, toxic, unnest(list_transform("
+    f"range(1, len(p) - 1), lambda i: p[i] || p[i + 1] || p[i + 2])) FROM p), listed AS (FROM single UNION FROM phrase),"
+    " c AS (SELECT word, count(id) AS flagged, count(*) FILTER (toxic) AS correct FROM listed LEFT JOIN held USING (word) GROUP BY word)"
+    ' SELECT word, flagged, correct, flagged - correct AS incorrect, round(correct::DOUBLE / nullif(flagged, 0), 6) AS "precision" FROM c',
     "greedy_rules": greedy(5),
     "error_terms": f"WITH {FLAGGED}, tok AS (SELECT id, toxic, flagged, term FROM ({tokens_of('flagged', ', toxic, flagged')})) "
     + error_terms("fn", "NOT flagged AND toxic")

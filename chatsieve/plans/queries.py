@@ -9,6 +9,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatsieve.functions.patterns import WORD_CHAR, folded
 from chatsieve.functions.text import text_key
 from chatsieve.operators import cost, evaluate, features, fuzzy, mining, models, rules, sampling
 from chatsieve.operators import tokens as token_ops
@@ -54,6 +55,16 @@ def word_table(spark: SparkSession, d: str) -> DataFrame:
     return long_words.unionByName(insults).distinct()
 
 
+def every_word(spark: SparkSession, d: str) -> DataFrame:
+    """A word table that outgrows any expression: all distinct words of the documents, and
+    every two neighbouring words of the benchmark as a phrase."""
+    words = F.regexp_extract_all(folded(F.col("text")), F.lit(WORD_CHAR + "+"), F.lit(0))
+    pair = F.transform(F.arrays_zip("w", F.slice("w", 2, F.size("w")).alias("v")), lambda x: F.concat_ws(" ", x["w"], x["v"]))
+    phrases = tables.table(spark, d, "benchmark").select(words.alias("w")).select(F.explode(pair).alias("word"))
+    single = tables.documents(spark, d).select(F.explode(words).alias("word")).distinct()
+    return single.union(phrases.filter(F.contains("word", F.lit(" "))).distinct())
+
+
 def split_messages(spark: SparkSession, d: str) -> DataFrame:
     return sampling.stratified_split(tables.messages(spark, d))
 
@@ -223,6 +234,16 @@ def explain_match(spark, d):
     return rules.explain_match(tables.texts(spark, d), WORDS)
 
 
+@query
+def censor_table(spark, d):
+    return rules.censor(tables.texts(spark, d), every_word(spark, d), per_char=True).select("id", "censored")
+
+
+@query
+def explain_match_table(spark, d):
+    return rules.explain_match(tables.texts(spark, d), every_word(spark, d))
+
+
 @query
 def apply_exceptions(spark, d):
     return rules.apply_exceptions(tables.texts(spark, d), INNER_WORDS, ALLOWED).select("id", "flagged")
@@ -234,6 +255,15 @@ def apply_exceptions_table(spark, d):
     return rules.apply_exceptions(tables.texts(spark, d).select("id", "message"), INNER_WORDS, allow).select("id", "flagged")
 
 
+@query
+def apply_exceptions_two_tables(spark, d):
+    """Long words of all documents as the rule, the words and phrases of the benchmark allowed."""
+    rule = every_word(spark, d).filter(~F.contains("word", F.lit(" ")) & (F.length("word") >= 8))
+    bench = tables.table(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("message"))
+    allow = token_ops.tokens(bench).select(F.col("term").alias("word"))
+    return rules.apply_exceptions(tables.texts(spark, d).select("id", "message"), rule, allow).select("id", "flagged")
+
+
 def stub_annotations(spark, d):
     return cost.parse_verdict(tables.replies(flagged(spark, d)))
 
@@ -397,6 +427,12 @@ def rule_scorecard(spark, d):
     return rules.rule_scorecard(tables.messages(spark, d), WORDS).withColumn("precision", F.round("precision", 6))
 
 
+@query
+def rule_scorecard_table(spark, d):
+    card = rules.rule_scorecard(tables.messages(spark, d), every_word(spark, d))
+    return card.withColumn("precision", F.round("precision", 6))
+
+
 @query
 def greedy_rules(spark, d):
     return mining.greedy_rules(tables.messages(spark, d), 5)

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chatsieve.functions.patterns import BASIC_WORDS, clean_words
-from chatsieve.operators import rules
+from chatsieve.operators import matching, rules
 
 ALPHABET = "aAbBsS1_- .éÉ$ñß\n"
 
@@ -110,7 +110,7 @@ def test_word_table_equals_word_list(frame, monkeypatch):
     for mode in rules.MODES:
         by_list = rules.rule_flag(df, ["ass", "bb", "zz"], mode).orderBy("id").collect()
         for limit in (100, 1):
-            monkeypatch.setattr(rules, "ROW_LOCAL_WORDS", limit)
+            monkeypatch.setattr(matching, "ROW_LOCAL_WORDS", limit)
             by_table = rules.rule_flag(df, table, mode).orderBy("id").collect()
             assert [r.flagged for r in by_list] == [r.flagged for r in by_table]
     many = ["ass", *(f"w{i}" for i in range(100))]
@@ -127,12 +127,12 @@ def test_long_lists_give_what_patterns_give(frame, texts):
         short = rules.rule_flag(df, words[:6], mode, out="short")
         both = rules.rule_flag(short, words, mode, out="long")
         assert both.filter("short <> long").collect() == []
-        local, rules.ROW_LOCAL_WORDS = rules.ROW_LOCAL_WORDS, 30
+        local, matching.ROW_LOCAL_WORDS = matching.ROW_LOCAL_WORDS, 30
         try:
             joined = rules.rule_flag(short, table, mode, out="joined")
             assert joined.filter("short <> joined").collect() == [] and joined.count() == len(texts)
         finally:
-            rules.ROW_LOCAL_WORDS = local
+            matching.ROW_LOCAL_WORDS = local
 
 
 def test_censor(frame):
@@ -167,7 +167,7 @@ def test_exceptions(frame, monkeypatch):
     table = frame([(w,) for w in allow], "word string")
     assert by_list == [False, True, True, False, None]
     for limit in (20_000, 1):
-        monkeypatch.setattr(rules, "ROW_LOCAL_WORDS", limit)
+        monkeypatch.setattr(matching, "ROW_LOCAL_WORDS", limit)
         by_table = [r.flagged for r in rules.apply_exceptions(df, ["ass"], table).orderBy("id").collect()]
         assert by_table == by_list
 
@@ -181,7 +181,7 @@ def test_exceptions_with_symbols_and_phrases(frame, monkeypatch):
     want = [True, False, False, True, True]
     assert [r.flagged for r in rules.apply_exceptions(df, rule, allow).orderBy("id").collect()] == want
     for limit in (20_000, 5):
-        monkeypatch.setattr(rules, "ROW_LOCAL_WORDS", limit)
+        monkeypatch.setattr(matching, "ROW_LOCAL_WORDS", limit)
         assert [r.flagged for r in rules.apply_exceptions(df, rule, table).orderBy("id").collect()] == want
 
 
@@ -196,7 +196,7 @@ def test_list_length_and_kind_change_no_answer(frame, monkeypatch):
             seen.append([r.flagged for r in rules.rule_flag(df, words, mode).orderBy("id").collect()])
         table = frame([(w,) for w in words], "word string")
         for limit in (20_000, 3):
-            monkeypatch.setattr(rules, "ROW_LOCAL_WORDS", limit)
+            monkeypatch.setattr(matching, "ROW_LOCAL_WORDS", limit)
             seen.append([r.flagged for r in rules.rule_flag(df, table, mode).orderBy("id").collect()])
         assert all(s == seen[0] for s in seen), mode
         assert seen[0][:7] == [True] * 7 and seen[0][7] is None
