@@ -13,6 +13,7 @@ A window is the sequence length, or a smaller size at which a sequence is not pa
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatsieve.llm.alignment import byte_letters
 from chatsieve.llm.hashing import text_chunks, words_of
 from chatsieve.llm.packing import UnitTable
 from chatsieve.llm.tables import settled, texts_of
@@ -41,38 +43,92 @@ def free_sizes(length: int) -> tuple[int, ...]:
     return tuple(sorted({length} | {1 << k for k in range(length.bit_length()) if 1 << k <= length}, reverse=True))
 
 
-class WordTable(UnitTable):
-    """Token ids of words; the vocabulary drops white space, so words stand by themselves."""
+#: ASCII signs that may end a word; the other signs can be part of a contraction or a control string.
+_SIGN = np.zeros(256, dtype=bool)
+_SIGN[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'<>|"]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[c for c in range(65, 123) if chr(c).isalpha()]] = True
+_tables: dict[str, UnitTable] = {}
 
-    def __init__(self, encode_all) -> None:
-        super().__init__(None)
-        self.encode_all = encode_all
 
-    def add(self, keys: np.ndarray, units: list[str]) -> None:
-        coded = iter(self.encode_all(units))
-        self.encode = lambda _: next(coded)
-        super().add(keys, units)
+def _ended(body: bytes) -> bytes | None:
+    """Letters with the end of the word marked on their last byte: it becomes a byte that
+    letters have nowhere else (A to Z, or one below 64), or None if it is no letter's."""
+    last = body[-1]
+    if 97 <= last <= 122:
+        return body[:-1] + bytes([last - 32])
+    return body[:-1] + bytes([last - 128]) if 128 <= last < 192 else None
 
 
-def _words_encoder(path: str):
+def _word_encoder(path: str):
+    """Ids of one unit. Words of Latin letters, which are most, go by the vocabulary's merge
+    ranks to the library that is quicker on short strings, the word end as part of the last
+    byte; ids are the same. All other units go to the tokenizer."""
+    import tiktoken
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)] if words else []
-
-
-def _ids_of(column: pa.Array, table: WordTable) -> Iterator[np.ndarray]:
+    letters = byte_letters()
+    with open(path, encoding="utf-8") as file:
+        vocabulary = json.load(file)["model"]["vocab"]
+    ranks = {}
+    for entry, i in vocabulary.items():
+        end = entry.endswith("</w>") and entry != "</w>"
+        body = bytes(letters.get(c, 0) for c in (entry[:-4] if end else entry))
+        if all(97 <= c <= 122 or c >= 128 for c in body) and (marked := _ended(body) if end else body):
+            ranks[marked] = i
+    coding = tiktoken.Encoding("words", pat_str=r"[a-z]+", mergeable_ranks=ranks, special_tokens={})
+    piece = coding._core_bpe.encode_single_piece
+
+    def encode(unit: str) -> list[int]:
+        if unit.isalpha() and (unit.isascii() or max(unit) <= "\u024f"):
+            low = unit.lower()
+            if max(low) <= "\u024f":
+                return piece(_ended(low.encode()))
+        return tokenizer.encode(unit, add_special_tokens=False).ids
+
+    return encode
+
+
+def _units_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes with A-Z in lower case but for words with a ``<``, start and end of every unit, units
+    per word). A unit is a word, or its part up to the last ASCII letter before the signs that
+    end it, and these signs."""
+    low = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * 32
+    held = np.append(0, np.cumsum(data == 60))
+    for k in np.flatnonzero(held[ends] > held[starts]):
+        low[starts[k] : ends[k]] = data[starts[k] : ends[k]]
+    before = np.maximum.accumulate(np.where(_SIGN[data], -1, np.arange(len(data)))) if len(data) else np.zeros(0, np.int64)
+    at = before[ends - 1]
+    split = (at >= starts) & (at < ends - 1) & _LETTER[data[np.maximum(at, 0)]]
+    per_word = 1 + split.astype(np.int64)
+    first = np.cumsum(per_word) - per_word
+    unit_starts, unit_ends = np.repeat(starts, per_word), np.repeat(ends, per_word)
+    unit_ends[first[split]] = unit_starts[first[split] + 1] = at[split] + 1
+    return low, unit_starts, unit_ends, per_word
+
+
+def _ids_of(column: pa.Array, table: UnitTable) -> Iterator[np.ndarray]:
     """Ids of every text."""
     for _, data, offsets in text_chunks(column):
         starts, ends, counts = words_of(data, offsets)
-        ids, size = table.ids(data, starts, ends, np.ones(len(starts), bool))
-        bounds = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(counts))]
-        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-            yield ids[low:high]
+        low, starts, ends, per_word = _units_of(data, starts, ends)
+        ids, size = table.ids(low, starts, ends, np.ones(len(starts), bool))
+        words = np.append(0, np.cumsum(per_word))[np.append(0, np.cumsum(counts))]
+        bounds = np.append(0, np.cumsum(size))[words]
+        for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+            yield ids[start:end]
+
+
+def _table_of(path: str) -> UnitTable:
+    """The units that this worker has seen, also in tasks before."""
+    if path not in _tables:
+        _tables[path] = UnitTable(_word_encoder(path))
+    return _tables[path]
 
 
 def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int):
-    table = WordTable(_words_encoder(path))
+    table = _table_of(path)
     row = TaskContext.get().partitionId() << 40
     out: list[tuple] = []
     held = 0

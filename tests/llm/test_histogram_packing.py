@@ -101,7 +101,10 @@ def test_words_give_the_ids_of_the_whole_text():
     rng = random.Random(3)
     letters = "aA'stdlre \n\t\x1c\x85 　éΣİſ日1\U0001f600<|endoftext|>́"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(20_000)]
-    table = packing.WordTable(packing._words_encoder(PATH))
+    latin = "aeinstrlAEéÉßçüñŒæỳ.,!?&$<|'\u0345"
+    texts += [" ".join("".join(rng.choice(latin) for _ in range(rng.randrange(1, 14))) for _ in range(6)) for _ in range(20_000)]
+    texts += ["<|ENDOFTEXT|>", "x.<|endoftext|>.", "A'S.", "it's... I'LL!!", "é.", "…,", "ſt ŉ ǰ ẞ", "don'T.'s"]
+    table = packing._table_of(PATH)
     got = [ids.tolist() + [1] for ids in packing._ids_of(pa.array(texts), table)]
     assert got == library_ids(texts, 1)
 
