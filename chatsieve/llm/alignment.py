@@ -26,7 +26,7 @@ from chatsieve.llm.hashing import text_chunks
 from chatsieve.llm.tables import settled, texts_of
 
 CHUNK_BYTES = 2 << 20
-#: Pairs whose counts are broadcast: 24 bytes a row, so 24 MB at most.
+#: Pairs whose counts are broadcast: about 50 bytes a row in a hash table, so 50 MB at most.
 BROADCAST_PAIRS = 1_000_000
 _NAMES = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"]
 _SCHEMA = (
@@ -118,38 +118,41 @@ def overlaps(doc_a: np.ndarray, start_a: np.ndarray, doc_b: np.ndarray, start_b:
     return np.concatenate([of_a["a"].to_numpy(), a[new]]), np.concatenate([of_a["b"].to_numpy(), b[new]])
 
 
-def groups_text(ids_a, ids_b, group_a, group_b, doc_of_group) -> tuple[bytes, np.ndarray]:
-    """(``a1,a2|b1;a3|b2`` of all documents in a row, bytes per group)."""
+def decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(digits of 0 to n - 1 from the left in rows of eight bytes, number of digits)."""
+    ids = np.arange(n)
+    width = np.ones(n, np.int64)
+    for k in range(1, 7):
+        width += ids >= 10**k
+    digits = np.zeros((n, 8), np.uint8)
+    for k in range(7):
+        there = width > k
+        digits[there, k] = 48 + ids[there] // 10 ** (width[there] - 1 - k) % 10
+    return digits.view(np.uint64).ravel(), width
+
+
+def groups_text(ids_a, ids_b, group_a, group_b, doc_of_group, digits) -> tuple[bytes, np.ndarray]:
+    """(``a1,a2|b1;a3|b2`` of all documents in a row, bytes per group). Every id is a row of
+    eight bytes, its digits and the sign after it, of which those in use are kept."""
     n = len(doc_of_group)
-    per_a, per_b = np.bincount(group_a, minlength=n), np.bincount(group_b, minlength=n)
-    till_a, till_b = np.cumsum(per_a), np.cumsum(per_b)
-    slot_a = np.arange(len(ids_a)) + (till_b - per_b)[group_a]
-    slot_b = np.arange(len(ids_b)) + till_a[group_b]
+    if not n:
+        return b"", np.zeros(0, np.int64)
+    till_a, till_b = np.cumsum(np.bincount(group_a, minlength=n)), np.cumsum(np.bincount(group_b, minlength=n))
     ids = np.empty(len(ids_a) + len(ids_b), np.int64)
+    slot_a = np.arange(len(ids_a)) + np.append(0, till_b[:-1])[group_a]
+    slot_b = np.arange(len(ids_b)) + till_a[group_b]
     ids[slot_a], ids[slot_b] = ids_a, ids_b
     after = np.full(len(ids), ord(","), np.uint8)
     after[slot_a[till_a - 1]] = ord("|")
     last = slot_b[till_b - 1]
     after[last] = ord(";")
-    end_of_doc = np.append(doc_of_group[1:] != doc_of_group[:-1], True) if n else np.zeros(0, bool)
-    width = np.ones(len(ids), np.int64)
-    for k in range(1, 10):
-        width += ids >= 10**k
-    room = width + 1
-    room[last[end_of_doc]] -= 1
-    stop = np.cumsum(room)
-    out = np.empty(stop[-1] if n else 0, np.uint8)
-    start, rest, place = stop - room, ids.copy(), width - 1
-    closed = np.ones(len(ids), bool)
-    closed[last[end_of_doc]] = False
-    out[stop[closed] - 1] = after[closed]
-    open_ = np.arange(len(ids))
-    while len(open_):  # digits from the last to the first
-        out[start[open_] + place[open_]] = 48 + rest[open_] % 10
-        rest[open_] //= 10
-        place[open_] -= 1
-        open_ = open_[place[open_] >= 0]
-    return out.tobytes(), np.add.reduceat(room, np.append(0, last[:-1] + 1)) if n else np.zeros(0, np.int64)
+    rows = digits[0][ids].view(np.uint8).reshape(-1, 8)
+    room = digits[1][ids]
+    rows[np.arange(len(ids)), room] = after
+    room += 1
+    room[last[np.append(doc_of_group[1:] != doc_of_group[:-1], True)]] -= 1
+    kept = (np.arange(8) < np.arange(9)[:, None])[room]
+    return rows[kept].tobytes(), np.add.reduceat(room, np.append(0, last[:-1] + 1))
 
 
 def linked_pairs(ids_a, ids_b, group_a, group_b, doc_of_group, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,7 +187,7 @@ def linked_pairs(ids_a, ids_b, group_a, group_b, doc_of_group, width: int) -> tu
     return key[new] // span, key[new] % span, np.add.reduceat(times, new) if len(new) else np.zeros(0, np.int64)
 
 
-def _aligned(texts: list[str | None], a: Side, b: Side):
+def _aligned(texts: list[str | None], a: Side, b: Side, digits: tuple[np.ndarray, np.ndarray]):
     """Columns n_a to times for one chunk of texts."""
     n = len(texts)
     ids_a, ids_b, kept = [], [], []
@@ -210,7 +213,7 @@ def _aligned(texts: list[str | None], a: Side, b: Side):
     group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
     doc_of_group = doc_a[closes_a == 1]
     m = len(doc_of_group)
-    written, room = groups_text(ids_a, ids_b, group_a, group_b, doc_of_group)
+    written, room = groups_text(ids_a, ids_b, group_a, group_b, doc_of_group, digits)
     links = np.bincount(group_a, minlength=m) * np.bincount(group_b, minlength=m)
 
     def total(of: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -232,6 +235,7 @@ def _aligned(texts: list[str | None], a: Side, b: Side):
 
 def _align_batches(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, a_ranks_path: str | None):
     a, b = byte_level_side(a_path, a_ranks_path), piece_side(b_path)
+    digits = decimals(max(len(a.size), len(b.size)))
     row = TaskContext.get().partitionId() << 40
     for batch in batches:
         texts = batch.column("text")
@@ -239,7 +243,7 @@ def _align_batches(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str,
             n = len(offsets) - 1
             rows = pa.array(np.arange(row, row + n), pa.int64())
             row += n
-            columns = _aligned(texts.slice(first, n).to_pylist(), a, b)
+            columns = _aligned(texts.slice(first, n).to_pylist(), a, b, digits)
             yield pa.RecordBatch.from_arrays([rows, batch.column("doc_id").slice(first, n), *columns], _NAMES)
 
 
