@@ -32,7 +32,7 @@ from chatsieve.llm.tables import settled, texts_of
 LENGTH, END_ID = 2048, 1
 #: Rows of cut documents (16 bytes each) that are broadcast to fetch their ids; more are joined.
 BROADCAST_CUTS = 200_000
-FLUSH_BYTES = 4 << 20
+FLUSH_BYTES = CHUNK_BYTES = 1 << 20
 _NAMES = ["row", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
 _TYPES = [*[pa.int64()] * 6, pa.binary()]
 _SCHEMA = "row long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
@@ -110,7 +110,7 @@ def _units_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
 
 def _ids_of(column: pa.Array, table: UnitTable) -> Iterator[np.ndarray]:
     """Ids of every text."""
-    for _, data, offsets in text_chunks(column):
+    for _, data, offsets in text_chunks(column, CHUNK_BYTES):
         starts, ends, counts = words_of(data, offsets)
         low, starts, ends, per_word = _units_of(data, starts, ends)
         ids, size = table.ids(low, starts, ends, np.ones(len(starts), bool))
