@@ -21,6 +21,10 @@ from chatsieve.operators.tokens import document_frequency
 MAX_VOCABULARY = 1 << 20
 
 
+class VocabularyTooLarge(ValueError):
+    """The terms do not fit one vector."""
+
+
 def tfidf(
     df: DataFrame, min_df: int = 3, max_df: float = 0.2, text: str = "message", id_col: str = "id"
 ) -> DataFrame:
@@ -104,7 +108,7 @@ def fit_features(
         counter = vectoriser.fit(split_up)
         counted = counter.transform(split_up)
         if counted.schema[counted_col].metadata["ml_attr"]["num_attrs"] > MAX_VOCABULARY:
-            raise ValueError("the vocabulary is too large for one model: raise min_df or lower max_df")
+            raise VocabularyTooLarge("the vocabulary is too large for one model: raise min_df or lower max_df")
         stages = [terms, counter]
         if weighted:
             idf = IDF(inputCol=counted_col, outputCol="_idf").fit(counted).idf

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chatsieve.operators.evaluate import confusion_columns, score_columns
-from chatsieve.operators.features import fit_features, idf_of, vocabulary_of
+from chatsieve.operators.features import VocabularyTooLarge, fit_features, idf_of, vocabulary_of
 from chatsieve.operators.sampling import stratified_folds
+from chatsieve.operators.skew import join_lookup
+from chatsieve.operators.term_models import TermModel, fit_term_logistic, score_terms, term_counts
 
 # When the optimiser stops, and how many rows make a partition worth a task.
 TOLERANCE = 1e-4
@@ -75,9 +77,13 @@ def fit_logistic(
     max_iter: int = 100,
     text: str = "message",
     truth: str = "toxic",
-) -> PipelineModel:
-    """TF-IDF and logistic regression as one pipeline."""
-    features = fit_features(df, min_df, max_df, ngram, analyzer, text=text)
+) -> PipelineModel | TermModel:
+    """TF-IDF and logistic regression as one pipeline. A vocabulary that outgrows one vector
+    gives the same model with its weights as a table (``TermModel``)."""
+    try:
+        features = fit_features(df, min_df, max_df, ngram, analyzer, text=text)
+    except VocabularyTooLarge:
+        return fit_term_logistic(df, c, min_df, max_df, ngram, analyzer, max_iter, text, truth)
     with prepared(df, features, truth) as (train, n):
         model = logistic(c, n, max_iter).fit(train)
     return PipelineModel(stages=[*features.stages, model])
@@ -174,8 +180,11 @@ def fit_multiclass(
     return PipelineModel(stages=[*features.stages, model])
 
 
-def score(df: DataFrame, model: PipelineModel, threshold: float = 0.5, text: str = "message") -> DataFrame:
-    """Add (probability, pred) to every row; a map-only pass. A missing text has neither."""
+def score(df: DataFrame, model: PipelineModel | TermModel, threshold: float = 0.5, text: str = "message") -> DataFrame:
+    """Add (probability, pred) to every row; a map-only pass for a pipeline, a join for weights
+    in a table. A missing text has neither."""
+    if isinstance(model, TermModel):
+        return score_terms(df, model, threshold, text)
     probability = F.when(F.col(text).isNotNull(), vector_to_array("probability")[1])
     return model.transform(df).select(
         *df.columns, probability.alias("probability"), (probability > threshold).alias("pred")
@@ -187,8 +196,10 @@ def score_classes(df: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(df).select(*df.columns, F.col("prediction").cast("int").alias("pred_label"))
 
 
-def weights_table(spark, model: PipelineModel) -> DataFrame:
+def weights_table(spark, model: PipelineModel | TermModel) -> DataFrame:
     """(term, idf, weight) per vocabulary term of a two-class linear model."""
+    if isinstance(model, TermModel):
+        return model.weights.select("term", "idf", "weight")
     idf = idf_of(model)
     coefficients = model.stages[-1].coefficients.toArray()
     rows = [
@@ -206,19 +217,23 @@ def top_terms(spark, model: PipelineModel, k: int = 20) -> DataFrame:
 
 
 def explain_score(
-    df: DataFrame, model: PipelineModel, k: int = 5, text: str = "message", id_col: str = "id"
+    df: DataFrame, model: PipelineModel | TermModel, k: int = 5, text: str = "message", id_col: str = "id"
 ) -> DataFrame:
     """Per row the k terms that add most to the score, by size of weight times value.
 
-    The weights are one row per vocabulary term, bounded by the model, and are
-    broadcast; the terms of a text stay together in one shuffle by id.
+    The weights of a pipeline are one row per vocabulary term, bounded by the model, and are
+    broadcast; weights in a table are joined. The terms of a text stay together in one
+    shuffle by id.
     """
-    by_id = df.select(id_col, text).repartition(id_col)
-    terms = model.stages[0].transform(by_id).select(id_col, F.explode("_terms").alias("term"))
-    counts = terms.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
-    valued = counts.join(F.broadcast(weights_table(df.sparkSession, model)), "term").withColumn(
-        "_raw", F.col("tf") * F.col("idf")
-    )
+    if isinstance(model, TermModel):
+        counts = term_counts(df, id_col, text, model.analyzer, model.ngram)
+        valued = join_lookup(counts, model.weights, "term", "df", F.col(id_col))
+    else:
+        by_id = df.select(id_col, text).repartition(id_col)
+        terms = model.stages[0].transform(by_id).select(id_col, F.explode("_terms").alias("term"))
+        counts = terms.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
+        valued = counts.join(F.broadcast(weights_table(df.sparkSession, model)), "term")
+    valued = valued.withColumn("_raw", F.col("tf") * F.col("idf"))
     per_text = Window.partitionBy(id_col)
     norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(per_text))
     share = valued.withColumn("contribution", F.col("weight") * F.col("_raw") / norm)

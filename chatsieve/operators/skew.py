@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatsieve.session import scratch_path
 
 HEAVY_KEYS = 1000
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def heaviest(counts: DataFrame, key: str, weight: str) -> DataFrame:
@@ -30,7 +33,19 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     it: they know its size, and losing an executor does not bring the work back."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _written[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables that no plan will read again."""
+    for table in tables:
+        path = _written.pop(table, None)
+        if path:
+            spark = table.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def compact(key: Column) -> Column:

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_local_dirs: dict[str, str] = {}
+
 
 def build_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
@@ -35,9 +37,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="chatsieve-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    key = spark.sparkContext.applicationId
+    if key not in _local_dirs:
+        _local_dirs[key] = tempfile.mkdtemp(prefix="chatsieve-")
+    return _local_dirs[key]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -7,16 +7,25 @@ import json
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
+from chatsieve.operators.term_models import TermModel, load_terms, save_terms
 
-def save_model(spark: SparkSession, model: PipelineModel, path: str, **metadata) -> None:
+
+def save_model(spark: SparkSession, model: PipelineModel | TermModel, path: str, **metadata) -> None:
     """Write vectoriser and classifier together, and the split they were trained on
     (such as seed and fraction) as metadata."""
-    model.write().overwrite().save(f"{path}/pipeline")
-    note = spark.createDataFrame([(json.dumps(metadata, sort_keys=True),)], "value string")
+    as_table = isinstance(model, TermModel)
+    if as_table:
+        save_terms(model, f"{path}/terms")
+    else:
+        model.write().overwrite().save(f"{path}/pipeline")
+    kept = {"kind": "terms" if as_table else "pipeline", "metadata": metadata}
+    note = spark.createDataFrame([(json.dumps(kept, sort_keys=True),)], "value string")
     note.coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
+def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel | TermModel, dict]:
     """Read a saved model; a missing one is an error."""
-    model = PipelineModel.load(f"{path}/pipeline")
-    return model, json.loads(spark.read.text(f"{path}/metadata").first()["value"])
+    kept = json.loads(spark.read.text(f"{path}/metadata").first()["value"])
+    if kept["kind"] == "terms":
+        return load_terms(spark, f"{path}/terms"), kept["metadata"]
+    return PipelineModel.load(f"{path}/pipeline"), kept["metadata"]
