@@ -10,7 +10,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, NaiveBayes, NaiveBayesModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -77,6 +77,7 @@ def fit_logistic(
     max_iter: int = 100,
     text: str = "message",
     truth: str = "toxic",
+    tol: float = TOLERANCE,
 ) -> PipelineModel | TermModel:
     """TF-IDF and logistic regression as one pipeline. A vocabulary that outgrows one vector
     gives the same model with its weights as a table (``TermModel``)."""
@@ -85,7 +86,7 @@ def fit_logistic(
     except VocabularyTooLarge:
         return fit_term_logistic(df, c, min_df, max_df, ngram, analyzer, max_iter, text, truth)
     with prepared(df, features, truth) as (train, n):
-        model = logistic(c, n, max_iter).fit(train)
+        model = logistic(c, n, max_iter, tol=tol).fit(train)
     return PipelineModel(stages=[*features.stages, model])
 
 
@@ -102,6 +103,7 @@ def fit_logistic_cv(
     text: str = "message",
     truth: str = "toxic",
     id_col: str = "id",
+    tol: float = TOLERANCE,
 ) -> tuple[PipelineModel, DataFrame]:
     """Choose C by accuracy in stratified k-fold cross-validation, then fit on all rows.
 
@@ -123,7 +125,7 @@ def fit_logistic_cv(
         ).fit(train)
         accuracy = list(search.avgMetrics)
         best = int(np.argmax(accuracy))
-        model = logistic(grid[best], n, max_iter).fit(train)
+        model = logistic(grid[best], n, max_iter, tol=tol).fit(train)
     rows = [
         (float(c), float(a), i == best, i == best and i in (0, len(grid) - 1))
         for i, (c, a) in enumerate(zip(grid, accuracy))
@@ -172,11 +174,12 @@ def fit_multiclass(
     max_iter: int = 100,
     text: str = "message",
     label: str = "label",
+    tol: float = TOLERANCE,
 ) -> PipelineModel:
     """Multinomial logistic regression over the label enum."""
     features = fit_features(df, min_df, max_df, text=text)
     with prepared(df, features, label) as (train, n):
-        model = logistic(c, n, max_iter, family="multinomial").fit(train)
+        model = logistic(c, n, max_iter, family="multinomial", tol=tol).fit(train)
     return PipelineModel(stages=[*features.stages, model])
 
 
@@ -197,29 +200,39 @@ def score_classes(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def weights_table(spark, model: PipelineModel | TermModel) -> DataFrame:
-    """(term, idf, weight) per vocabulary term of a two-class linear model."""
+    """(term, idf, weight) per vocabulary term of a two-class linear model. Of a counts model
+    the weight is the log odds of a term, and idf is NULL: it adds the weight for every
+    occurrence."""
     if isinstance(model, TermModel):
         return model.weights.select("term", "idf", "weight")
-    idf = idf_of(model)
-    coefficients = model.stages[-1].coefficients.toArray()
+    last, idf = model.stages[-1], idf_of(model)
+    if isinstance(last, NaiveBayesModel):
+        theta = last.theta.toArray()
+        weights = theta[1] - theta[0]
+    else:
+        weights = last.coefficients.toArray()
     rows = [
-        (term, float(i), float(w)) for term, i, w in zip(vocabulary_of(model), idf, coefficients)
+        (term, None if i is None else float(i), float(w))
+        for term, i, w in zip(vocabulary_of(model), idf if idf is not None else itertools.repeat(None), weights)
     ]
     return spark.createDataFrame(rows, "term string, idf double, weight double")
 
 
 def top_terms(spark, model: PipelineModel, k: int = 20) -> DataFrame:
-    """The k most toxic and the k most clean terms by weight."""
+    """The k most toxic and the k most clean terms by weight. Weights that differ by rounding
+    errors alone are ties, which go by term."""
     weights = weights_table(spark, model)
-    toxic = weights.orderBy(F.desc("weight"), "term").limit(k).withColumn("side", F.lit("toxic"))
-    clean = weights.orderBy(F.asc("weight"), "term").limit(k).withColumn("side", F.lit("clean"))
+    even = F.round("weight", 9)
+    toxic = weights.orderBy(F.desc(even), "term").limit(k).withColumn("side", F.lit("toxic"))
+    clean = weights.orderBy(F.asc(even), "term").limit(k).withColumn("side", F.lit("clean"))
     return toxic.unionByName(clean).select("side", "term", "weight")
 
 
 def explain_score(
     df: DataFrame, model: PipelineModel | TermModel, k: int = 5, text: str = "message", id_col: str = "id"
 ) -> DataFrame:
-    """Per row the k terms that add most to the score, by size of weight times value.
+    """Per row the k terms that add most to the score, by size of weight times value (of a
+    counts model: weight times occurrences).
 
     The weights of a pipeline are one row per vocabulary term, bounded by the model, and are
     broadcast; weights in a table are joined. The terms of a text stay together in one
@@ -236,8 +249,9 @@ def explain_score(
     valued = valued.withColumn("_raw", F.col("tf") * F.col("idf"))
     per_text = Window.partitionBy(id_col)
     norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(per_text))
-    share = valued.withColumn("contribution", F.col("weight") * F.col("_raw") / norm)
-    place = F.row_number().over(per_text.orderBy(F.desc(F.abs("contribution")), "term"))
+    value = F.when(F.col("idf").isNull(), F.col("tf")).otherwise(F.col("_raw") / norm)
+    share = valued.withColumn("contribution", F.col("weight") * value)
+    place = F.row_number().over(per_text.orderBy(F.desc(F.round(F.abs("contribution"), 9)), "term"))
     return (
         share.withColumn("place", place)
         .filter(F.col("place") <= k)

@@ -224,8 +224,6 @@ EXPECTED = {
     "evaluate_rules": f"WITH {FLAGGED}, e AS (SELECT CASE WHEN flagged THEN 'fp' ELSE 'fn' END AS kind, id FROM flagged"
     " WHERE flagged <> toxic) SELECT kind, id FROM (SELECT *, row_number() OVER (PARTITION BY kind"
     " ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) AS r FROM e) WHERE r <= 10",
-    "save_load_model": f"WITH {MSGS}, {SPLIT} SELECT id, true AS same FROM split WHERE split = 'test'",
-    "stream_score": "SELECT doc_id AS id, true AS same FROM documents",
     "union_datasets": f"WITH {MSGS} SELECT id, md5(message) AS message_md5, label, 'documents' AS dataset FROM msgs"
     " UNION ALL SELECT conv_id * 1000 + turn, md5(text), 0, 'conversations' FROM conversations",
     "binary_label": f"WITH {MSGS} SELECT id, label, label <> 0 AS toxic FROM msgs",
@@ -421,5 +419,38 @@ EXPECTED = {
     "stream_dedupe": "WITH n AS (SELECT count(*) AS n FROM documents) SELECT DISTINCT sha256(d.text) AS text_key"
     " FROM events e, n JOIN documents d ON d.doc_id = e.event_id % n.n",
 }
+EXPECTED["stream_score"] = EXPECTED["score_naive_bayes"]
+EXPECTED["save_load_model"] = f"SELECT *, 0.2::DOUBLE AS frac, 42 AS seed FROM ({EXPECTED['score_naive_bayes']})"
+ODDS = (
+    f"{MSGS}, {TFIDF}, c AS (SELECT term, sum(tf) FILTER (toxic) AS a, sum(tf) FILTER (NOT toxic) AS b"
+    " FROM raw JOIN msgs USING (id) GROUP BY term), t AS (SELECT sum(a) AS ta, sum(b) AS tb, count(*) AS v FROM c),"
+    " odds AS (SELECT term, ln((coalesce(a, 0) + 1)::DOUBLE / (ta + v)) - ln((coalesce(b, 0) + 1)::DOUBLE / (tb + v)) AS weight FROM c, t)"
+)
+EXPECTED["top_terms_counts"] = (
+    f"WITH {ODDS} SELECT side, term, round(weight, 6) AS weight FROM ("
+    "(SELECT 'toxic' AS side, * FROM odds ORDER BY round(weight, 9) DESC, term LIMIT 20) UNION ALL"
+    " (SELECT 'clean' AS side, * FROM odds ORDER BY round(weight, 9), term LIMIT 20))"
+)
+EXPECTED["explain_counts"] = (
+    f"WITH {TEXTS}, {ODDS}, n AS (SELECT id, term, count(*) AS tf FROM ({tokens_of('texts')}) GROUP BY id, term),"
+    " s AS (SELECT id, term, tf, tf * weight AS x, row_number() OVER (PARTITION BY id ORDER BY round(abs(tf * weight), 9) DESC, term)::INTEGER"
+    " AS place FROM n JOIN odds USING (term)) SELECT id, place, term, tf, round(x, 6) AS contribution FROM s WHERE place <= 5"
+)
+
+
+def optimum(rows: str, extra: str = "", times: str = "") -> str:
+    """The terms of a model with their document counts, and a slope of zero for each weight."""
+    return (
+        f"{rows}, f AS (SELECT term, count(DISTINCT id) AS df FROM ({tokens_of('train')}) GROUP BY term), n AS (SELECT count(*) AS n"
+        f" FROM train) SELECT term, df{extra}, 0.0::DOUBLE AS slope FROM f, n{times} WHERE df >= 3 AND df <= 0.2::DOUBLE * n"
+    )
+
+
+TRAIN = f"WITH {MSGS}, {SPLIT}, train AS (SELECT * FROM split WHERE split = 'train')"
+EXPECTED["fit_logistic_optimum"] = EXPECTED["fit_logistic_cv_optimum"] = optimum(TRAIN)
+EXPECTED["fit_multiclass_optimum"] = optimum(TRAIN, ", class::INTEGER AS class", ", range(6) t(class)")
+EXPECTED["distil_optimum"] = optimum(
+    f"WITH {TEXTS}, train AS (SELECT * FROM texts ANTI JOIN labels ON doc_id = id WHERE id % 17 <> 0 AND id % 19 <> 0 AND id % 23 <> 0)"
+)
 EXPECTED["apply_exceptions_table"] = EXPECTED["apply_exceptions"]
 EXPECTED["remove_stop_words_table"] = EXPECTED["remove_stop_words"]
