@@ -13,6 +13,7 @@ from chatsieve.functions.patterns import WORD_CHAR, folded
 from chatsieve.functions.text import text_key
 from chatsieve.operators import cost, evaluate, features, fuzzy, mining, models, rules, sampling
 from chatsieve.operators import tokens as token_ops
+from chatsieve.operators.skew import settled
 from chatsieve.plans import tables, workflows
 from chatsieve.plans.tables import WORDS
 from chatsieve.session import scratch_path
@@ -736,7 +737,8 @@ def stream_score(spark, d):
 
 @query
 def stream_flag_rate(spark, d):
-    said = rules.rule_flag(tables.texts(spark, d), WORDS).select("id", "lang", "flagged")
+    # Flagged once, not in every micro-batch.
+    said = settled(rules.rule_flag(tables.texts(spark, d), WORDS).select("id", "lang", "flagged"), "said")
     flags = tables.chat_stream(spark, d, said).select("ts", "lang", "flagged")
     rates = moderation.drain(moderation.stream_flag_rate(flags), "rates")
     return rates.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))

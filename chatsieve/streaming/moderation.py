@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +16,6 @@ from chatsieve.operators.models import score
 from chatsieve.operators.rules import censor, rule_flag
 from chatsieve.session import scratch_path
 
-SALTS = 64
-
 
 def stream_moderate(
     stream: DataFrame, words: Iterable[str], mode: str = "boundary", text: str = "text"
@@ -59,15 +58,37 @@ def stream_flag_rate(
     )
 
 
-def stream_dedupe(stream: DataFrame, horizon: str = "1 hour", text: str = "text", ts: str = "ts") -> DataFrame:
-    """Pass the first of each distinct text; repeats within the horizon are dropped.
+def _first_copies(batches: Iterator[pa.RecordBatch], ts: str) -> Iterator[pa.RecordBatch]:
+    """The first row of each text in one part of a micro-batch, and the row of the latest time,
+    which the watermark needs."""
+    seen: set = set()
+    latest, late_row = None, None
+    for batch in batches:
+        keys, times = batch.column("text_key").to_pylist(), batch.column(ts).cast(pa.int64()).to_pylist()
+        fresh = []
+        for at, (key, time) in enumerate(zip(keys, times, strict=True)):
+            new = key not in seen
+            seen.add(key)
+            fresh.append(new)
+            if time is not None and (latest is None or time > latest):
+                latest, late_row = time, None if new else batch.slice(at, 1)
+        yield batch.filter(pa.array(fresh, pa.bool_()))
+    if late_row is not None:
+        yield late_row
+
 
-    Copies of a text that everybody sends are first dropped in ``SALTS`` groups, so that
-    no task sees more than one of them per group and horizon."""
+def first_copies(keyed: DataFrame, ts: str = "ts") -> DataFrame:
+    """Combine the copies in each part of a micro-batch before they are shuffled, so that a text
+    that everybody sends is two rows per part at most. Holds a digest per distinct text."""
+    return keyed.mapInArrow(lambda it: _first_copies(it, ts), keyed.schema)
+
+
+def stream_dedupe(stream: DataFrame, horizon: str = "1 hour", text: str = "text", ts: str = "ts") -> DataFrame:
+    """Pass the first of each distinct text; repeats are dropped until the watermark is the
+    horizon past it, as ``dropDuplicatesWithinWatermark`` does. Copies of one micro-batch
+    are combined before the shuffle; there is one state per text."""
     keyed = stream.withColumn("text_key", text_key(F.col(text)))
-    salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(SALTS)))
-    fewer = salted.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(["text_key", "_salt"])
-    return fewer.drop("_salt").dropDuplicatesWithinWatermark(["text_key"])
+    return first_copies(keyed, ts).withWatermark(ts, horizon).dropDuplicatesWithinWatermark(["text_key"])
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:

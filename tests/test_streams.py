@@ -1,4 +1,5 @@
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -55,3 +56,47 @@ def test_repeats_within_the_horizon(spark, frame, tmp_path):
     out = moderation.drain(moderation.stream_dedupe(stream_of(spark, path), "1 hour"), "t3")
     assert sorted(r.text for r in out.select("text").collect()) == ["a", "b"]
     assert out.filter(F.col("text_key").isNull()).count() == 0
+
+
+def plain_dedupe(stream, horizon):
+    keyed = stream.withColumn("text_key", F.sha2("text", 256))
+    return keyed.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["text_key"])
+
+
+def test_a_repeat_past_the_horizon_passes_again(spark, frame, tmp_path):
+    """A copy at 50 minutes does not pass, and so does not hold back the one at 70."""
+    steps = [[(1, at(0, 0), "en", "a")], [(2, at(0, 50), "en", "a")], [(3, at(2, 6), "en", "b")], [(4, at(2, 6), "en", "b")]]
+    steps.append([(5, at(1, 10), "en", "a")])
+    path = folder(frame, tmp_path, steps)
+    got = {r.msg_id for r in moderation.drain(moderation.stream_dedupe(stream_of(spark, path), "1 hour"), "t4").collect()}
+    want = {r.msg_id for r in moderation.drain(plain_dedupe(stream_of(spark, path), "1 hour"), "t4").collect()}
+    assert got == want == {1, 3, 5}
+
+
+def test_dedupe_equals_the_built_in_one_on_random_streams(spark, frame, tmp_path):
+    rng = random.Random(5)
+    n = 0
+    for turn in range(3):
+        steps = []
+        for step in range(9):
+            rows = []
+            for _ in range(rng.randrange(1, 14)):
+                n += 1
+                when = at(1, 0) + timedelta(minutes=step * 25 + rng.randrange(-60, 60))
+                rows.append((n, when, "en", rng.choice(["a", "b", "c", "d", None, ""])))
+            steps.append(rows)
+        (tmp_path / str(turn)).mkdir()
+        path = folder(frame, tmp_path / str(turn), steps)
+        got, want = (
+            {(r.msg_id, r.text_key) for r in moderation.drain(made, "t5").collect()}
+            for made in (moderation.stream_dedupe(stream_of(spark, path), "1 hour"), plain_dedupe(stream_of(spark, path), "1 hour"))
+        )
+        assert got == want and len(got) > 9
+
+
+def test_a_text_that_everybody_sends_is_combined_before_the_shuffle(spark):
+    many = spark.range(20_000).repartition(4).selectExpr(
+        "CAST(id AS INT) AS msg_id", "timestamp_seconds(id % 977) AS ts", "'en' AS lang", "'hello' AS text"
+    )
+    kept = moderation.first_copies(many.withColumn("text_key", F.sha2("text", 256)))
+    assert kept.count() <= 8 and kept.agg(F.max(F.unix_timestamp("ts"))).first()[0] == 976
