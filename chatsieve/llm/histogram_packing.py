@@ -295,7 +295,7 @@ def ranked(items: DataFrame, counts: dict[int, int]) -> DataFrame:
     and the groups are added up. There are at most four groups per partition and one per
     length, so their sizes are broadcast."""
     spark = items.sparkSession
-    per_deal = max(1000, sum(counts.values()) // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    per_deal = max(64, sum(counts.values()) // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     deals = spark.createDataFrame([(k, -(-n // per_deal)) for k, n in counts.items()], "length long, deals long")
     dealt = items.join(F.broadcast(deals), "length").withColumn("deal", F.pmod(F.xxhash64("row"), "deals")).drop("deals")
     sizes = dealt.groupBy("length", "deal").agg(F.count("*").alias("n"))
