@@ -1,9 +1,10 @@
 import hashlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from chatsieve.operators import cost, skew
+from chatsieve.operators import cost, nearest, skew
 from chatsieve.functions.text import text_key
 
 
@@ -69,8 +70,9 @@ def test_nearest_vector_in_every_block_layout(frame):
     b = frame([(i, [float(x) for x in v], i % 3 == 0) for i, v in enumerate(old)], "id long, vector array<double>, verdict boolean")
     unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
     cosines = np.round(unit(new) @ unit(old).T, 9)
-    for rows, cols in ((50_000, 20_000), (7, 4)):
-        got = {r.id: (r.match_id, r.verdict) for r in cost.semantic_cache(a, b, 0.8, new_rows=rows, cache_rows=cols).collect()}
+    for rows, cols, limit in ((None, None, 1 << 20), (50_000, 20_000, 0), (7, 4, 0), (7, 30, 0)):
+        made = cost.semantic_cache(a, b, 0.8, new_rows=rows, cache_rows=cols, broadcast_bytes=limit)
+        got = {r.id: (r.match_id, r.verdict) for r in made.collect()}
         assert len(got) == 40
         for i in range(40):
             best = int(cosines[i].argmax())
@@ -122,8 +124,9 @@ def test_text_key_is_sha256(frame):
 def test_semantic_cache_of_vectors_without_direction(frame):
     a = frame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [0.0, 1.0])], "id long, vector array<double>")
     b = frame([(7, [0.0, 0.0], True), (8, [2.0, 0.1], True), (9, None, False)], "id long, vector array<double>, verdict boolean")
-    got = {r.id: (r.match_id, r.verdict) for r in cost.semantic_cache(a, b, 0.9).collect()}
-    assert got == {1: (8, True), 2: (None, None), 3: (None, None), 4: (None, None)}
+    for limit in (1 << 20, 0):
+        got = {r.id: (r.match_id, r.verdict) for r in cost.semantic_cache(a, b, 0.9, broadcast_bytes=limit).collect()}
+        assert got == {1: (8, True), 2: (None, None), 3: (None, None), 4: (None, None)}
     assert {r.match_id for r in cost.semantic_cache(a, b.limit(0), 0.9).collect()} == {None}
 
 
@@ -136,7 +139,7 @@ def test_semantic_cache_multiplies_few_pairs_of_clusters(spark):
     new, cache = vectors.filter("id >= 300"), vectors.filter("id < 300")
     unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
     cosines = np.round(unit[300:] @ unit[:300].T, 9)
-    got = {r.id: r.match_id for r in cost.semantic_cache(new, cache, 0.95, cache_rows=7, new_rows=9).collect()}
+    got = {r.id: r.match_id for r in cost.semantic_cache(new, cache, 0.95, cache_rows=7, new_rows=9, broadcast_bytes=0).collect()}
     assert all(got[300 + i] == (int(cosines[i].argmax()) if cosines[i].max() >= 0.95 else None) for i in range(300))
 
 
@@ -149,3 +152,21 @@ def test_missing_texts_keep_their_rows_and_are_not_sent(frame):
     got = {r.id: r.status for r in cost.annotate(df, classify, cache_of(frame, {"b": True})).collect()}
     assert got == {1: "OK", 2: "NO_TEXT", 3: "OK"}
     assert cost.cached_annotate(df, cache_of(frame, {"z": True}))[1].count() == 2
+
+
+@pytest.mark.parametrize("kind", ["even", "flat", "few"])
+def test_pairs_are_ruled_out_by_the_first_dimensions_alone(kind):
+    """The nearest by full products, for vectors that the bound helps a lot, little and not."""
+    rng = np.random.default_rng(2)
+    size = {"even": np.ones(48), "flat": 0.7 ** np.arange(48), "few": np.ones(3)}[kind]
+    mix = np.linalg.qr(rng.normal(size=(len(size), len(size))))[0]
+    known, asked = rng.normal(size=(700, len(size))) * size, rng.normal(size=(2100, len(size))) * size
+    known[400] = known[30]
+    asked[:700] = known + 0.1 * rng.normal(size=known.shape) * size
+    known, asked = (m @ mix / np.linalg.norm(m, axis=1, keepdims=True) for m in (known, asked))
+    full = np.round(asked @ known.T, 9)
+    for threshold in (0.3, 0.9, 0.999):
+        place, cosine = nearest.Listed(known, nearest.Turn.of(known[:128])).best(asked, threshold)
+        want = np.where(full.max(axis=1) >= threshold, full.argmax(axis=1), -1)
+        assert (place == want).all()
+        assert np.abs(cosine - full.max(axis=1))[place >= 0].max(initial=0) <= 1.1e-9
