@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chatsieve.functions.text import seeded_order
-from chatsieve.operators.skew import heaviest
+from chatsieve.operators.skew import settled
 
 # Ranks are worked out per leading part of the order hash: 16 ** 4 parts per class.
 HASH_PREFIX = 4
@@ -63,9 +63,9 @@ def stratified_split(
 
     The prefix counts show in which hash prefix a class reaches its test share. Only
     the rows of that prefix are ranked, to find the last hash that still belongs to
-    the test rows. That is one hash per class, found by one job; the table itself is
-    then split row by row, without a shuffle. ``label`` is a closed set of at most
-    ``MAX_CLASSES`` classes.
+    the test rows. That is one hash per class, found by one job; with up to
+    ``MAX_CLASSES`` classes the table itself is then split row by row, without a shuffle,
+    and with more the hashes are joined.
     """
     narrow = with_hash(df.select(label, id_col), seed, id_col).select(label, "_order", "_part")
     wanted = F.round(F.col("_class_n") * F.lit(float(frac)))
@@ -76,18 +76,20 @@ def stratified_split(
     )
     place = F.row_number().over(Window.partitionBy(label, "_part").orderBy("_order"))
     last = (
-        narrow.join(F.broadcast(turning), [label, "_part"])  # one row per class
+        narrow.join(turning, [label, "_part"])  # one row per class
         .withColumn("_place", place)
         .filter(F.col("_place") == F.col("_room"))
         .select(label, "_order")
-        .take(MAX_CLASSES + 1)
     )
-    if len(last) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    in_test = F.lit(False)
-    for row in last:
-        in_test = F.when(F.col(label) == row[label], F.col("_order") <= row["_order"]).otherwise(in_test)
+    few = last.take(MAX_CLASSES + 1)
     hashed = df.withColumn("_order", seeded_order(seed, F.col(id_col)))
+    if len(few) > MAX_CLASSES:
+        hashed = hashed.join(last.withColumnRenamed("_order", "_last"), label, "left")
+        in_test = F.coalesce(F.col("_order") <= F.col("_last"), F.lit(False))
+    else:
+        in_test = F.lit(False)
+        for row in few:
+            in_test = F.when(F.col(label) == row[label], F.col("_order") <= row["_order"]).otherwise(in_test)
     return hashed.select(*df.columns, F.when(in_test, "test").otherwise("train").alias(out))
 
 
@@ -156,39 +158,30 @@ def with_context(
     text: str = "text",
     out: str = "context",
     separator: str = " | ",
-    span: int = 4096,
     hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add the last k messages of the same conversation, oldest first.
 
-    (key, order) is unique. Conversations are windows of one shuffle. One with more
-    than ``hot_rows`` messages, of which the ``HEAVY_KEYS`` longest are told apart, is
-    cut into spans of the order column, so that many tasks share it. The first k rows
-    of a span look back across the cut: they get their context from a second pass
-    over just the edges (first k and last k rows) of the spans.
+    (key, order) is unique. Conversations are windows of one shuffle. If any has more than
+    ``hot_rows`` messages, the table is range-partitioned by (key, order) instead, so that
+    long conversations are cut wherever a part is full, however their turns are numbered.
+    The first k rows of a conversation in a part look back across the cut: they get their
+    context from a second pass over the edges alone (first k and last k rows in each part).
     """
-    lengths = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-    hot = [r[key] for r in heaviest(lengths, key, "_n").collect()]
     back = Window.partitionBy(key).orderBy(order).rowsBetween(-k, -1)
-    if not hot:
+    longest = df.groupBy(key).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if longest <= hot_rows:
         found = df.withColumn("_context", F.collect_list(text).over(back))
         return found.select(*df.columns, F.array_join("_context", separator).alias(out))
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    in_span = Window.partitionBy(key, "_span").orderBy(order)
+    # Settled, so that both passes see the same cuts.
+    cut = settled(df.repartitionByRange(key, order).withColumn("_part", F.spark_partition_id()), "cut")
+    in_part = Window.partitionBy(key, "_part").orderBy(order)
     rows = (
-        df.filter(is_hot)
-        .withColumn("_span", F.floor(F.col(order) / span))
-        .withColumn("_place", F.row_number().over(in_span))
-        .withColumn("_last", F.lead(order, k).over(in_span).isNull())
-        .withColumn("_context", F.collect_list(text).over(in_span.rowsBetween(-k, -1)))
+        cut.withColumn("_place", F.row_number().over(in_part))
+        .withColumn("_last", F.lead(F.lit(True), k).over(in_part).isNull())
+        .withColumn("_context", F.collect_list(text).over(in_part.rowsBetween(-k, -1)))
     )
-    edges = rows.filter((F.col("_place") <= k) | F.col("_last")).withColumn(
-        "_context", F.collect_list(text).over(back)
-    )
-    parts = [
-        df.filter(~is_hot).withColumn("_context", F.collect_list(text).over(back)),
-        rows.filter(F.col("_place") > k),
-        edges.filter(F.col("_place") <= k),
-    ]
+    edges = rows.filter((F.col("_place") <= k) | F.col("_last")).withColumn("_context", F.collect_list(text).over(back))
+    parts = [rows.filter(F.col("_place") > k), edges.filter(F.col("_place") <= k)]
     joined = [p.select(*df.columns, F.array_join("_context", separator).alias(out)) for p in parts]
-    return joined[0].unionByName(joined[1]).unionByName(joined[2])
+    return joined[0].unionByName(joined[1])

@@ -13,12 +13,6 @@ HEAVY_KEYS = 1000
 _written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
-def heaviest(counts: DataFrame, key: str, weight: str) -> DataFrame:
-    """The most frequent keys. At most ``HEAVY_KEYS`` rows, so safe to broadcast;
-    any other key holds under one row in ``HEAVY_KEYS``."""
-    return counts.orderBy(F.desc(weight), F.asc(key)).limit(HEAVY_KEYS)
-
-
 def above_share(counts: DataFrame, weight: str) -> DataFrame:
     """The keys that hold a quarter of an even shuffle partition or more. There are at most
     four times as many as partitions, so they are safe to broadcast; any other key fits

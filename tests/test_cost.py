@@ -170,3 +170,11 @@ def test_pairs_are_ruled_out_by_the_first_dimensions_alone(kind):
         want = np.where(full.max(axis=1) >= threshold, full.argmax(axis=1), -1)
         assert (place == want).all()
         assert np.abs(cosine - full.max(axis=1))[place >= 0].max(initial=0) <= 1.1e-9
+
+
+def test_texts_without_an_id_and_with_a_shared_one_are_sent_once_each(frame):
+    df = frame([(None, "a"), (None, "a"), (1, "b"), (1, "c"), (None, "d"), (2, "d"), (3, "k")], "id long, message string")
+    misses = cost.cached_annotate(df, cache_of(frame, {"k": True}))[1].collect()
+    assert sorted((r.message, r.copies) for r in misses) == [("a", 2), ("b", 1), ("c", 1), ("d", 2)]
+    done = cost.annotate(df, lambda texts: ['{"classification": "clean"}'] * len(texts), cache_of(frame, {"k": True})).collect()
+    assert len(done) == 7 and {r.status for r in done} == {"OK"}

@@ -26,6 +26,14 @@ def test_split_takes_the_lowest_hashes_of_each_class(frame):
     assert sampling.stratified_split(df, 0.2).count() == 3000
 
 
+def test_split_of_many_classes(frame, monkeypatch):
+    rows = [(i, i * 31 % 37 or None) for i in range(1500)]
+    df = frame(rows, "id int, toxic int")
+    few = {(r.id, r.split) for r in sampling.stratified_split(df, 0.3).collect()}
+    monkeypatch.setattr(sampling, "MAX_CLASSES", 10)
+    assert {(r.id, r.split) for r in sampling.stratified_split(df, 0.3).collect()} == few and len(few) == 1500
+
+
 def test_folds_are_even(frame):
     df = frame([(i, i % 9 == 0) for i in range(1000)], "id int, toxic boolean")
     sizes = Counter((r.toxic, r.fold) for r in sampling.stratified_folds(df, 5).collect())
@@ -53,12 +61,11 @@ def test_batches(frame):
 @given(
     st.lists(st.tuples(st.integers(0, 2), st.integers(-30, 60)), max_size=60, unique=True),
     st.integers(1, 4),
-    st.sampled_from([1, 3, 16, 4096]),
     st.sampled_from([0, 8, 100]),
 )
-def test_context_across_spans(frame, keys, k, span, hot_rows):
+def test_context_across_cuts(frame, keys, k, hot_rows):
     df = frame([(c, t, f"{c}:{t}") for c, t in keys], "conv_id int, turn int, text string")
-    got = {(r.conv_id, r.turn): r.context for r in sampling.with_context(df, k, span=span, hot_rows=hot_rows).collect()}
+    got = {(r.conv_id, r.turn): r.context for r in sampling.with_context(df, k, hot_rows=hot_rows).collect()}
     want = {}
     for c, t in keys:
         before = sorted(u for d, u in keys if d == c and u < t)[-k:]
@@ -73,3 +80,29 @@ def test_tiny_tables(frame, n):
     assert sampling.stratified_split(df).count() == n
     assert sampling.stratified_folds(df).count() == n
     assert df.withColumn("x", F.lit(1)).count() == n
+
+
+def test_context_of_many_long_conversations_with_sparse_turns(spark):
+    """5,000 conversations above the limit, one of them with a third of all rows, and an id that
+    is missing; turns lie a million apart."""
+    rows = spark.range(150_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN -1 WHEN id % 3000 = 1 THEN NULL ELSE id % 5000 END AS conv_id", "id * 1000000 AS turn", "CAST(id AS STRING) AS text"
+    )
+    made = sampling.with_context(rows, 2, hot_rows=5)
+    order = "PARTITION BY conv_id ORDER BY turn"
+    want = f"concat_ws(' | ', lag(text, 2) OVER ({order}), lag(text, 1) OVER ({order}))"
+    assert made.count() == 150_000
+    assert made.selectExpr("context", f"{want} AS want").filter("context <> want OR context IS NULL").count() == 0
+    plain = sampling.with_context(rows, 2)
+    assert plain.exceptAll(made).count() == 0
+
+
+def test_a_long_conversation_is_shared_by_tasks(spark):
+    rows = spark.range(20_000).selectExpr("7 AS conv_id", "id * 1000000 AS turn", "'x' AS text")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        made = sampling.with_context(rows, 2, hot_rows=100)
+        sizes = [r.n for r in made.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 20_000 and max(sizes) < 16_000
