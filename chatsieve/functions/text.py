@@ -83,6 +83,11 @@ def char_text(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), SPACE_RUN_PATTERN, " ")
 
 
+def char_windows(text: Column, n: int) -> Column:
+    """At every character the run of ``n`` characters from there, or what is left of the text."""
+    return F.regexp_extract_all(char_text(text), F.lit(f"(?s)(?=(.{{1,{n}}}))."), F.lit(1))
+
+
 def normalised(text: Column) -> Column:
     """Undo common disguises: look-alike letters, digits for letters, letters spaced
     out and letters drawn out. Meant for matching, not for display."""

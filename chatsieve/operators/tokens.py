@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from chatsieve.functions.patterns import clean_words
 from chatsieve.functions.text import (
     FUNCTION_WORDS,
-    char_ngram_array,
-    char_text,
+    char_windows,
     language_of,
     normalised,
     token_array,
@@ -44,19 +43,29 @@ def word_ngrams(
     return split_up.select(id_col, F.inline(runs)).select(id_col, "n", F.explode("terms").alias("term"))
 
 
+def shorter_runs(windows: DataFrame, lo: int, hi: int) -> DataFrame:
+    """The first lo to hi characters of every window, as (n, term) in place of ``window``."""
+    size = F.explode(F.sequence(F.lit(lo), F.least(F.lit(hi), F.length("window")))).alias("n")
+    rest = [c for c in windows.columns if c != "window"]
+    return windows.filter(F.length("window") >= lo).select(*rest, "window", size).select(
+        *rest, "n", F.substring("window", F.lit(1), F.col("n")).alias("term")
+    )
+
+
 def char_ngrams(
     df: DataFrame, lo: int = 1, hi: int = 4, text: str = "message", id_col: str = "id"
 ) -> DataFrame:
     """(id, n, term) for every run of lo to hi characters of the lower-cased text,
-    white-space runs counting as one space."""
-    lowered = df.select(id_col, char_text(F.col(text)).alias("_text"))
-    runs = F.array(
-        *[
-            F.struct(F.lit(n).alias("n"), char_ngram_array(F.col("_text"), n).alias("terms"))
-            for n in range(lo, hi + 1)
-        ]
-    )
-    return lowered.select(id_col, F.inline(runs)).select(id_col, "n", F.explode("terms").alias("term"))
+    white-space runs counting as one space. One pattern pass: shorter runs are the heads
+    of the windows of hi characters."""
+    return shorter_runs(df.select(id_col, F.explode(char_windows(F.col(text), hi)).alias("window")), lo, hi)
+
+
+def char_ngram_counts(df: DataFrame, lo: int = 1, hi: int = 4, text: str = "message") -> DataFrame:
+    """(n, term, total): how often every run of ``char_ngrams`` occurs. Windows of hi characters are
+    counted first, and only the distinct ones are rolled up to shorter runs."""
+    windows = df.select(F.explode(char_windows(F.col(text), hi)).alias("window")).groupBy("window").agg(F.count("*").alias("times"))
+    return shorter_runs(windows, lo, hi).groupBy("n", "term").agg(F.sum("times").alias("total"))
 
 
 def remove_stop_words(

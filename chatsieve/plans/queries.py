@@ -287,7 +287,7 @@ def word_ngrams(spark, d):
 
 @query
 def char_ngrams(spark, d):
-    return token_ops.char_ngrams(tables.texts(spark, d), 1, 4).groupBy("n", "term").agg(F.count("*").alias("total"))
+    return token_ops.char_ngram_counts(tables.texts(spark, d), 1, 4)
 
 
 @query

@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -47,6 +48,8 @@ def test_tokens_and_ngrams(frame, texts):
     assert grams == sorted(
         (i, n, t[k : k + n]) for i, t in squeezed.items() for n in (1, 2, 3) for k in range(len(t) - n + 1)
     )
+    counted = {(r.n, r.term): r.total for r in tokens.char_ngram_counts(df.filter(F.col("id").isin(list(want))), 1, 3).collect()}
+    assert counted == dict(Counter((n, g) for _, n, g in grams))
 
 
 def test_stop_words(frame, monkeypatch):
