@@ -33,6 +33,20 @@ def binary_label(df: DataFrame, label: str = "label", out: str = "toxic") -> Dat
     return df.withColumn(out, F.col(label) != 0)
 
 
+def coarse_label(
+    df: DataFrame, mapping: Mapping[int, str] | DataFrame, label: str = "label", out: str = "coarse", rest: str = "other"
+) -> DataFrame:
+    """A coarser class by a mapping table (``label``, ``class``) or dict; labels that it does not
+    list are ``rest``, and a missing label has no class. A label set is small, so its
+    mapping is broadcast."""
+    if not isinstance(mapping, DataFrame):
+        mapping = df.sparkSession.createDataFrame(list(mapping.items()), "label int, class string")
+    listed = mapping.groupBy(F.col("label").alias("_label")).agg(F.min("class").alias("_class"))
+    joined = df.join(F.broadcast(listed), df[label] == F.col("_label"), "left")
+    coarse = F.when(F.col(label).isNotNull(), F.coalesce("_class", F.lit(rest)))
+    return joined.withColumn(out, coarse).drop("_label", "_class")
+
+
 def label_stats(df: DataFrame, label: str = "label") -> DataFrame:
     """Total, count and share of each label (also of unused ones), toxic and clean."""
     counts = df.agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatsieve.session import scratch_path
@@ -37,9 +37,19 @@ def discard(*tables: DataFrame) -> None:
     for table in tables:
         path = _written.pop(table, None)
         if path:
-            spark = table.sparkSession
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            files, at = _files(table.sparkSession, path)
+            files.delete(at, True)
+
+
+def _files(spark: SparkSession, path: str):
+    """(the file system of a path, the path in it)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    files, at = _files(spark, path)
+    return files.exists(at)
 
 
 def compact(key: Column) -> Column:

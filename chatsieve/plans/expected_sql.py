@@ -419,6 +419,17 @@ EXPECTED = {
     "stream_dedupe": "WITH n AS (SELECT count(*) AS n FROM documents) SELECT DISTINCT sha256(d.text) AS text_key"
     " FROM events e, n JOIN documents d ON d.doc_id = e.event_id % n.n",
 }
+EXPECTED["review_names_summary"] = EXPECTED["flag_summary"]
+EXPECTED["evaluate_rules_report"] = EXPECTED["classification_report"]
+EXPECTED["train_evaluate"] = (
+    f"WITH {MSGS}, {SPLIT}, t AS (SELECT count(*) AS n, count(*) FILTER (toxic) AS bad FROM split WHERE split = 'test')"
+    " SELECT unnest(['Clean', 'Profane', 'accuracy', 'macro avg', 'weighted avg']) AS class,"
+    " unnest([n - bad, bad, n, n, n]) AS support, true AS same FROM t"
+)
+EXPECTED["coarse_labels"] = (
+    f"WITH {MSGS} SELECT CASE label WHEN 0 THEN 'clean' WHEN 1 THEN 'insult' WHEN 3 THEN 'hate' WHEN 4 THEN 'hate'"
+    " ELSE 'profanity' END AS coarse, count(*) AS n, count(*) FILTER (toxic) AS toxic FROM msgs GROUP BY 1"
+)
 EXPECTED["stream_score"] = EXPECTED["score_naive_bayes"]
 EXPECTED["save_load_model"] = f"SELECT *, 0.2::DOUBLE AS frac, 42 AS seed FROM ({EXPECTED['score_naive_bayes']})"
 ODDS = (

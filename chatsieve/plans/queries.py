@@ -467,6 +467,41 @@ def review_names(spark, d):
     return found["review"].select("id", "author")
 
 
+@query
+def review_names_summary(spark, d):
+    """The names job: its totals."""
+    out = workflows.review_names(tables.names(spark, d), WORDS)["summary"]
+    return out.withColumn("flagged_pct", F.round("flagged_pct", 6)).withColumn("clean_pct", F.round("clean_pct", 6))
+
+
+@query
+def evaluate_rules_report(spark, d):
+    """The evaluation job: its report."""
+    return workflows.evaluate_rules(tables.messages(spark, d), WORDS)["report"]
+
+
+@query
+def train_evaluate(spark, d):
+    """Train with cross-validation, save, read again and judge on the stored split: the support of
+    each class there, and whether both reports agree."""
+    path = scratch_path(spark, "trained")
+    options = {"grid": (1.0, 100.0), "k": 3, "max_iter": 50}
+    trained = workflows.train_model(tables.messages(spark, d), path, **options)["report"]
+    judged = workflows.evaluate_model(tables.messages(spark, d), path)["report"]
+    measures = ["precision", "recall", "f1", "support"]
+    then = trained.select("class", F.struct(*measures).alias("then"))
+    now = judged.select("class", "support", F.struct(*measures).alias("now"))
+    return now.join(then, "class").select("class", "support", (F.col("now") == F.col("then")).alias("same"))
+
+
+@query
+def coarse_labels(spark, d):
+    """Six labels as four classes."""
+    mapping = {0: "clean", 1: "insult", 2: "profanity", 3: "hate", 4: "hate"}
+    coarse = evaluate.coarse_label(tables.messages(spark, d), mapping, rest="profanity")
+    return coarse.groupBy("coarse").agg(F.count("*").alias("n"), F.count_if("toxic").alias("toxic"))
+
+
 @query
 def evaluate_rules(spark, d):
     """The evaluation job: its samples of false positives and false negatives."""

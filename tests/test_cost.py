@@ -178,3 +178,47 @@ def test_texts_without_an_id_and_with_a_shared_one_are_sent_once_each(frame):
     assert sorted((r.message, r.copies) for r in misses) == [("a", 2), ("b", 1), ("c", 1), ("d", 2)]
     done = cost.annotate(df, lambda texts: ['{"classification": "clean"}'] * len(texts), cache_of(frame, {"k": True})).collect()
     assert len(done) == 7 and {r.status for r in done} == {"OK"}
+
+
+def test_annotation_goes_on_from_its_journal(spark, frame, tmp_path):
+    """The model breaks down in the third wave; a second run asks only for what is missing."""
+    log, journal, broken = str(tmp_path / "asked"), str(tmp_path / "journal"), tmp_path / "broken"
+    broken.write_text("yes")
+
+    def classify(texts):
+        with open(log, "a") as f:
+            f.write("".join(t + "\n" for t in texts))
+        if broken.exists() and len(open(log).read().split()) > 20:
+            raise RuntimeError("out of quota")
+        return ['{"classification": "clean"}'] * len(texts)
+
+    df = frame([(i, f"t{i}") for i in range(60)], "id int, message string")
+    options = {"size": 2, "parallel": 2, "calls_per_task": 2, "journal": journal}
+    with pytest.raises(Exception, match="out of quota"):
+        cost.annotate(df, classify, cache_of(frame, {"none": True}), **options)
+    kept = {r.text_key for r in spark.read.parquet(journal).collect()}
+    assert 0 < len(kept) < 60
+    broken.unlink()
+    open(log, "w").close()
+    done = cost.annotate(df, classify, cache_of(frame, {"none": True}), **options)
+    assert {r.status for r in done.collect()} == {"OK"} and done.count() == 60
+    again = open(log).read().split()
+    assert len(again) == len(set(again)) == 60 - len(kept)
+    cost.annotate(df, classify, cache_of(frame, {"none": True}), **options)
+    assert open(log).read().split() == again
+
+
+def test_calls_keep_to_the_rate(frame, tmp_path):
+    log = str(tmp_path / "times")
+
+    def classify(texts):
+        import time
+
+        with open(log, "a") as f:
+            f.write(f"{time.time()}\n")
+        return ['{"classification": "clean"}'] * len(texts)
+
+    df = frame([(i, f"t{i}") for i in range(8)], "id int, message string")
+    cost.annotate(df, classify, cache_of(frame, {"none": True}), size=2, parallel=1, per_minute=120)
+    times = sorted(map(float, open(log).read().split()))
+    assert len(times) == 4 and all(b - a > 0.45 for a, b in zip(times, times[1:]))

@@ -85,3 +85,11 @@ def test_annotation_report(frame):
     row = evaluate.annotation_report(frame(rows, "toxic boolean, status string, verdict boolean, latency_s double")).first()
     assert (row.answered, row.blocked, row.invalid, row.correct) == (2, 1, 1, 1)
     assert (row.latency_avg, row.latency_min, row.latency_max) == (0.6, 0.5, 0.7)
+
+
+def test_coarse_labels(frame):
+    df = frame([(1, 0), (2, 3), (3, 5), (4, None)], "id int, label int")
+    got = {r.id: r.coarse for r in evaluate.coarse_label(df, {0: "clean", 3: "hate"}).collect()}
+    assert got == {1: "clean", 2: "hate", 3: "other", 4: None}
+    table = frame([(3, "hate"), (3, "b"), (5, "x")], "label int, class string")
+    assert {r.id: r.coarse for r in evaluate.coarse_label(df, table, rest="-").collect()} == {1: "-", 2: "b", 3: "x", 4: None}
