@@ -12,7 +12,7 @@ from chatsieve.llm.chat import INSTRUCT
 from chatsieve.llm.decontaminate import MASKS, MIN_SCORE, MIN_SHARE
 from chatsieve.llm.licenses import KEYS, MIN_COVER, NOTICES, PHRASES
 from chatsieve.llm.minhash import SHINGLE, SIMILARITY
-from chatsieve.llm.scoring import PAIR_SHARE, WEIGHT, WORD_SHARE
+from chatsieve.llm.scoring import WEIGHT
 from chatsieve.llm.substrings import WINDOW
 
 SPACED = r"list_filter(string_split_regex(coalesce({0}, ''), '[\x09-\x0D\x20]+'), lambda x: x <> '')"
@@ -135,7 +135,7 @@ WITH d AS (
     doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS wanted FROM documents),
 t AS (SELECT doc_id, wanted, generate_subscripts(w, 1) AS i, unnest(w) AS w FROM d),
 n AS (SELECT count(*) AS nb, count(*) FILTER (wanted) AS nt FROM t),
-v AS (SELECT w, count(*) AS b, count(*) FILTER (wanted) AS t FROM t GROUP BY w HAVING count(*) >= {WORD_SHARE} * (SELECT nb FROM n)),
+v AS (SELECT w, count(*) AS b, count(*) FILTER (wanted) AS t FROM t GROUP BY w),
 u AS (
   SELECT w, b, t FROM v
   UNION ALL SELECT NULL, nb - coalesce((SELECT sum(b) FROM v), 0), nt - coalesce((SELECT sum(t) FROM v), 0) FROM n),
@@ -145,8 +145,7 @@ chance AS (
 k AS (SELECT doc_id, wanted, i, v.w FROM t LEFT JOIN v USING (w)),
 q AS (SELECT *, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS h FROM k),
 pair AS (
-  SELECT h, w, count(*) AS b, count(*) FILTER (wanted) AS t FROM q WHERE i > 1
-  GROUP BY h, w HAVING count(*) >= {PAIR_SHARE} * (SELECT nb FROM n)),
+  SELECT h, w, count(*) AS b, count(*) FILTER (wanted) AS t FROM q WHERE i > 1 GROUP BY h, w),
 loss AS (
   SELECT doc_id,
     CASE WHEN i = 1 THEN -ln(c.pt) WHEN pair.b IS NULL THEN -ln({1 - WEIGHT} * c.pt)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatsieve.llm import (
-    alignment, chat, decontaminate, fingerprint, histogram_packing, infill, language, licenses, minhash, packing, scoring,
+    alignment, chat, corpus_scoring, decontaminate, fingerprint, histogram_packing, infill, language, licenses, minhash, packing,
     substrings, urls,
 )
 from chatsieve.llm.tables import settled
@@ -88,7 +88,7 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     wanted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    scored = scoring.score_documents(docs, scoring.fit_matched_models(docs, wanted))
+    scored = corpus_scoring.score_corpus(docs, wanted)
     return scored.select("doc_id", "n_tokens", *[F.round(c, 4).alias(c) for c in ("target_loss", "background_loss", "score")])
 
 

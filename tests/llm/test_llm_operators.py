@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chatsieve.llm import chat, decontaminate, fingerprint, language, licenses, minhash, packing, scoring, substrings, urls
+from chatsieve.llm import chat, corpus_scoring, decontaminate, fingerprint, language, licenses, minhash, packing, scoring, substrings, urls
 from chatsieve.llm.queries import tokenizer_files
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, class_id long, words string, seed long"
@@ -297,10 +297,19 @@ def test_scoring_prefers_what_is_like_the_target(spark, docs, empty):
     assert got[200].n_tokens == 0 and got[201].score is None
     none = scoring.fit_matched_models(empty, table.select("doc_id"))
     assert scoring.score_documents(table, none).count() == 202 and scoring.score_documents(empty, none).count() == 0
-
-
-@pytest.mark.parametrize("shares", [(scoring.WORD_SHARE, scoring.PAIR_SHARE), (0.01, 0.002), (2, 2)])
-def test_scoring_counts_every_word_and_pair(frame, shares):
+    alone = {r.doc_id: r for r in corpus_scoring.score_corpus(table, table.select("doc_id").limit(0)).collect()}
+    assert len(alone) == 202 and alone[200].n_tokens == 0 and alone[201].score is None
+    assert corpus_scoring.score_corpus(empty, table.select("doc_id")).count() == 0
+    nulls = spark.createDataFrame([(None, "a b a"), (None, "a b a"), (3, "x " * 50_000)], "doc_id long, text string")
+    assert sorted(r.n_tokens for r in corpus_scoring.score_corpus(nulls, nulls.select("doc_id")).collect()) == [3, 3, 50_000]
+
+
+@pytest.mark.parametrize("shares, sample, bucket", [((scoring.WORD_SHARE, scoring.PAIR_SHARE), 1, 10**6), ((0.01, 0.002), 2, 100), ((2, 2), 16, 50), ((0.004, 2), 16, 30)])
+def test_scoring_counts_every_word_and_pair(frame, monkeypatch, shares, sample, bucket):
+    monkeypatch.setattr(corpus_scoring, "SAMPLE", sample)
+    monkeypatch.setattr(corpus_scoring, "FLUSH", 700)
+    if sample == 2:
+        monkeypatch.setattr(corpus_scoring, "BROADCAST_IDS", 3)
     rng = random.Random(8)
     texts = {i: prose(rng, rng.randrange(1, 60), 300) for i in range(80)} | {80: "Once TWICE once twice", 81: "", 82: "one"}
     rows = [(i, t) for i, t in texts.items()] + [(80, texts[80])]
@@ -332,7 +341,9 @@ def test_scoring_counts_every_word_and_pair(frame, shares):
         return mean
 
     target, background = losses(set(wanted)), losses(set(texts))
-    for r in got:
+    whole = corpus_scoring.score_corpus(docs, frame([(i,) for i in wanted], "doc_id long"), *shares, bucket=bucket).collect()
+    assert sorted(r.doc_id for r in whole) == sorted([*texts, 80])
+    for r in got + whole:
         text = (texts | other)[r.doc_id]
         assert r.n_tokens == len(text.split())
         if r.n_tokens:
