@@ -25,13 +25,15 @@ def intervals(changes: DataFrame) -> DataFrame:
     """(list, verdict, domain, since, until) from (list, verdict, domain, at, active): an entry
     holds from an addition to its next change; ``until`` is NULL where none follows. A
     repeated addition prolongs, a removal of what is not there does nothing. Of changes at
-    one time the removal wins. Changes without list, domain or time count for nothing."""
+    one time the removal wins. Changes without list, domain or time count for nothing.
+    Domains are compared in lower case and without a dot at the end."""
     known = changes.where("list IS NOT NULL AND domain IS NOT NULL AND at IS NOT NULL")
+    known = known.withColumn("domain", F.lower(F.regexp_replace("domain", r"\.$", "")))
     known = known.groupBy("list", "domain", "at").agg(
         F.min(F.coalesce("active", F.lit(False))).alias("active"), F.max("verdict").alias("verdict")
     )
     steps = known.selectExpr(
-        "list", "verdict", "lower(domain) AS domain", "at AS since", "active",
+        "list", "verdict", "domain", "at AS since", "active",
         "lead(at) OVER (PARTITION BY list, domain ORDER BY at) AS until",
     )
     return steps.where("active").drop("active")
@@ -44,7 +46,9 @@ def judge(captures: DataFrame, changes: DataFrame, broadcast_intervals: int = BR
     The longest active domain decides (``matched``); where an allowing and a blocking entry
     are equally long, allowing wins; ``verdict`` is "none" without an active entry.
     ``lists`` names all lists with one, sorted. A capture without a host or a fetch time
-    meets no entry. Repeated rows give a row each.
+    meets no entry; a dot at the end of a host does not matter. Repeated rows give a row
+    each, an empty table none; without changes every verdict is "none". Other columns, also
+    of the names used here, are not looked at.
 
     Captures are first reduced to their distinct (host, fetch time), which are judged once
     and joined back; a host with a third of all captures is so judged once a day. Intervals
@@ -59,7 +63,9 @@ def judge(captures: DataFrame, changes: DataFrame, broadcast_intervals: int = BR
     above = F.transform(
         F.sequence(F.lit(0), F.size(labels) - 1), lambda k: F.array_join(F.slice(labels, k + 1, F.size(labels)), ".")
     )
-    steps = asked.select("host", "fetched_at", F.explode_outer(F.array_distinct(above)).alias("domain"))
+    # A dot at the end of a host leaves an empty label, which is no domain of a list.
+    bare = F.transform(above, lambda d: F.regexp_replace(d, r"\.$", ""))
+    steps = asked.select("host", "fetched_at", F.explode_outer(F.array_distinct(bare)).alias("domain"))
     listed = settled(intervals(changes), "intervals")
     if listed.count() <= broadcast_intervals:
         listed = F.broadcast(listed)

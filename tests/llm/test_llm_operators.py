@@ -92,6 +92,36 @@ def test_chain_of_copies_is_one_class(spark):
     assert got.select("class_id").distinct().count() == 1
 
 
+def classes_of_all_pairs(texts):
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    pairs = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                pairs += 1
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return [root(i) for i in range(len(texts))], pairs
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_few_links_in_a_family_of_edited_copies_are_all_found(spark, seed):
+    """Most pairs are alike below the threshold, so that most centres find nothing."""
+    rng = random.Random(seed)
+    text = prose(rng, 1000, 20_000)
+    texts = [edited(rng, text, rng.choice([0.011, 0.013, 0.016, 0.02])) for _ in range(61)]
+    want, pairs = classes_of_all_pairs(texts)
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [r.class_id for r in got.orderBy("doc_id").collect()] == want and 0 < pairs < 900
+
+
 @pytest.mark.parametrize("limit", [2000, 2])
 def test_substrings_by_brute_force(docs, texts, empty, limit):
     got = {r.doc_id: r for r in substrings.dedup_substrings(docs, shard_fragments=limit).collect()}
@@ -237,6 +267,9 @@ def test_urls(frame):
     ]
     assert sorted(map(str, urls.judge(pages, changes, broadcast_intervals=0).collect())) == sorted(map(str, got))
     assert urls.judge(pages.limit(0), changes).count() == 0
+    spelled = frame([("ads", "block", "Bad.org", 10, True), ("ads", "block", "bad.org.", 20, False)], "list string, verdict string, domain string, at long, active boolean")
+    dotted = frame([(1, "http://x.BAD.org./p", 15, "n"), (2, "http://bad.org", 30, "n")], "page_id long, url string, fetched_at long, domain string")
+    assert sorted((r.page_id, r.verdict) for r in urls.judge(dotted, spelled).collect()) == [(1, "block"), (2, "none")]
     assert urls.judge(pages, changes.limit(0)).where("verdict = 'none'").count() == len(rows)
 
 
