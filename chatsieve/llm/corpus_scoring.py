@@ -28,7 +28,7 @@ from chatsieve.llm.tables import settled
 #: One document in so many is looked at to guess which pairs are frequent; a pair is taken for
 #: frequent from this share of their pairs on, and 3 times. A wrong guess costs time only.
 SAMPLE, PAIR_SHARE = 16, 1e-6
-BUCKET, FLUSH, ROWS = 1_500_000, 2_000_000, 1 << 17
+BUCKET, FLUSH, ROWS, CHUNK = 750_000, 750_000, 1 << 16, 1 << 20
 #: Ids of wanted documents that are broadcast (16 bytes each); more are joined once.
 BROADCAST_IDS = 2_000_000
 RARE_WORD, BOTH_FREQUENT, RARE_HEAD, RARE_TAIL, BOTH_RARE = range(5)
@@ -48,7 +48,7 @@ def _summed(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
 def _sample_batches(batches: Iterator[pa.RecordBatch]):
     """Pairs with their words and number, combined per chunk."""
     for batch in batches:
-        for _, words, counts in _tokens(batch.column("text")):
+        for _, words, counts in _tokens(batch.column("text"), CHUNK):
             pairs, inner = _pairs_of(words, counts)
             at = np.flatnonzero(inner)
             grams, index, n = np.unique(pairs, return_index=True, return_counts=True)
@@ -62,7 +62,7 @@ def _frequency_batches(batches: Iterator[pa.RecordBatch], sent):
     listed = sent.value
     for batch in batches:
         wanted = batch.column("wanted").to_numpy(zero_copy_only=False)
-        for first, words, counts in _tokens(batch.column("text")):
+        for first, words, counts in _tokens(batch.column("text"), CHUNK):
             target = np.repeat(wanted[first : first + len(counts)], counts).astype(float)
             pairs, inner = _pairs_of(words, counts)
             at = np.minimum(np.searchsorted(listed, pairs), max(len(listed) - 1, 0))
@@ -124,7 +124,7 @@ def _held_batches(batches: Iterator[pa.RecordBatch], sent):
     unseen, backoff = np.log(known.totals), -np.log(1 - known.weight)
     for batch in batches:
         sums, sizes = [np.zeros((0, 2))], [np.zeros(0, np.int64)]
-        for _, words, counts in _tokens(batch.column("text")):
+        for _, words, counts in _tokens(batch.column("text"), CHUNK):
             loss = unseen - np.log1p(known.words.look(words)[0])
             pairs, inner = _pairs_of(words, counts)
             loss[inner] += backoff + known.pairs.look(pairs)[0]
@@ -193,7 +193,7 @@ def _entry_batches(batches: Iterator[pa.RecordBatch], sent, buckets: int):
     parts, keys, wanted, held, rows = [], [], [], 0, 0
     for batch in batches:
         all_keys, all_wanted = batch.column("key").to_numpy(), batch.column("wanted").to_numpy(zero_copy_only=False)
-        for first, words, counts in _tokens(batch.column("text")):
+        for first, words, counts in _tokens(batch.column("text"), CHUNK):
             for kind, u, v, row in _entries(words, counts, known):
                 same = mix(mix(u) + mix(v + np.uint64(kind)) * np.uint64(3) + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 _, at, n = np.unique(same, return_index=True, return_counts=True)

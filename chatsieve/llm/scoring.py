@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatsieve.llm.hashing import mix, text_chunks, word_hashes, words_of
+from chatsieve.llm.hashing import CHUNK_BYTES, mix, text_chunks, word_hashes, words_of
 from chatsieve.llm.tables import settled
 
 #: Shares of all tokens from which the term of a word or a pair is broadcast.
@@ -34,9 +34,9 @@ _LOWER[65:91] += 32
 SIDES = ("target", "background")
 
 
-def _tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _tokens(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, word hashes, words per row) of the texts with A-Z in lower case."""
-    for first, data, offsets in text_chunks(column):
+    for first, data, offsets in text_chunks(column, limit):
         data = _LOWER[data]
         starts, ends, counts = words_of(data, offsets)
         yield first, word_hashes(data, starts, ends), counts
