@@ -63,13 +63,13 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch], window: int, anchor: int)
             )
             part = batch.slice(start, n)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("digest"), lists], ["doc_id", "digest", "anchors"]
+                [part.column("doc_id"), part.column("text_key"), part.column("digest"), lists], ["doc_id", "text_key", "digest", "anchors"]
             )
 
 
 def _fragment_batches(batches: Iterator[pa.RecordBatch], window: int, anchor: int):
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy()
+        ids, keys = batch.column("doc_id").to_numpy(), batch.column("text_key").to_numpy()
         wanted = batch.column("anchors")
         for first, data, offsets in text_chunks(batch.column("text")):
             starts, ends, counts, names, windows = _window_anchors(data, offsets, window, anchor)
@@ -85,16 +85,16 @@ def _fragment_batches(batches: Iterator[pa.RecordBatch], window: int, anchor: in
                     if shared[a]:
                         lo, hi = word_at[row] + a, word_at[row] + b - 1 + window - 1
                         words = b" ".join(raw[starts[lo] : ends[hi]].split())
-                        out.append((int(mine[a]), int(ids[first + row]), int(a), int(b - a), hashlib.md5(words).hexdigest(), words.decode()))
+                        out.append((int(mine[a]), int(ids[first + row]), int(keys[first + row]), int(a), int(b - a), hashlib.md5(words).hexdigest(), words.decode()))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*out, strict=True), _FRAGMENT_TYPES, strict=True)], _FRAGMENT_NAMES
                 )
 
 
-_FRAGMENT = "anchor long, doc_id long, start long, windows long, digest string, words string"
-_FRAGMENT_NAMES = ["anchor", "doc_id", "start", "windows", "digest", "words"]
-_FRAGMENT_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+_FRAGMENT = "anchor long, doc_id long, text_key long, start long, windows long, digest string, words string"
+_FRAGMENT_NAMES = ["anchor", "doc_id", "text_key", "start", "windows", "digest", "words"]
+_FRAGMENT_TYPES = [*[pa.int64()] * 5, pa.string(), pa.string()]
 
 
 class SuffixAutomaton:
@@ -158,9 +158,9 @@ def _span_batches(batches: Iterator[pa.RecordBatch], window: int):
     """Rows come sorted by anchor and id; one anchor's automaton is held at a time."""
     anchor, doc, automaton, waiting = None, None, None, []
     for batch in batches:
-        out: list[tuple[int, int, int]] = []
-        columns = [batch.column(c).to_pylist() for c in ("anchor", "doc_id", "start", "words")]
-        for name, doc_id, start, text in zip(*columns, strict=True):
+        out: list[tuple[int, int, int, int]] = []
+        columns = [batch.column(c).to_pylist() for c in ("anchor", "doc_id", "text_key", "start", "words")]
+        for name, doc_id, key, start, text in zip(*columns, strict=True):
             words = text.split(" ")
             if name != anchor:
                 anchor, doc, automaton, waiting = name, doc_id, None, []
@@ -175,62 +175,65 @@ def _span_batches(batches: Iterator[pa.RecordBatch], window: int):
                     if matched >= window and open_at is None:
                         open_at = k - window + 1
                     elif matched < window and open_at is not None:
-                        out.append((doc_id, start + open_at, start + k))
+                        out.append((doc_id, key, start + open_at, start + k))
                         open_at = None
             waiting.append(words)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["doc_id", "lo", "hi"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["doc_id", "text_key", "lo", "hi"])
 
 
 def _window_batches(batches: Iterator[pa.RecordBatch], window: int):
     for batch in batches:
         out = []
-        for doc_id, start, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "words")), strict=True):
+        for doc_id, text_key, start, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "start", "words")), strict=True):
             words = text.split(" ")
             for k in range(len(words) - window + 1):
                 key = hashlib.md5(" ".join(words[k : k + window]).encode()).digest()
-                out.append((int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True), doc_id, start + k))
+                out.append((int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True), doc_id, text_key, start + k))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["h1", "h2", "doc_id", "lo"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["h1", "h2", "doc_id", "text_key", "lo"])
 
 
 def repeated_spans(
     docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_fragments: int = SHARD_FRAGMENTS
 ) -> DataFrame:
-    """(doc_id, lo, hi, copy): word spans [lo, hi) to remove. ``copy`` marks a document whose
-    whole text an earlier one has (no span is listed for it)."""
-    given = texts_of(docs).where("doc_id IS NOT NULL")
-    named = given.select("doc_id", "text", F.md5("text").alias("digest")).mapInArrow(
-        lambda it: _anchor_batches(it, window, anchor), "doc_id long, digest string, anchors array<long>"
+    """(doc_id, text_key, lo, hi, copy): word spans [lo, hi) to remove; text_key is the xxhash64 of the
+    text, which tells apart rows that repeat an id. ``copy`` marks a row whose whole text an
+    earlier document has (no span is listed for it)."""
+    given = texts_of(docs).where("doc_id IS NOT NULL").withColumn("text_key", F.xxhash64("text"))
+    named = given.select("doc_id", "text", "text_key", F.md5("text").alias("digest")).mapInArrow(
+        lambda it: _anchor_batches(it, window, anchor), "doc_id long, text_key long, digest string, anchors array<long>"
     )
     named = settled(named.where(F.size("anchors") > 0), "anchors")
-    first = named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    copies = named.select("doc_id").join(first, "doc_id", "left_anti").distinct()
-    each = named.join(first.select("doc_id"), "doc_id", "left_semi").select("doc_id", F.explode("anchors").alias("anchor"))
+    first = named.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    leads = named.join(first, "digest")
+    copies = leads.where("doc_id > first_id").select("doc_id", "text_key").distinct()
+    each = leads.where("doc_id = first_id").select("doc_id", "text_key", F.explode("anchors").alias("anchor"))
     shared = each.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    lists = each.join(shared.select("anchor"), "anchor", "left_semi").groupBy("doc_id")
+    lists = each.join(shared.select("anchor"), "anchor", "left_semi").groupBy("doc_id", "text_key")
     lists = lists.agg(F.collect_set("anchor").alias("anchors"))
-    fragments = given.join(lists, "doc_id").mapInArrow(
+    fragments = given.join(lists, ["doc_id", "text_key"]).mapInArrow(
         lambda it: _fragment_batches(it, window, anchor), _FRAGMENT
     )
     fragments = settled(fragments, "fragments")
     lead = fragments.groupBy("anchor", "digest").agg(F.min("doc_id").alias("lead"))
     led = fragments.join(lead, ["anchor", "digest"])
-    spans = led.where("doc_id > lead").select("doc_id", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + window - 1).alias("hi"))
+    end = F.col("start") + F.col("windows") + window - 1
+    spans = led.where("doc_id > lead").select("doc_id", "text_key", F.col("start").alias("lo"), end.alias("hi"))
     crowd = lead.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    led = led.where("doc_id = lead").select("anchor", "doc_id", "start", "words")
+    led = led.where("doc_id = lead").select("anchor", "doc_id", "text_key", "start", "words")
     usual = led.join(crowd.where(F.col("n") <= shard_fragments), "anchor", "left_semi")
     usual = usual.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start")
-    spans = spans.union(usual.mapInArrow(lambda it: _span_batches(it, window), "doc_id long, lo long, hi long"))
+    spans = spans.union(usual.mapInArrow(lambda it: _span_batches(it, window), "doc_id long, text_key long, lo long, hi long"))
     crowded = led.join(crowd.where(F.col("n") > shard_fragments), "anchor", "left_semi").mapInArrow(
-        lambda it: _window_batches(it, window), "h1 long, h2 long, doc_id long, lo long"
+        lambda it: _window_batches(it, window), "h1 long, h2 long, doc_id long, text_key long, lo long"
     )
     crowded = settled(crowded, "windows")
     lead = crowded.groupBy("h1", "h2").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead < last")
     again = crowded.join(lead, ["h1", "h2"]).where("doc_id > lead")
-    spans = spans.union(again.select("doc_id", "lo", F.col("lo") + window))
-    return spans.select("doc_id", "lo", "hi", F.lit(False).alias("copy")).union(
-        copies.select("doc_id", F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(True))
+    spans = spans.union(again.select("doc_id", "text_key", "lo", F.col("lo") + window))
+    return spans.select("doc_id", "text_key", "lo", "hi", F.lit(False).alias("copy")).union(
+        copies.select("doc_id", "text_key", F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(True))
     )
 
 
@@ -269,14 +272,15 @@ def dedup_substrings(
 
     ``kept`` is the text as it was where nothing went, else the kept words joined by one
     space (NULL without ``with_text``). NULL and empty texts have no words. Rows that
-    repeat an id are taken for one document; a row with a NULL id keeps all its words and
-    takes none from others. Other columns are not looked at; an empty table gives no rows.
+    repeat an id take nothing from each other and lose each its own words; a row with a
+    NULL id keeps all its words and takes none from others. Other columns are not looked
+    at; an empty table gives no rows. A long text is taken whole, in one piece.
     """
     spans = repeated_spans(docs, window, anchor, shard_fragments)
-    per_doc = spans.groupBy("doc_id").agg(
+    per_doc = spans.groupBy("doc_id", "text_key").agg(
         F.collect_set(F.when(~F.col("copy"), F.struct("lo", "hi"))).alias("spans"), F.max("copy").alias("copy")
     )
     rows, schema = texts_of(docs), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
     if with_key:
-        rows, schema = rows.withColumn("text_key", F.xxhash64("text")), schema + ", text_key long"
-    return rows.join(per_doc, "doc_id", "left").mapInArrow(lambda it: _kept_batches(it, with_text, with_key), schema)
+        schema += ", text_key long"
+    return rows.withColumn("text_key", F.xxhash64("text")).join(per_doc, ["doc_id", "text_key"], "left").mapInArrow(lambda it: _kept_batches(it, with_text, with_key), schema)

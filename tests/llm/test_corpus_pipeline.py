@@ -62,3 +62,40 @@ def test_repeated_rows_that_lose_a_passage_stay_a_row_each(spark, tables):
     docs = spark.createDataFrame([(i, t, "aa", "s", len(t), "k", 1, 2) for i, t in texts], SCHEMA).coalesce(1)
     got = sorted((r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.substring_stage(spark, docs, "").collect())
     assert got == [(1, f"first {passage}", len(passage) + 6), (2, "some more", 9), (2, "some more", 9), (3, "short", 5), (3, "short", 5)]
+
+
+def rows_of(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame([(i, t, "aa", "s", len(t or ""), "k", 1, 2) for i, t in rows], schema).coalesce(2)
+
+
+def left(out):
+    return sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+
+
+def test_rows_are_judged_by_their_own_text(spark, tables):
+    """An id that repeats or is missing takes no other row with it."""
+    folder, texts, passage = tables
+    rng = random.Random(2)
+    item = next(iter(spark.read.parquet(f"{folder}/benchmark.parquet").collect())).text
+    same, lone = prose(rng, 60), prose(rng, 60)
+    near = rows_of(spark, [(1, same), (2, same), (2, lone), (None, same), (None, prose(rng, 50))])
+    assert [i for i, _ in left(corpus_pipeline.near_dedup_stage(spark, near, folder))] == [1, 2, None]
+    assert (2, lone) in left(corpus_pipeline.near_dedup_stage(spark, near, folder))
+    leaks = rows_of(spark, [(1, f"a {item} b"), (1, lone), (None, f"c {item}"), (None, same)])
+    assert left(corpus_pipeline.decontamination_stage(spark, leaks, folder)) == [(1, lone), (None, same)]
+    cut = rows_of(spark, [(1, passage), (2, f"{passage} tail"), (2, lone), (None, passage)])
+    assert left(corpus_pipeline.substring_stage(spark, cut, folder)) == sorted([(1, passage), (2, "tail"), (2, lone), (None, passage)], key=repr)
+    plain = [(i, texts[i]) for i in range(40)]
+    langs = rows_of(spark, plain + [(5, "12 34"), (None, "56 78"), (None, lone), (7, None)])
+    assert left(corpus_pipeline.language_stage(spark, langs, folder)) == sorted(plain + [(None, lone)], key=repr)
+
+
+def test_columns_with_the_names_used_inside(spark, tables):
+    folder, texts, passage = tables
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row_key string, member long, class_id long"
+    rows = [(1, f"{passage} x"), (2, f"y {passage}"), (3, texts[0]), (4, texts[0])]
+    for names in (schema, schema.replace("member", "cut_id").replace("class_id", "Row_Key_"), schema.replace("member", "_doc_id").replace("class_id", "_kept")):
+        docs = rows_of(spark, rows, names)
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, folder)
+            assert out.columns == docs.columns and out.count() >= 2

@@ -143,6 +143,14 @@ def test_substrings_by_brute_force(docs, texts, empty, limit):
     assert substrings.dedup_substrings(empty).count() == 0
 
 
+def test_rows_that_repeat_an_id_lose_their_own_words(spark):
+    rng = random.Random(9)
+    passage, more, other = prose(rng, 80, 9000), prose(rng, 20, 9000), prose(rng, 80, 9000)
+    rows = [(1, passage), (2, f"{passage} {more}"), (2, other), (2, f"x {other}"), (3, f"{other} y"), (None, passage), (2, other)]
+    got = substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.n_words, r.n_removed) for r in got.collect()) == sorted([(80, 0), (100, 80), (80, 0), (81, 0), (81, 80), (80, 0), (80, 0)])
+
+
 def test_suffix_automaton_statistics():
     rng = random.Random(5)
     automaton, held = substrings.SuffixAutomaton(), []
