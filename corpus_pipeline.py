@@ -14,39 +14,68 @@ from chatsieve.llm.queries import table, tokenizer_files
 from chatsieve.session import scratch_path
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row's id and text, under a name that no column has. Rows of one
+    id with different texts are told apart, also where the id is missing; rows equal in
+    both go or stay together."""
+    name = "row_key"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    missing = F.concat(F.col("doc_id").isNull().cast("string"), F.col("text").isNull().cast("string"))
+    return docs.withColumn(name, F.xxhash64("doc_id", "text", missing)), name
+
+
+def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows whose key is not in the first column of ``gone``."""
+    return docs.join(gone.toDF(key).distinct(), key, "left_anti").drop(key)
+
+
+def by_key(docs: DataFrame, key: str) -> DataFrame:
+    return docs.select(F.col(key).alias("doc_id"), "text")
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that language ID rejects: no letter, or text that is like none
     of the languages learnt from the labelled documents of this stage."""
     model = language.fit_language_model(docs.where(~language.held_out("doc_id")))
-    rejected = language.identify(docs, model).where("rejected").select(F.col("doc_id").alias("_gone"))
-    return docs.join(rejected, docs["doc_id"] == rejected["_gone"], "left_anti")
+    rows, key = keyed(docs)
+    return without(rows, key, language.identify(by_key(rows, key), model).where("rejected").select("doc_id"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of the smallest id."""
-    copies = minhash.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(copies, docs["doc_id"] == copies["_gone"], "left_anti")
+    rows, key = keyed(docs)
+    classes = minhash.near_duplicates(by_key(rows, key)).select(F.col("doc_id").alias("member"), "class_id")
+    several = classes.groupBy("class_id").agg(F.count("*").alias("n")).where("n > 1").select("class_id")
+    members = classes.join(several, "class_id").join(rows.select(F.col(key).alias("member"), "doc_id"), "member")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "member"))
+    stays = members.groupBy("class_id").agg(first.alias("first")).select("class_id", F.col("first.member").alias("stays"))
+    return without(rows, key, members.join(stays, "class_id").where("member != stays").select("member"))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 50 words that an earlier document has. Rows that
     repeat an id stay a row each, cut by their own text."""
+    rows, key = keyed(docs)
     cut = substrings.dedup_substrings(docs, with_key=True).where("n_removed > 0")
-    cut = cut.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), F.col("kept").alias("_kept"))
-    cut = cut.dropDuplicates(["_doc_id", "_text_key"])
-    changed = F.col("_doc_id").isNotNull()
-    same = F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == cut["_text_key"]
-    joined = docs.join(cut, (docs["doc_id"] == cut["_doc_id"]) & same, "left")
-    text = F.when(changed, F.col("_kept")).otherwise(docs["text"])
-    size = F.when(changed, F.char_length("_kept")).otherwise(docs["n_chars"])
+    cut = cut.select(F.col("doc_id").alias("cut_id"), F.col("text_key").alias("cut_key"), "kept").dropDuplicates(["cut_id", "cut_key"])
+    # Only the two columns that decide are joined, so that no other column can clash.
+    known = rows.select(F.col(key).alias("member"), F.col("doc_id").alias("cut_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("cut_key"))
+    found = known.join(cut, ["cut_id", "cut_key"]).select("member", "kept").dropDuplicates(["member"])
+    found = found.select(F.col("member").alias(key), F.struct("kept").alias(f"{key}_new"))
+    joined = rows.join(found, key, "left")
+    kept = F.col(f"{key}_new.kept")
+    text = F.when(F.col(f"{key}_new").isNotNull(), kept).otherwise(F.col("text"))
+    size = F.when(F.col(f"{key}_new").isNotNull(), F.char_length(kept)).otherwise(F.col("n_chars"))
     new = {"text": text, "n_chars": size.cast(docs.schema["n_chars"].dataType)}
-    return joined.select(*[new.get(c, docs[c]).alias(c) for c in docs.columns])
+    return joined.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a passage of the benchmark."""
-    hits = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(hits, docs["doc_id"] == hits["_gone"], "left_anti")
+    rows, key = keyed(docs)
+    hits = decontaminate.contaminated(by_key(rows, key), table(spark, sf_dir, "benchmark"))
+    return without(rows, key, hits.select("doc_id"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
