@@ -7,8 +7,8 @@ pair goes to the bucket of its rare word, whose count is known there too; freque
 pairs are broadcast. Pairs of two rare words leave their first bucket with all but the
 count of the second word, which an equi join adds.
 
-Entries travel in columns: per bucket and flush one row of packed arrays. A bucket holds about
-``BUCKET`` entries whatever the size of the corpus.
+Entries travel in columns: per bucket and flush one row of packed arrays. A bucket holds those
+of about ``BUCKET`` tokens whatever the size of the corpus.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,21 +29,26 @@ from chatsieve.llm.tables import settled
 #: One document in so many is looked at to guess which pairs are frequent; a pair is taken for
 #: frequent from this share of their pairs on, and 3 times. A wrong guess costs time only.
 SAMPLE, PAIR_SHARE = 16, 1e-6
-BUCKET, FLUSH, ROWS, CHUNK = 750_000, 750_000, 1 << 16, 1 << 20
+BUCKET, FLUSH, ROWS, CHUNK = 3_000_000, 750_000, 1 << 16, 1 << 20
 #: Ids of wanted documents that are broadcast (16 bytes each); more are joined once.
 BROADCAST_IDS = 2_000_000
 RARE_WORD, BOTH_FREQUENT, RARE_HEAD, RARE_TAIL, BOTH_RARE = range(5)
-_U32 = np.dtype("<u4")
-_ENTRY = "bucket int, kind int, u binary, v binary, slot binary, n binary, keys binary, wanted binary"
+_ENTRY = "bucket int, packed binary"
+_FIELDS = ((np.uint8, "kind"), (np.uint64, "u"), (np.uint64, "v"), (np.uint32, "slot"), (np.uint32, "n"), (np.int64, "keys"), (np.uint8, "wanted"))
 
 
-def _summed(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+def _summed(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """(kind, gram, sums) with equal ones added up."""
     kind, gram, *sums = (np.concatenate(c) for c in zip(*parts, strict=True))
     order = np.lexsort((gram, kind))
     kind, gram = kind[order], gram[order]
     new = np.flatnonzero(np.append(True, (kind[1:] != kind[:-1]) | (gram[1:] != gram[:-1])))
-    sums = [np.add.reduceat(s[order], new).astype(np.int64) for s in sums]
-    return pa.RecordBatch.from_arrays([pa.array(kind[new]), pa.array(gram[new].view(np.int64)), *map(pa.array, sums)], ["kind", "gram", *SIDES])
+    return [kind[new], gram[new], *[np.add.reduceat(s[order], new) for s in sums]]
+
+
+def _count_rows(columns: list[np.ndarray]) -> pa.RecordBatch:
+    kind, gram, *sums = columns
+    return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(gram.view(np.int64)), *[pa.array(s.astype(np.int64)) for s in sums]], ["kind", "gram", *SIDES])
 
 
 def _sample_batches(batches: Iterator[pa.RecordBatch]):
@@ -73,10 +79,13 @@ def _frequency_batches(batches: Iterator[pa.RecordBatch], sent):
                 parts.append([np.full(len(grams), kind, np.int32), grams, *sums])
                 held += len(grams)
             if held > FLUSH:
-                yield from _sliced(_summed(parts))
-                parts, held = [], 0
+                parts = [_summed(parts)]
+                held = len(parts[0][0])
+                if held > FLUSH // 2:
+                    yield from _sliced(_count_rows(parts[0]))
+                    parts, held = [], 0
     if held:
-        yield from _sliced(_summed(parts))
+        yield from _sliced(_count_rows(_summed(parts)))
 
 
 def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -160,32 +169,51 @@ def _entries(words: np.ndarray, counts: np.ndarray, known: Frequent) -> Iterator
         yield kind, u[some].astype(np.uint64), other, row[tail[some]]
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of an array by their weight, so that those of small numbers are alike."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _from_planes(data: memoryview, kind: type, n: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8, n * width).reshape(width, n).T.copy().view(kind).ravel()
+
+
+def _pack(columns: list[np.ndarray]) -> bytes:
+    """Arrays of the ``_FIELDS`` as one compressed string; u is sorted and goes as differences."""
+    columns[1] = np.diff(columns[1], prepend=np.uint64(0))
+    data = [np.array([len(columns[0]), len(columns[-1])], np.int64).tobytes()]
+    return zstandard.compress(b"".join(data + [_planes(c.astype(t)) for c, (t, _) in zip(columns, _FIELDS, strict=True)]), 1)
+
+
+def _unpack(packed: bytes) -> list[np.ndarray]:
+    data = memoryview(zstandard.decompress(packed))
+    n, docs = np.frombuffer(data, np.int64, 2)
+    out, at = [], 16
+    for kind, name in _FIELDS:
+        size = docs if name in ("keys", "wanted") else n
+        out.append(_from_planes(data[at:], kind, size))
+        at += size * np.dtype(kind).itemsize
+    out[1] = np.cumsum(out[1], dtype=np.uint64)
+    return out
+
+
 def _packed(parts: list, keys: np.ndarray, wanted: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """One row per bucket with all its entries, in the order of kind and u, and the documents
+    that they lie in."""
+    kind = np.concatenate([np.full(len(p[1]), p[0], np.uint8) for p in parts])
+    u, v, row, n = (np.concatenate([p[k] for p in parts]) for k in range(1, 5))
+    bucket = (mix(u) % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((u, kind, bucket))
+    kind, u, v, row, n, bucket = (x[order] for x in (kind, u, v, row, n, bucket))
+    cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
     out = []
-    for kind in range(5):
-        mine = [p[1:] for p in parts if p[0] == kind and len(p[1])]
-        if not mine:
-            continue
-        u, v, row, n = (np.concatenate(c) for c in zip(*mine, strict=True))
-        bucket = (mix(u) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((u, bucket))
-        u, v, row, n, bucket = u[order], v[order], row[order], n[order], bucket[order]
-        cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            rows, slot = np.unique(row[a:b], return_inverse=True)
-            arrays = (u[a:b], v[a:b] if kind > BOTH_FREQUENT else v[:0], slot.astype(_U32), n[a:b].astype(_U32), keys[rows], wanted[rows])
-            out.append((int(bucket[a]), kind, *[x.tobytes() for x in arrays]))
-            if len(out) == 512:
-                yield _rows_of(out)
-                out = []
-    if out:
-        yield _rows_of(out)
-
-
-def _rows_of(out: list) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
-    names = [c.split()[0] for c in _ENTRY.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        rows, slot = np.unique(row[a:b], return_inverse=True)
+        out.append((int(bucket[a]), _pack([kind[a:b], u[a:b], v[a:b], slot, n[a:b], keys[rows], wanted[rows]])))
+    for k in range(0, len(out), 512):
+        columns = zip(*out[k : k + 512], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int32(), pa.binary()), strict=True)], ["bucket", "packed"])
 
 
 def _entry_batches(batches: Iterator[pa.RecordBatch], sent, buckets: int):
@@ -224,11 +252,13 @@ def _settle_bucket(table: pa.Table, sent) -> pa.Table:
     """(key, target, background, tail, n): sums of terms per document, and what pairs of two rare
     words have without the count of their tail."""
     known: Frequent = sent.value
-    kinds: dict[int, list] = {}
-    for kind, *blobs in zip(*(table.column(c).to_pylist() for c in ("kind", "u", "v", "slot", "n", "keys", "wanted")), strict=True):
-        u, v, slot, n, keys, wanted = (np.frombuffer(x, t) for x, t in zip(blobs, (np.uint64, np.uint64, _U32, _U32, np.int64, bool), strict=True))
-        kinds.setdefault(kind, []).append((u, v if len(v) else np.zeros(len(u), np.uint64), n.astype(float), keys[slot], wanted[slot].astype(float)))
-    merged = {k: [np.concatenate(c) for c in zip(*parts, strict=True)] for k, parts in kinds.items()}
+    parts = [_unpack(x) for x in table.column("packed").to_pylist()]
+    kind, u, v = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    n = np.concatenate([p[4] for p in parts]).astype(float)
+    keys = np.concatenate([p[5][p[3]] for p in parts])
+    wanted = np.concatenate([p[6][p[3]] for p in parts]).astype(float)
+    del parts
+    merged = {k: [x[kind == k] for x in (u, v, n, keys, wanted)] for k in np.unique(kind).tolist()}
     none = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0)]
     u, v, n, keys, wanted = merged.pop(RARE_WORD, none)
     words, _, word_counts, group = _grouped(u, v, n, wanted)
