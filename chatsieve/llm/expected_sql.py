@@ -16,7 +16,7 @@ from chatsieve.llm.scoring import WEIGHT
 from chatsieve.llm.substrings import WINDOW
 
 SPACED = r"list_filter(string_split_regex(coalesce({0}, ''), '[\x09-\x0D\x20]+'), lambda x: x <> '')"
-PLAIN = r"list_filter(string_split_regex(lower(coalesce({0}, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+PLAIN = r"list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 
 def _quoted(values) -> str:

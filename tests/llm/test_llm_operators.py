@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chatsieve.llm import chat, corpus_scoring, decontaminate, fingerprint, language, licenses, minhash, packing, scoring, substrings, urls
+from chatsieve.llm import chat, corpus_scoring, decontaminate, fingerprint, language, licenses, minhash, packing, scoring, substrings, urls, words
 from chatsieve.llm.queries import tokenizer_files
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, class_id long, words string, seed long"
@@ -294,6 +294,8 @@ def test_licenses(frame):
     assert (got[2].n_words, got[2].n_base, got[2].first_word, got[2].score) == (0, 0, None, 0.0)
     assert (got[7].n_words, got[7].first_word, got[7].score) == (20012, 20006, 1.0)
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
+    cased = frame([(1, "ÉTÉ MIT LICENSE"), (2, "THE MIT LICENSE İ")], "doc_id long, text string")
+    assert [r[0] for r in cased.select(words.ascii_words("text")).collect()] == [["ÉtÉ", "mit", "license"], ["the", "mit", "license", "İ"]]
 
 
 def test_licenses_without_their_rarest_words(frame):
