@@ -2,7 +2,7 @@
 
 Every paragraph (a line, cut at the ends of its sentences) hashes to a vector of 256
 lanes of +1 or -1; a fingerprint is the sum of its paragraphs' vectors, each lane modulo
-2**16. Order does not matter, equal multisets have equal fingerprints, and a paragraph is
+2**32, which no number of paragraphs in a text reaches. Order does not matter, equal multisets have equal fingerprints, and a paragraph is
 inserted or deleted by adding or subtracting its vector. The difference of two
 fingerprints is the fingerprint of the paragraphs they do not share, and the square of
 its length estimates how many those are.
@@ -22,15 +22,21 @@ from pyspark.sql import functions as F
 
 from chatsieve.llm.tables import texts_of
 
-LANES, ACCURACY = 256, 10_000
+LANES, ACCURACY, AT_ONCE = 256, 10_000, 1 << 15
 _CUT = re.compile(r"\n+|(?<=[.!?]) +")
 
 
 def fingerprint(text: str) -> np.ndarray:
-    """Sum of the paragraphs' vectors, as 16-bit lanes; zero for a text without any."""
-    digests = b"".join(hashlib.blake2b(p.encode(), digest_size=LANES // 8).digest() for p in _CUT.split(text) if p)
-    ones = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, LANES // 8), axis=1)
-    return (2 * ones.sum(axis=0, dtype=np.int64) - len(ones)).astype(np.int16)
+    """Sum of the paragraphs' vectors, as 32-bit lanes; zero for a text without any. Vectors of
+    ``AT_ONCE`` paragraphs are held at a time."""
+    total = np.zeros(LANES, np.int64)
+    paragraphs = [p for p in _CUT.split(text) if p]
+    for start in range(0, len(paragraphs), AT_ONCE):
+        some = paragraphs[start : start + AT_ONCE]
+        digests = b"".join(hashlib.blake2b(p.encode(), digest_size=LANES // 8).digest() for p in some)
+        ones = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, LANES // 8), axis=1)
+        total += 2 * ones.sum(axis=0, dtype=np.int64) - len(ones)
+    return total.astype(np.int32)
 
 
 def insert(whole: np.ndarray, text: str) -> np.ndarray:
@@ -48,12 +54,19 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     estimated paragraphs not shared over those of both."""
     x, y = a.astype(float), b.astype(float)
     size = x @ x + y @ y
-    gap = (a - b).astype(float)  # wraps like the lanes
+    gap = x - y
     return float(np.clip(1 - (gap @ gap) / size, 0, 1)) if size else 1.0
 
 
 def encoded(lanes: np.ndarray) -> str:
-    return base64.b64encode(lanes.astype("<i2").tobytes()).decode()
+    """Two bytes a lane where all fit, as nearly always, else four."""
+    narrow = np.abs(lanes).max(initial=0) < 1 << 15
+    return base64.b64encode(lanes.astype("<i2" if narrow else "<i4").tobytes()).decode()
+
+
+def decoded(text: str) -> np.ndarray:
+    data = base64.b64decode(text)
+    return np.frombuffer(data, "<i2" if len(data) == 2 * LANES else "<i4").astype(np.int32)
 
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]):
@@ -111,7 +124,7 @@ def edited_fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     the same task; the first row of each range also goes to the range before it. The
     driver sees one id per range. Rows that share an id follow each other by text; a NULL
     id comes last. NULL and empty texts have no characters; one row alone is its own next.
-    Other columns are not looked at, and an empty table gives no rows.
+    A text and the one before it are held whole. Other columns are not looked at, and an empty table gives no rows.
     """
     spark = docs.sparkSession
     given = texts_of(docs)

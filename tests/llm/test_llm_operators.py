@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -229,17 +230,35 @@ def test_contamination_sends_a_long_item_once(spark, frame):
     assert sent and max(sent) < 5_000_000
 
 
+def lanes_by_counting(text):
+    """The lanes from a count of each paragraph, bit by bit."""
+    lanes = [0] * 256
+    for paragraph, times in Counter(p for line in text.split("\n") for p in re.split("(?<=[.!?]) +", line) if p).items():
+        digest = hashlib.blake2b(paragraph.encode(), digest_size=32).digest()
+        for k in range(256):
+            lanes[k] += times if digest[k // 8] >> (7 - k % 8) & 1 else -times
+    return tuple(lanes)
+
+
+def likeness_by_counting(a, b):
+    size = sum(x * x for x in a) + sum(x * x for x in b)
+    return round(max(0.0, 1 - sum((x - y) ** 2 for x, y in zip(a, b)) / size), 9) if size else 1.0
+
+
 def test_edited_fingerprints(docs, texts, empty):
     rows = sorted([(i, t or "") for i, t in enumerate(texts)] + [(3, texts[3] or "")], key=lambda r: (-r[0], r[1]))
     want = []
     for k, (i, text) in enumerate(rows):
         after, half = rows[(k + 1) % len(rows)][1], len(text) // 2
         changed = text[: len(text) - half] + after[:half]
-        want.append((i, len(text), hashlib.sha256(changed.encode()).hexdigest(), fingerprint.encoded(fingerprint.fingerprint(changed))))
+        sums = [lanes_by_counting(t) for t in (text, changed, after)]
+        near = [likeness_by_counting(sums[0], x) for x in sums[1:]]
+        want.append((i, len(text), hashlib.sha256(changed.encode()).hexdigest(), *sums[:2], *near))
     for parts in (1, 7):
         got = fingerprint.edited_fingerprints(docs, parts).collect()
-        assert sorted((r.doc_id, r.n_chars, r.edited_sha256, r.edited_fingerprint) for r in got) == sorted(want)
-        assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+        lanes = lambda x: tuple(fingerprint.decoded(x).tolist())
+        got = [(r.doc_id, r.n_chars, r.edited_sha256, lanes(r.fingerprint), lanes(r.edited_fingerprint), round(r.near_edited, 9), round(r.near_next, 9)) for r in got]
+        assert sorted(got) == sorted(want)
     assert fingerprint.edited_fingerprints(empty).count() == 0
 
 
@@ -249,6 +268,11 @@ def test_fingerprints_are_sums_of_paragraphs():
     assert (fingerprint.fingerprint(a) == fingerprint.fingerprint(c)).all()
     assert (fingerprint.insert(fingerprint.fingerprint(a), b) == whole).all()
     assert (fingerprint.delete(whole, b) == fingerprint.fingerprint(a)).all()
+    often = fingerprint.fingerprint("same\n" * 65_536)
+    other = fingerprint.fingerprint("other")
+    assert often.any() and fingerprint.likeness(often + other, other) < 0.01
+    assert (fingerprint.decoded(fingerprint.encoded(often)) == often).all() and (fingerprint.decoded(fingerprint.encoded(other)) == other).all()
+    assert fingerprint.likeness(fingerprint.fingerprint("same\n" * 40_000), fingerprint.fingerprint("same\n" * 20_000)) == 0.8
     many = "\n".join(f"line {k}" for k in range(200))
     half = "\n".join(f"line {k}" for k in range(100, 300))
     assert abs(fingerprint.likeness(fingerprint.fingerprint(many), fingerprint.fingerprint(half)) - 0.5) < 0.15
