@@ -29,7 +29,7 @@ from chatsieve.llm.tables import settled
 #: One document in so many is looked at to guess which pairs are frequent; a pair is taken for
 #: frequent from this share of their pairs on, and 3 times. A wrong guess costs time only.
 SAMPLE, PAIR_SHARE = 16, 1e-6
-BUCKET, FLUSH, ROWS, CHUNK = 3_000_000, 750_000, 1 << 16, 1 << 20
+BUCKET, FLUSH, ROWS, CHUNK = 2_000_000, 500_000, 1 << 16, 1 << 20
 #: Ids of wanted documents that are broadcast (16 bytes each); more are joined once.
 BROADCAST_IDS = 2_000_000
 RARE_WORD, BOTH_FREQUENT, RARE_HEAD, RARE_TAIL, BOTH_RARE = range(5)
@@ -346,7 +346,7 @@ def score_corpus(
     far = handed.where("tail IS NOT NULL").join(tails, "tail").select("key", *[term(k, s).alias(s) for k, s in enumerate(SIDES)])
     others = near.unionByName(far).groupBy("key").agg(*sums)
     # Equal rows have one key: each gets its part of what all of them found.
-    equal = held.groupBy("key").agg(F.count("*").alias("equal")).where("equal > 1")
+    equal = given.groupBy("key").agg(F.count("*").alias("equal")).where("equal > 1")
     joined = held.join(equal, "key", "left").join(others, "key", "left")
     loss = {
         s: (F.col(f"held_{s}") + F.coalesce(F.col(s) / F.coalesce("equal", F.lit(1)), F.lit(0.0))) / F.col("n_tokens") for s in SIDES
