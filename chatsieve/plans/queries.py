@@ -705,7 +705,11 @@ def distil_optimum(spark, d):
 
 @query
 def fit_multiclass_optimum(spark, d):
+    """Labels are numbered without gaps: a class without rows would have no finite optimum."""
     train = train_rows(spark, d)
+    there = sorted(r.label for r in train.select("label").distinct().collect())  # of a closed set of six
+    place = F.array_position(F.array(*[F.lit(x) for x in there]), F.col("label")) - 1
+    train = train.withColumn("label", place.cast("int"))
     model = models.fit_multiclass(train, max_iter=1000, tol=1e-12)
     fitted = model.stages[-1]
     errors = model.transform(train).select("id", "label", F.posexplode(vector_to_array("probability")).alias("class", "p"))
