@@ -134,6 +134,10 @@ def fit_logistic_cv(
     return PipelineModel(stages=[*features.stages, model]), table
 
 
+def counts_model(alpha: float) -> NaiveBayes:
+    return NaiveBayes(modelType="multinomial", smoothing=alpha, labelCol="y")
+
+
 def fit_naive_bayes(
     df: DataFrame,
     alpha: float = 1.0,
@@ -144,7 +148,7 @@ def fit_naive_bayes(
 ) -> PipelineModel:
     features = fit_features(df, min_df, max_df, weighted=False, text=text)
     with prepared(df, features, truth) as (train, _):
-        model = NaiveBayes(modelType="multinomial", smoothing=alpha, labelCol="y").fit(train)
+        model = counts_model(alpha).fit(train)
     return PipelineModel(stages=[*features.stages, model])
 
 
@@ -276,31 +280,36 @@ def grid_search(
     parallelism: int = 4,
     text: str = "message",
     truth: str = "toxic",
+    family: str = "logistic",
 ) -> DataFrame:
     """Every combination of settings (or a random ``sample`` of them) with its measures
     on the held-out rows.
 
-    Settings: c, min_df, max_df, ngram, analyzer. ``best`` marks the highest F1 on the
+    Settings: c (or alpha for the ``naive_bayes`` family, a counts model), min_df, max_df,
+    ngram, analyzer. ``best`` marks the highest F1 on the
     toxic class, ``on_edge`` a best value at the end of a range, a hint to look further.
     Combinations that share a vectoriser share its fitted features and are fitted
     ``parallelism`` at a time.
     """
+    strength = {"logistic": "c", "naive_bayes": "alpha"}[family]
     names = list(grid)
     combos = [dict(zip(names, values)) for values in itertools.product(*grid.values())]
     if sample is not None and sample < len(combos):
         combos = random.Random(seed).sample(combos, sample)
     by_features: dict[tuple, list[dict]] = {}
     for combo in combos:
-        settings = {k: v for k, v in combo.items() if k != "c"}
+        settings = {k: v for k, v in combo.items() if k != strength}
         by_features.setdefault(tuple(sorted(settings.items())), []).append(combo)
     train, test = df.filter(F.col(split) == "train"), df.filter(F.col(split) == "test")
     results = []
     for settings, members in by_features.items():
-        features = fit_features(train, **dict(settings), text=text)
+        features = fit_features(train, **dict(settings), text=text, weighted=family == "logistic")
         with prepared(train, features, truth) as (fitted, n), prepared(test, features, truth, truth) as (held_out, _):
 
             def judge(combo: dict) -> tuple[dict, dict]:
-                model = logistic(combo.get("c", 1.0), n).fit(fitted)
+                power = combo.get(strength, 1.0)
+                kind = logistic(power, n) if family == "logistic" else counts_model(power)
+                model = kind.fit(fitted)
                 scored = model.transform(held_out).withColumn("pred", F.col("prediction") == 1.0)
                 return combo, toxic_scores(scored, truth)
 
@@ -319,7 +328,7 @@ def grid_search(
         ]
         rows.append(
             (
-                float(combo.get("c", 1.0)),
+                float(combo.get(strength, 1.0)),
                 int(combo.get("min_df", 1)),
                 float(combo.get("max_df", 1.0)),
                 "-".join(map(str, combo.get("ngram", (1, 1)))),
@@ -331,7 +340,7 @@ def grid_search(
         )
     return df.sparkSession.createDataFrame(
         rows,
-        "c double, min_df int, max_df double, ngram string, analyzer string, accuracy double,"
+        f"{strength} double, min_df int, max_df double, ngram string, analyzer string, accuracy double,"
         " precision double, recall double, f1 double, best boolean, on_edge string",
     )
 

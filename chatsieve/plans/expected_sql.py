@@ -458,6 +458,28 @@ def optimum(rows: str, extra: str = "", times: str = "") -> str:
 
 
 TRAIN = f"WITH {MSGS}, {SPLIT}, train AS (SELECT * FROM split WHERE split = 'train')"
+EXPECTED["grid_search_counts"] = (
+    TRAIN
+    + f""", test AS (SELECT * FROM split WHERE split = 'test'),
+ tok AS (SELECT id, term, count(*) AS tf FROM ({tokens_of('train')}) GROUP BY id, term),
+ said AS (SELECT id, term, count(*) AS tf FROM ({tokens_of('test')}) GROUP BY id, term),
+ c AS (SELECT term, count(*) AS df, coalesce(sum(tf) FILTER (toxic), 0) AS a, coalesce(sum(tf) FILTER (NOT toxic), 0) AS b
+  FROM tok JOIN train USING (id) GROUP BY term),
+ g AS (SELECT unnest([0.1::DOUBLE, 1, 10]) AS alpha), m AS (SELECT unnest([1, 2, 4]) AS min_df),
+ k AS (SELECT alpha, min_df, term, a, b FROM c, g, m WHERE df >= min_df),
+ t AS (SELECT alpha, min_df, sum(a) AS ta, sum(b) AS tb, count(*) AS v FROM k GROUP BY ALL),
+ w AS (SELECT alpha, min_df, term, ln((a + alpha) / (ta + alpha * v)) - ln((b + alpha) / (tb + alpha * v)) AS odds
+  FROM k JOIN t USING (alpha, min_df)),
+ p AS (SELECT alpha, ln(count(*) FILTER (toxic) + alpha) - ln(count(*) FILTER (NOT toxic) + alpha) AS prior FROM train, g GROUP BY alpha),
+ s AS (SELECT alpha, min_df, id, sum(tf * odds) AS total FROM said JOIN w USING (term) GROUP BY ALL),
+ j AS (SELECT p.alpha, m.min_df, test.toxic, prior + coalesce(total, 0) > 0 AS flagged FROM test CROSS JOIN p CROSS JOIN m
+  LEFT JOIN s ON s.alpha = p.alpha AND s.min_df = m.min_df AND s.id = test.id),
+ n AS (SELECT alpha, min_df, {counts()} FROM j GROUP BY alpha, min_df),
+ r AS (SELECT alpha, min_df, {MEASURES}, row_number() OVER (ORDER BY round(coalesce(2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0), 0), 6)
+  DESC, min_df, alpha) = 1 AS best FROM n)
+SELECT alpha, min_df, accuracy, "precision", recall, f1, best, CASE WHEN best THEN concat_ws(',',
+ CASE WHEN alpha <> 1 THEN 'alpha' END, CASE WHEN min_df <> 2 THEN 'min_df' END) ELSE '' END AS on_edge FROM r"""
+)
 EXPECTED["fit_logistic_optimum"] = EXPECTED["fit_logistic_cv_optimum"] = optimum(TRAIN)
 EXPECTED["fit_multiclass_optimum"] = optimum(
     TRAIN, ", class::INTEGER AS class", ", (SELECT unnest(range(count(DISTINCT label))) AS class FROM train)"
