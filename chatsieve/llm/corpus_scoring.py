@@ -8,7 +8,8 @@ pairs are broadcast. Pairs of two rare words leave their first bucket with all b
 count of the second word, which an equi join adds.
 
 Entries travel in columns: per bucket and flush one row of packed arrays. A bucket holds those
-of about ``BUCKET`` tokens whatever the size of the corpus.
+of about ``BUCKET`` tokens whatever the size of the corpus; a task settles several, one at
+a time, and sums their terms per document before it hands them back.
 """
 
 from __future__ import annotations
@@ -29,11 +30,13 @@ from chatsieve.llm.tables import settled
 #: One document in so many is looked at to guess which pairs are frequent; a pair is taken for
 #: frequent from this share of their pairs on, and 3 times. A wrong guess costs time only.
 SAMPLE, PAIR_SHARE = 16, 1e-6
-BUCKET, FLUSH, ROWS, CHUNK = 2_000_000, 500_000, 1 << 16, 1 << 20
+BUCKET, FLUSH, ROWS, CHUNK = 1_000_000, 400_000, 1 << 16, 1 << 20
+#: Buckets that a task handles one after the other at most, and the least number of such groups.
+TOGETHER, GROUPS = 16, 16
 #: Ids of wanted documents that are broadcast (16 bytes each); more are joined once.
 BROADCAST_IDS = 2_000_000
 RARE_WORD, BOTH_FREQUENT, RARE_HEAD, RARE_TAIL, BOTH_RARE = range(5)
-_ENTRY = "bucket int, packed binary"
+_ENTRY = "bucket int, packed binary"  # buckets of one group are equal modulo the number of groups
 _FIELDS = ((np.uint8, "kind"), (np.uint64, "u"), (np.uint64, "v"), (np.uint32, "slot"), (np.uint32, "n"), (np.int64, "keys"), (np.uint8, "wanted"))
 
 
@@ -248,11 +251,29 @@ def _grouped(u: np.ndarray, v: np.ndarray, n: np.ndarray, wanted: np.ndarray) ->
     return u[order][new], v[order][new], counts, group
 
 
-def _settle_bucket(table: pa.Table, sent) -> pa.Table:
+def _settle_group(table: pa.Table, sent) -> pa.Table:
     """(key, target, background, tail, n): sums of terms per document, and what pairs of two rare
-    words have without the count of their tail."""
+    words have without the count of their tail. One bucket is unpacked at a time."""
     known: Frequent = sent.value
-    parts = [_unpack(x) for x in table.column("packed").to_pylist()]
+    buckets = table.column("bucket").to_numpy()
+    packed = table.column("packed")
+    docs, sums, far = np.zeros(0, np.int64), np.zeros((0, 2)), []
+    for bucket in np.unique(buckets):
+        keys, values, rest = _settle_bucket([packed[int(k)].as_py() for k in np.flatnonzero(buckets == bucket)], known)
+        docs, slot = np.unique(np.concatenate([docs, keys]), return_inverse=True)
+        values = np.concatenate([sums, values])
+        sums = np.stack([np.bincount(slot, values[:, k], len(docs)) for k in (0, 1)], axis=1)
+        far.append(rest)
+    far = [np.concatenate(c) for c in zip(*far, strict=True)]
+    key, both = np.concatenate([docs, far[0]]), np.vstack([sums, far[1]])
+    tail = pa.array(np.concatenate([np.zeros(len(docs), np.int64), far[2]]), mask=np.arange(len(key)) < len(docs))
+    n = pa.array(np.concatenate([np.zeros(len(docs), np.int64), far[3]]))
+    return pa.table({"key": pa.array(key), "target": pa.array(both[:, 0]), "background": pa.array(both[:, 1]), "tail": tail, "n": n})
+
+
+def _settle_bucket(packed: list[bytes], known: Frequent):
+    """(document keys, terms of their entries, (key, counts, tail, n) of pairs of two rare words)."""
+    parts = [_unpack(x) for x in packed]
     kind, u, v = (np.concatenate([p[k] for p in parts]) for k in range(3))
     n = np.concatenate([p[4] for p in parts]).astype(float)
     keys = np.concatenate([p[5][p[3]] for p in parts])
@@ -279,12 +300,7 @@ def _settle_bucket(table: pa.Table, sent) -> pa.Table:
             terms = known.pair_terms(pair, *((own, other) if kind == RARE_HEAD else (other, own)))
         found.append((keys, n[:, None] * terms[group]))
     keys, values = (np.concatenate(c) for c in zip(*found, strict=True))
-    docs, slot = np.unique(keys, return_inverse=True)
-    sums = np.stack([np.bincount(slot, values[:, k], len(docs)) for k in (0, 1)], axis=1)
-    key, both = np.concatenate([docs, far[0]]), np.vstack([sums, far[1]])
-    tail = pa.array(np.concatenate([np.zeros(len(docs), np.int64), far[2]]), mask=np.arange(len(key)) < len(docs))
-    n = pa.array(np.concatenate([np.zeros(len(docs), np.int64), far[3]]))
-    return pa.table({"key": pa.array(key), "target": pa.array(both[:, 0]), "background": pa.array(both[:, 1]), "tail": tail, "n": n})
+    return keys, values, far
 
 
 def score_corpus(
@@ -330,10 +346,11 @@ def score_corpus(
     held = given.mapInArrow(
         lambda it: _held_batches(it, sent), "doc_id long, key long, n_tokens long, held_target double, held_background double"
     )
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(tokens[1] // bucket) + 1)
+    buckets = int(tokens[1] // bucket) + GROUPS
+    groups = max(GROUPS, -(-buckets // TOGETHER))
     entries = given.mapInArrow(lambda it: _entry_batches(it, sent, buckets), _ENTRY)
-    handed = entries.groupBy("bucket").applyInArrow(
-        lambda table: _settle_bucket(table, sent), "key long, target double, background double, tail long, n long"
+    handed = entries.groupBy(F.pmod("bucket", F.lit(groups)).alias("group")).applyInArrow(
+        lambda table: _settle_group(table, sent), "key long, target double, background double, tail long, n long"
     )
     handed = settled(handed, "handed", compression="zstd")
     near = handed.where("tail IS NULL").select("key", *SIDES)
