@@ -108,6 +108,20 @@ def test_grid(small):
     assert models.grid_search(split, {"c": (0.1, 1.0, 10.0)}, sample=2).count() == 2
 
 
+def test_counts_model_on_a_grid_and_its_terms(spark, small):
+    split = stratified_split(small, 0.3)
+    table = models.grid_search(split, {"alpha": (0.1, 1.0), "min_df": (1, 2)}, family="naive_bayes")
+    assert table.columns[0] == "alpha" and table.count() == 4 and table.filter("best").count() == 1
+    assert {r.on_edge for r in table.filter("best").collect()} <= {"alpha,min_df"}
+    fitted = models.fit_naive_bayes(small)
+    top = {(r.side, r.term) for r in models.top_terms(spark, fitted, 1).collect()}
+    assert ("toxic", "bad") in top and ("clean", "good") in top
+    sums = {r.id: r.s for r in models.explain_score(small, fitted, 50).groupBy("id").agg(F.sum("contribution").alias("s")).collect()}
+    prior = fitted.stages[-1].pi[1] - fitted.stages[-1].pi[0]
+    for r in models.score(small, fitted).collect():
+        assert 1 / (1 + math.exp(-(sums[r.id] + prior))) == pytest.approx(r.probability)
+
+
 def test_other_models(small):
     for fitted in (models.fit_naive_bayes(small), models.fit_random_forest(small, trees=5, min_df=1, max_df=1.0)):
         assert models.toxic_scores(models.score(small, fitted))["accuracy"] > 0.9
