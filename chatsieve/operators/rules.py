@@ -186,7 +186,7 @@ def explain_match(
     listed = as_list(df, words)
     if not isinstance(listed, DataFrame) and len(listed) <= HASHED_WORDS:
         df = df.filter(matches_any(F.col(text), listed, pattern_of(mode)))
-    marked = with_hits(df.select(id_col, text), listed, mode, text, id_col).filter(F.size("_hits") > 0)
+    marked = with_hits(df.select(id_col, text), listed, mode, text, id_col)
     parts = matching.cut(
         F.col(text), F.col("_hits"), mode, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("matched"))
     )
