@@ -124,3 +124,32 @@ def test_the_length_of_a_list_changes_no_answer(frame, n):
 def test_an_empty_table_is_refused(frame):
     with pytest.raises(ValueError):
         rules.censor(frame([(1, "a")], "id int, message string"), frame([(" ",)], "word string"))
+
+
+def test_a_table_of_words_is_made_once(spark, frame, monkeypatch):
+    """And overlapping matches of a long text are settled some at a time, in the same way."""
+    monkeypatch.setattr(matching, "ROW_LOCAL_WORDS", 3)
+    monkeypatch.setattr(matching, "RUNS_AT_ONCE", 2)
+    made = spark.sparkContext.accumulator(0)
+
+    def make(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    listed = ["aa", "bb", "cc", "aa bb", "bb cc aa", "cc aa", "dd"]
+    words = frame([(w,) for w in listed], "word string").mapInArrow(make, "word string")
+    text = " ".join(random.Random(4).choice(["aa", "bb", "cc", "dd", "x"]) for _ in range(300))
+    df = frame([(1, text)], "id int, message string")
+    got = [(r.start_pos - 1, r.end_pos, r.rule) for r in rules.explain_match(df, words).orderBy("hit_no").collect()]
+    assert got == by_walk(text, listed, "boundary") and made.value == len(listed)
+
+
+def test_runs_of_characters_are_looked_for_in_distinct_words(frame, monkeypatch):
+    monkeypatch.setattr(matching, "ROW_LOCAL_WORDS", 2)
+    looked = []
+    every = matching.all_windows
+    monkeypatch.setattr(matching, "all_windows", lambda df, *rest: looked.append(df.count()) or every(df, *rest))
+    df = frame([(i, "some words again " * 20) for i in range(40)], "id int, message string")
+    flags = rules.rule_flag(df, frame([("ords",), ("gai",), ("none",)], "word string"), "substring").collect()
+    assert all(r.flagged for r in flags) and looked == [3]

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from chatsieve.operators import features, models
+from chatsieve.operators import features, models, skew
 from chatsieve.operators.sampling import stratified_split
 from chatsieve.operators.term_models import TermModel
 from chatsieve.sources.model_store import load_model, save_model
@@ -77,9 +77,9 @@ def test_counts_model(spark, rows, narrow):
 
 
 def test_terms_are_split_up_in_tasks_that_grow_in_number(rows, monkeypatch):
-    few = features.text_parts(rows, "message")
-    monkeypatch.setattr(features, "CHARS_PER_TASK", 100)
-    assert features.text_parts(rows, "message") > few
+    few = skew.text_parts(rows, "message")
+    monkeypatch.setattr(skew, "CHARS_PER_TASK", 100)
+    assert skew.text_parts(rows, "message") > few
     assert features.term_counts(rows, "id", "message").rdd.getNumPartitions() > few
 
 
