@@ -27,8 +27,8 @@ from chatsieve.llm.hashing import mix, ngram_hashes, text_chunks, word_hashes, w
 from chatsieve.llm.tables import settled, texts_of
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 32, 4
-#: Texts of a bucket up to which all its pairs of two classes are verified in the end.
-SMALL = 64
+#: Words of 64 bits in which the shingles of a text leave marks.
+MARKS = 16
 _LOW = np.uint64((1 << 44) - 1)
 
 
@@ -87,14 +87,19 @@ def _signature_batches(batches: Iterator[pa.RecordBatch], shingle: int, bands: i
                 pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(keys[per_row > 0].ravel())
             )
             part = batch.slice(start, n)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), lists], ["doc_id", "digest", "bands"])
+            distinct = pa.array(np.bincount(row, minlength=n), pa.int64())
+            marks = np.zeros((n, MARKS), np.uint64)
+            np.bitwise_or.at(marks, (row, ids.astype(np.int64) % MARKS), np.uint64(1) << (ids >> np.uint64(8)) % np.uint64(64))
+            marks = pa.FixedSizeListArray.from_arrays(pa.array(marks.view(np.int64).ravel()), MARKS).cast(pa.list_(pa.int64()))
+            names = ["doc_id", "digest", "bands", "n_shingles", "marks"]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), lists, distinct, marks], names)
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, digest, bands) per row; no bands for a text without words."""
+    """(doc_id, digest, bands, n_shingles, marks) per row, where a shingle sets one of the bits of marks; no bands for a text without words."""
     given = texts_of(docs).select("doc_id", "text", F.md5("text").alias("digest"))
     return given.mapInArrow(
-        lambda it: _signature_batches(it, shingle, bands, rows), "doc_id long, digest string, bands array<long>"
+        lambda it: _signature_batches(it, shingle, bands, rows), "doc_id long, digest string, bands array<long>, n_shingles long, marks array<long>"
     )
 
 
@@ -137,7 +142,7 @@ def verified_links(pairs: DataFrame, texts: DataFrame, shingle: int, similarity:
 
 
 def near_duplicates(
-    docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, small: int = SMALL
+    docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
     """(doc_id, class_id, kept): the class of every document, named by its smallest id.
 
@@ -147,12 +152,11 @@ def near_duplicates(
     is the text they were made from. Classes are the components of the verified links.
     Then every bucket that still holds more than one class verifies all members outside
     the class of a new centre against it (the best-connected member of the classes that
-    had no centre there), until a round finds no link. Last, buckets of up to ``small`` texts
-    that still hold several classes verify every pair of two classes that was not yet, so
-    that nothing they propose is missed. Larger ones are families of more than ``small``
-    edited copies none of which is like the centres; there a link between two texts that
-    both differ from all centres can be missed. Work is linear in the members of a bucket;
-    no large bucket is expanded into all its pairs.
+    had no centre there), until a round finds no link. Last, buckets of any size that still hold
+    several classes verify every pair of two classes that was not yet and whose marks allow
+    the likeness, so that nothing a bucket proposes is missed. Only there, in
+    families of edited copies none of which is like the centres, pairs grow with the
+    square of a bucket.
 
     NULL and empty texts and texts of white space alone are each a class of their own.
     Repeated rows of one id share a class. A NULL id gives one row with a NULL class.
@@ -198,10 +202,21 @@ def near_duplicates(
         mixed = fresh.groupBy("bucket").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("lo != hi")
         fresh = fresh.join(mixed.select("bucket"), "bucket", "left_semi")
         state = settled(fresh.select("bucket", "rep", "standing", "class_id", F.coalesce("seen", F.lit(False)).alias("seen")), "state")
-    several = state.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class_id").alias("lo"), F.max("class_id").alias("hi"))
-    several = state.join(several.where(F.col("n") <= small).where("lo != hi").select("bucket"), "bucket", "left_semi")
-    one, two = several.select("bucket", F.col("rep").alias("a"), F.col("class_id").alias("x")), several.select("bucket", F.col("rep").alias("b"), F.col("class_id").alias("y"))
-    pairs = one.join(two, "bucket").where("a < b AND x != y").select("a", "b").distinct().join(tried_pairs, ["a", "b"], "left_anti")
+    several = state.groupBy("bucket").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("lo != hi")
+    # An id that repeats with other texts has no marks, and all its pairs are verified.
+    marks = F.when(F.min("digest") == F.max("digest"), F.first("marks")).alias("marks")
+    sizes = reps.groupBy(F.col("doc_id").alias("rep")).agg(F.max("n_shingles").alias("size"), marks)
+    several = state.join(several.select("bucket"), "bucket", "left_semi").join(sizes, "rep")
+    one, two = (
+        several.select("bucket", F.col("rep").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("class_id", "size", "marks")]) for x in "ab"
+    )
+    # Marks that differ are shingles that differ. Two alike texts differ in few of theirs; marks hold
+    # shorter hashes than those that decide, hence the slack.
+    differ = sum((F.bit_count(F.get("marks_a", F.lit(k)).bitwiseXOR(F.get("marks_b", F.lit(k)))) for k in range(MARKS)), F.lit(0))
+    most = (1.01 - similarity) / (1 + similarity) * (F.col("size_a") + F.col("size_b"))
+    fits = F.coalesce(differ <= most, F.lit(True))
+    pairs = one.join(two, "bucket").where("a < b AND class_id_a != class_id_b").where(fits).select("a", "b").distinct()
+    pairs = pairs.join(tried_pairs, ["a", "b"], "left_anti")
     found = settled(verified_links(settled(pairs, "pairs"), texts, shingle, similarity).select("a", "b"), "links")
     if not found.isEmpty():
         links = found if links is None else links.union(found)

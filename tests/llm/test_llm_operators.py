@@ -490,3 +490,21 @@ def test_best_fit_runs_are_best_fit_decreasing():
 def test_fewer_columns_do_not_matter(docs):
     assert docs.select("doc_id", "text").where(F.col("doc_id") < 0).count() == 0
     assert fingerprint.fingerprints(docs.select("doc_id", "text")).count() == docs.count()
+
+
+def test_near_duplicates_lose_no_link_in_a_large_bucket(spark, monkeypatch):
+    """Two edited copies that are like each other and like no centre, among more than 64 texts of one bucket."""
+    words = [f"w{k}" for k in range(40)]
+    texts = [" ".join(words[:25] + [f"x{i}y{k}" for k in range(40)]) for i in range(80)]
+    texts += [" ".join(words[:25] + [f"p{k}" for k in range(40)] + tail) for tail in (["end"], ["stop"])]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # All texts meet in one bucket and only there.
+    monkeypatch.setattr(minhash, "signatures", _one_bucket(minhash.signatures))
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(rows).collect()}
+    assert got == {**{i: i for i in range(80)}, 80: 80, 81: 80}
+
+
+def _one_bucket(signatures):
+    from pyspark.sql import functions as F
+
+    return lambda *given: signatures(*given).withColumn("bands", F.array(F.lit(7).cast("long")))
