@@ -16,7 +16,13 @@ import pandas as pd
 LEADING_SHARE = 0.8
 #: What the bound in single precision is widened by.
 SLACK = 1e-4
+# Pairs that are bounded and multiplied at once, so that memory does not grow with either side.
 ROWS_AT_ONCE = 1024
+LISTED_AT_ONCE = 4096
+PAIRS_AT_ONCE = 1 << 14
+# Where more than one pair in so many is likely, all are multiplied in single precision, and
+# only those near the best of a row in full.
+LIKELY_ENOUGH = 64
 
 
 def unit_rows(vectors: pd.Series) -> np.ndarray:
@@ -56,31 +62,48 @@ class Listed:
 
     def __post_init__(self) -> None:
         self.first, self.rest = self.turn.led(self.rows)
+        self.single = self.rows.astype("float32")
 
     def best(self, asked: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """(place of the nearest row or -1 if none reaches the threshold, cosine to nine digits)."""
-        place, cosine = np.full(len(asked), -1), np.zeros(len(asked))
+        place, cosine = np.full(len(asked), -1), np.full(len(asked), -np.inf)
         for start in range(0, len(asked), ROWS_AT_ONCE):
-            part = asked[start : start + ROWS_AT_ONCE]
+            part, at = asked[start : start + ROWS_AT_ONCE], slice(start, start + ROWS_AT_ONCE)
             first, rest = self.turn.led(part)
-            bound = first @ self.first.T
-            bound += rest[:, None] * self.rest
-            likely = bound >= threshold - SLACK
-            at = slice(start, start + len(part))
-            if np.count_nonzero(likely) * 4 > likely.size:
-                full = np.round(part @ self.rows.T, 9)
-                place[at] = full.argmax(axis=1)
-                cosine[at] = full[np.arange(len(part)), place[at]]
-            else:
-                row, column = np.nonzero(likely)
-                exact = np.empty(len(row))
-                for low in range(0, len(row), 1 << 16):
-                    some = slice(low, low + (1 << 16))
-                    exact[some] = np.einsum("ij,ij->i", part[row[some]], self.rows[column[some]])
-                exact = np.round(exact, 9)
-                order = np.lexsort((column, -exact, row))
-                ahead = order[np.append(True, row[order][1:] != row[order][:-1])] if len(order) else order
-                place[start + row[ahead]] = column[ahead]
-                cosine[start + row[ahead]] = exact[ahead]
+            single = part.astype("float32")
+            bounds_help = True
+            for low in range(0, len(self.rows), LISTED_AT_ONCE):
+                some = slice(low, low + LISTED_AT_ONCE)
+                if bounds_help:
+                    bound = first @ self.first[some].T
+                    bound += rest[:, None] * self.rest[some]
+                    likely = bound >= threshold - SLACK
+                    bounds_help = np.count_nonzero(likely) * LIKELY_ENOUGH <= likely.size
+                if not bounds_help:
+                    near = single @ self.single[some].T
+                    least = np.maximum(near.max(axis=1), np.maximum(threshold, cosine[at])) - SLACK
+                    likely = near >= least[:, None].astype("float32")
+                here, found = _nearest_of(part, self.rows[some], likely)
+                ahead = found > cosine[at]  # a tie stays with the row listed earlier
+                place[at][ahead], cosine[at][ahead] = low + here[ahead], found[ahead]
         place[cosine < threshold] = -1
         return place, cosine
+
+
+def _nearest_of(part: np.ndarray, rows: np.ndarray, likely: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the nearest of the likely rows, cosine to nine digits), -inf where there is none."""
+    place, cosine = np.full(len(part), -1), np.full(len(part), -np.inf)
+    row, column = np.divmod(np.flatnonzero(likely), likely.shape[1])
+    exact = np.empty(len(row))
+    for low in range(0, len(row), PAIRS_AT_ONCE):
+        pairs = slice(low, low + PAIRS_AT_ONCE)
+        exact[pairs] = np.einsum("ij,ij->i", part[row[pairs]], rows[column[pairs]])
+    exact = np.round(exact, 9)
+    if len(row):
+        starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        top = np.maximum.reduceat(exact, starts)
+        first = np.where(exact == np.repeat(top, np.diff(np.append(starts, len(row)))), np.arange(len(row)), len(row))
+        ahead = np.minimum.reduceat(first, starts)
+        held = ahead < len(row)
+        place[row[starts[held]]], cosine[row[starts[held]]] = column[ahead[held]], top[held]
+    return place, cosine

@@ -222,3 +222,26 @@ def test_calls_keep_to_the_rate(frame, tmp_path):
     cost.annotate(df, classify, cache_of(frame, {"none": True}), size=2, parallel=1, per_minute=120)
     times = sorted(map(float, open(log).read().split()))
     assert len(times) == 4 and all(b - a > 0.45 for a, b in zip(times, times[1:]))
+
+
+def test_search_holds_few_pairs_at_once_and_ties_go_to_the_first():
+    """Many likely pairs: one row block against 40,000 vectors stays far below a number per pair."""
+    import tracemalloc
+
+    from chatsieve.operators.nearest import Listed, Turn
+
+    rng = np.random.default_rng(11)
+    rows = np.abs(rng.normal(size=(40_000, 12))) + 0.5
+    rows[30_000:] = rows[:10_000]  # copies in another tile
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    asked = rows[rng.integers(0, 40_000, 1024)] + 0.01 * rng.normal(size=(1024, 12))
+    asked /= np.linalg.norm(asked, axis=1, keepdims=True)
+    listed = Listed(rows, Turn.of(rows[:128]))
+    tracemalloc.start()
+    place, cosine = listed.best(asked, 0.6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    full = np.round(asked @ rows.T, 9)
+    assert (place == full.argmax(axis=1)).all() and (place < 30_000).all()
+    assert np.allclose(cosine, full.max(axis=1), atol=2e-9)
+    assert peak < 1024 * 40_000 * 4 * 0.75
