@@ -93,3 +93,12 @@ def test_coarse_labels(frame):
     assert got == {1: "clean", 2: "hate", 3: "other", 4: None}
     table = frame([(3, "hate"), (3, "b"), (5, "x")], "label int, class string")
     assert {r.id: r.coarse for r in evaluate.coarse_label(df, table, rest="-").collect()} == {1: "-", 2: "b", 3: "x", 4: None}
+
+
+def test_precision_projection_makes_the_names_once(spark, monkeypatch):
+    from chatsieve.plans import queries
+
+    made = []
+    monkeypatch.setattr(queries, "settled", lambda df, name, keep=queries.settled: made.append(name) or keep(df, name))
+    out = queries.QUERIES["precision_projection"](spark, "/root/testdata/sf0.001")
+    assert made == ["flagged"] and "regexp_extract_all" not in out._jdf.queryExecution().optimizedPlan().toString()
