@@ -15,6 +15,7 @@ units of the folded text and of the text itself correspond one to one.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 from itertools import groupby
 from weakref import WeakSet
 
@@ -185,6 +186,28 @@ def local_words(text: Column, words: list[str], mode: str) -> Column:
     return windows.bound(text, of_units)
 
 
+def holds_within(text: Column, words: list[str]) -> Column:
+    """True where a folded text holds a word of a short list as a run of characters. The places
+    where any word may start are found once, and lengths are tried only there, up to the first match."""
+    windows, by_size = windows_of(words, "substring")
+    starts = {k: list(dict.fromkeys(map(windows.start_of, listed))) for k, listed in sorted(by_size.items())}
+    every = list(dict.fromkeys(s for some in starts.values() for s in some))
+
+    def of_units(s: Column) -> Column:
+        def begins(i: Column) -> Column:
+            tries = [
+                windows.start(s, i).isin(starts[k]) & windows.key(s, i, k).isin(by_size[k]) if k > windows.probe
+                else windows.start(s, i).isin(by_size[k])
+                for k in starts
+            ]
+            return windows.start(s, i).isin(every) & reduce(lambda a, b: a | b, tries)
+
+        n = F.size(s["g"])
+        return F.when(n > 0, F.exists(F.sequence(F.lit(0), n - 1), begins)).otherwise(F.lit(False))
+
+    return windows.bound(text, of_units)
+
+
 def all_windows(df: DataFrame, words: DataFrame, mode: str, text: str) -> tuple[DataFrame, Column]:
     """(the listed entries of a table, with k; all windows (at, k, word) of a text that may be one).
 

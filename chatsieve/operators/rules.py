@@ -21,7 +21,7 @@ from chatsieve.functions.patterns import (
     matches_any,
     substring_pattern,
 )
-from chatsieve.functions.text import segment_array, token_array
+from chatsieve.functions.text import lower_all, segment_array, token_array
 from chatsieve.operators import matching
 from chatsieve.operators.matching import as_list, listed_words, local_hits, local_words, replaced, with_hits
 from chatsieve.operators.skew import join_lookup
@@ -59,6 +59,8 @@ def rule_expr(text: Column, words: Iterable[str], mode: str = "boundary") -> Col
         return matches_any(text, words, pattern_of(mode))
     if mode == "boundary" and all(map(is_single_token, lowered)):
         return holds_any(pieces_of(text, mode), lowered)
+    if mode == "substring":
+        return F.when(text.isNotNull(), matching.holds_within(folded(text), lowered))
     return F.when(text.isNotNull(), F.size(local_words(folded(text), lowered, mode)) > 0)
 
 
@@ -73,7 +75,7 @@ def pieces_of(text: Column, mode: str) -> Column:
     if mode == "boundary":
         return F.regexp_extract_all(folded(text), F.lit(WORD_CHAR + "+"), F.lit(0))
     if mode == "caps":
-        return F.split(folded(F.array_join(segment_array(text), " ")), " ")
+        return lower_all(segment_array(text))  # segments are ASCII, whose fold is the lower case
     raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
 
 

@@ -209,3 +209,24 @@ def test_scorecard_paths_agree(frame):
     assert single == {"bad": (2, 1), "dog": (2, 2), "cow": (0, 0)}
     phrase = {r.word: (r.flagged, r.correct) for r in rules.rule_scorecard(df, ["bad", "bad dog", "cow"]).collect()}
     assert phrase == {"bad": (2, 1), "bad dog": (1, 1), "cow": (0, 0)}
+
+
+def test_the_fold_is_the_same_with_and_without_the_ascii_way(frame):
+    """ASCII texts are lower-cased alone; the plan must have that way, and both fold as Python does."""
+    from chatsieve.functions.patterns import fold, folded
+
+    texts = ["", "Plain TEXT_9", "İstanbul", "ſcum Σς", "ÉLAN", None]
+    df = frame([(t,) for t in texts], "t string").select("t", folded(F.col("t")).alias("f"))
+    assert "octet_length" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert all(r.f == (None if r.t is None else fold(r.t)) for r in df.collect())
+
+
+def test_a_long_substring_list_finds_words_of_every_length(frame):
+    from chatsieve.operators import matching
+
+    words = [f"w{i:03d}" + "x" * (i % 7) for i in range(150)] + ["w001xxxxxxxxy", "étés"]
+    texts = ["", "w0", "W000", "aw149xxz", "w148", "xw001xxxxxxxxY", "w001xxxxxxxx", "w009x", "L'ÉTÉS", None]
+    df = frame(list(enumerate(texts)), "id long, message string")
+    got = {r.id: r.flagged for r in rules.rule_flag(df, words, "substring").collect()}
+    assert got == {i: None if t is None else any(w in t.lower() for w in words) for i, t in enumerate(texts)}
+    assert "filter(" not in str(matching.holds_within(F.col("message"), words))  # no pass per length
