@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from chatsieve.operators import term_models
+from chatsieve.operators import forest, term_models
 from chatsieve.operators.evaluate import confusion_columns, score_columns
 from chatsieve.operators.features import (
     TABLE_ABOVE,
@@ -28,6 +28,7 @@ from chatsieve.operators.features import (
     term_counts,
     vocabulary_of,
 )
+from chatsieve.operators.forest import ForestModel
 from chatsieve.operators.sampling import stratified_folds
 from chatsieve.operators.skew import discard, join_lookup, settled, text_parts
 from chatsieve.operators.term_models import TermModel, Terms, fit_term_logistic, score_terms
@@ -35,6 +36,8 @@ from chatsieve.operators.term_models import TermModel, Terms, fit_term_logistic,
 # When the optimiser stops, and how many rows make a partition worth a task.
 TOLERANCE = 1e-4
 ROWS_PER_PARTITION = 20_000
+# From this many rows times terms on, a forest keeps only the terms that a text holds.
+FOREST_CELLS = 1 << 27
 # Ten values of C spaced evenly in the logarithm between 1e-4 and 1e4.
 C_GRID = tuple(float(c) for c in np.logspace(-4, 4, 10))
 
@@ -209,8 +212,13 @@ def fit_random_forest(
     seed: int = 42,
     text: str = "message",
     truth: str = "toxic",
-) -> PipelineModel:
-    features = fit_features(df, min_df, max_df, text=text)
+) -> PipelineModel | ForestModel:
+    """Spark's forest keeps a number per row and term. Rows and terms of which there are too many
+    for that give a forest by the same rules on the terms that each text holds."""
+    try:
+        features = fit_features(df, min_df, max_df, text=text, limit=max(1, FOREST_CELLS // max(1, df.count())))
+    except VocabularyTooLarge:
+        return forest.fit_forest(df, trees, depth, min_df, max_df, seed, text, truth)
     with prepared(df, features, truth) as (train, _):
         model = RandomForestClassifier(
             numTrees=trees, maxDepth=depth, seed=seed, labelCol="y", featuresCol="features"
@@ -238,30 +246,42 @@ def fit_multiclass(
     return PipelineModel(stages=[*features.stages, model])
 
 
-def score(df: DataFrame, model: PipelineModel | TermModel, threshold: float = 0.5, text: str = "message") -> DataFrame:
+def score(
+    df: DataFrame, model: PipelineModel | TermModel | ForestModel, threshold: float = 0.5, text: str = "message"
+) -> DataFrame:
     """Add (probability, pred) to every row; a map-only pass for a pipeline, a join for weights
     in a table. A missing text has neither."""
     if isinstance(model, TermModel):
         return score_terms(df, model, threshold, text)
+    if isinstance(model, ForestModel):
+        chance = F.when(F.col(text).isNotNull(), F.get("_chances", F.lit(1)))
+        return forest.forest_chances(df, model, text).select(
+            *df.columns, chance.alias("probability"), (chance > threshold).alias("pred")
+        )
     probability = F.when(F.col(text).isNotNull(), vector_to_array("probability")[1])
     return model.transform(df).select(
         *df.columns, probability.alias("probability"), (probability > threshold).alias("pred")
     )
 
 
-def class_chances(df: DataFrame, model: PipelineModel | TermModel, text: str = "message") -> DataFrame:
+def class_chances(df: DataFrame, model: PipelineModel | TermModel | ForestModel, text: str = "message") -> DataFrame:
     """Add the chance of every class of a multi-class model as ``chances``."""
     if isinstance(model, TermModel):
         return term_models.class_chances(df, model, text)
+    if isinstance(model, ForestModel):
+        return forest.forest_chances(df, model, text).withColumnRenamed("_chances", "chances")
     return model.transform(df).select(*df.columns, vector_to_array("probability").alias("chances"))
 
 
-def score_classes(df: DataFrame, model: PipelineModel | TermModel, text: str = "message") -> DataFrame:
+def score_classes(df: DataFrame, model: PipelineModel | TermModel | ForestModel, text: str = "message") -> DataFrame:
     """Add the most likely label of a multi-class model."""
     if isinstance(model, TermModel):
         margins = term_models.term_margins(df, model, text)
         best = F.array_position("_margin", F.array_max("_margin")) - 1
         return margins.select(*df.columns, best.cast("int").alias("pred_label"))
+    if isinstance(model, ForestModel):
+        best = F.array_position("_chances", F.array_max("_chances")) - 1
+        return forest.forest_chances(df, model, text).select(*df.columns, best.cast("int").alias("pred_label"))
     return model.transform(df).select(*df.columns, F.col("prediction").cast("int").alias("pred_label"))
 
 
