@@ -31,6 +31,9 @@ from chatsieve.operators.skew import join_lookup, settled, text_parts
 # per window, and no shuffle. A larger one is joined.
 ROW_LOCAL_WORDS = 20_000
 
+# Phrases of up to this many units are cut out of a text by a pattern.
+SHORT_PHRASE = 5
+
 HITS = "array<struct<at:int,k:int>>"
 # Groups of overlapping hits that are settled together.
 RUNS_AT_ONCE = 32
@@ -51,7 +54,10 @@ def n_units(word: str, mode: str) -> int:
 
 
 def listed_words(words: DataFrame) -> DataFrame:
-    """The distinct folded, trimmed and non-blank entries of a word table."""
+    """The distinct folded, trimmed and non-blank entries of a word table; one that ``as_list``
+    has written holds nothing else."""
+    if words in _long:
+        return words
     word = folded(F.regexp_replace("word", r"^[\s\x{85}\x{a0}]+|[\s\x{85}\x{a0}]+$", "")).alias("word")
     return words.select(word).filter(F.col("word") != "").distinct()
 
@@ -253,6 +259,33 @@ def all_windows(df: DataFrame, words: DataFrame, mode: str, text: str) -> tuple[
     return listed, windows.bound(folded(F.col(text)), of_units)
 
 
+def short_pieces(words: DataFrame, text: str) -> tuple[Column, DataFrame] | None:
+    """(the distinct words of a text and its windows of the sizes of the phrases in a word table; those
+    phrases). None if an entry begins or ends between words, or if phrases are long or many.
+
+    A pattern cuts out the words, and for each size the windows that begin at a word; nothing is
+    looked at unit by unit.
+    """
+    listed = listed_words(words).withColumn("k", F.size(unit_array(F.col("word"), "boundary")))
+    outer = ~(F.col("word").rlike(f"^{WORD_CHAR}") & F.col("word").rlike(f"{WORD_CHAR}$"))
+    sizes = listed.groupBy("k").agg(F.bool_or(outer).alias("outer"), F.count("*").alias("n")).orderBy("k").collect()
+    many = sum(r.n for r in sizes if r.k > 1) > ROW_LOCAL_WORDS
+    if not sizes or many or any(r.outer or r.k > SHORT_PHRASE for r in sizes):
+        return None
+
+    def cut_out(said: Column, k: int) -> Column:
+        if k == 1:
+            return F.regexp_extract_all(said, F.lit(WORD_CHAR + "+"), F.lit(0))
+        window = rf"(?=({WORD_CHAR}++(?:[^\p{{L}}\p{{N}}_]++{WORD_CHAR}++){{{k // 2}}})){WORD_CHAR}++"
+        return F.regexp_extract_all(said, F.lit(window), F.lit(1))
+
+    def of_text(said: Column) -> Column:
+        parts = [cut_out(said, r.k) for r in sizes]
+        return F.array_distinct(F.concat(*parts) if len(parts) > 1 else parts[0])
+
+    return F.transform(F.array(folded(F.col(text))), of_text)[0], listed.filter(F.col("k") > 1).select("word")
+
+
 def joined_hits(df: DataFrame, words: DataFrame, mode: str, text: str, id_col: str) -> DataFrame:
     """(id, at, k, word): every place of every entry of a word table of any size.
 

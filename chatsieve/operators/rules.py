@@ -98,13 +98,24 @@ def rule_flag(
     return with_flag(df, token_hits(df, listed, mode, text, id_col).select(id_col), text, id_col, out)
 
 
-def held_pieces(df: DataFrame, words: DataFrame, mode: str, text: str) -> Column:
-    """The distinct parts of a text that may be an entry of a word table: its words and, where
-    the table has phrases, windows of words; segments; or runs of characters."""
+def held_pieces(df: DataFrame, words: DataFrame, mode: str, text: str, *keep: str) -> DataFrame:
+    """(*keep, word): the distinct parts of each text that may be an entry of a word table: its words
+    and, where the table has phrases, windows of words; segments; or runs of characters."""
+    short = matching.short_pieces(words, text) if mode == "boundary" else None
     if mode in ("caps", "token"):
-        return F.array_distinct(pieces_of(F.col(text), mode))
-    _, windows = matching.all_windows(df, words, mode, text)
-    return F.array_distinct(F.transform(windows, lambda w: w["word"]))
+        pieces = F.array_distinct(pieces_of(F.col(text), mode))
+    elif short is not None:
+        pieces, phrases = short
+    else:
+        _, windows = matching.all_windows(df, words, mode, text)
+        pieces = F.array_distinct(F.transform(windows, lambda w: w["word"]))
+    # An outer explode: of an inner one the optimiser finds the parts again in a filter.
+    held = df.select(*keep, F.explode_outer(pieces).alias("word")).filter(F.col("word").isNotNull())
+    if short is None:
+        return held
+    marked = held.join(F.broadcast(phrases.withColumn("_phrase", F.lit(True))), "word", "left")
+    single = ~F.col("word").rlike(r"[^\p{L}\p{N}_]")
+    return marked.filter(F.col("_phrase").isNotNull() | single).select(*keep, "word")
 
 
 def token_hits(
@@ -118,7 +129,7 @@ def token_hits(
     """
     if mode == "substring":
         return matching.words_within(df, words, text, id_col)
-    pairs = df.select(id_col, F.explode(held_pieces(df, words, mode, text)).alias("word"))
+    pairs = held_pieces(df, words, mode, text, id_col)
     in_use = pairs.groupBy("word").count().join(listed_words(words), "word", "left_semi")
     return join_lookup(pairs, in_use, "word", "count", F.col(id_col)).select(id_col, "word")
 
@@ -259,18 +270,15 @@ def rule_scorecard(
     have any size."""
     listed = as_list(df, words)
     if isinstance(listed, DataFrame):
-        found, table = held_pieces(df, listed, "boundary", text), listed_words(listed)
+        held, table = held_pieces(df, listed, "boundary", text, truth), listed_words(listed)
     else:
         table = df.sparkSession.createDataFrame([(w,) for w in dict.fromkeys(map(fold, listed))], "word string")
         if all(map(is_single_token, listed)):
             found = F.array_intersect(pieces_of(F.col(text), "boundary"), literal_words(dict.fromkeys(map(fold, listed))))
         else:
             found = local_words(folded(F.col(text)), list(dict.fromkeys(map(fold, listed))), "boundary")
-    counted = (
-        df.select(F.explode(found).alias("word"), truth)
-        .groupBy("word")
-        .agg(F.count("*").alias("flagged"), F.count_if(F.col(truth)).alias("correct"))
-    )
+        held = df.select(F.explode(found).alias("word"), truth)
+    counted = held.groupBy("word").agg(F.count("*").alias("flagged"), F.count_if(F.col(truth)).alias("correct"))
     return table.join(counted, "word", "left").select(
         "word",
         F.coalesce("flagged", F.lit(0)).alias("flagged"),

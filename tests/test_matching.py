@@ -153,3 +153,23 @@ def test_runs_of_characters_are_looked_for_in_distinct_words(frame, monkeypatch)
     df = frame([(i, "some words again " * 20) for i in range(40)], "id int, message string")
     flags = rules.rule_flag(df, frame([("ords",), ("gai",), ("none",)], "word string"), "substring").collect()
     assert all(r.flagged for r in flags) and looked == [3]
+
+
+def test_short_phrases_are_cut_out_by_a_pattern(frame, monkeypatch):
+    """No window is looked for unit by unit, and every text is gone through once."""
+    texts = ["Bad dog, bad  dog bad", "a-b c a-b-c", "É o\nÉ O", "ΜΑΣ Σ x_1", None, "", "...", "bad", "x😀y x😀yz"]
+    df = frame([(i, t, i % 2 == 0) for i, t in enumerate(texts)], "id int, message string, toxic boolean")
+    words = ["bad", "bad dog", "dog bad", "a-b", "a-b-c", "é o", "μασ σ", "x_1", "x😀y", "none", "o\né"]
+    table = frame([(w,) for w in words], "word string")
+    monkeypatch.setattr(matching, "ROW_LOCAL_WORDS", 5 + 4)
+    want = {}
+    for entry in words:
+        hit = [i for i, t in enumerate(texts) if t and by_walk(t, [entry], "boundary")]
+        want[entry] = (len(hit), sum(i % 2 == 0 for i in hit))
+    monkeypatch.setattr(matching.Windows, "bound", lambda *_: pytest.fail("texts are gone through unit by unit"))
+    card = rules.rule_scorecard(df, table)
+    assert {r.word: (r.flagged, r.correct) for r in card.collect()} == want
+    plan = card._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(lambda") == 3  # words, phrases of two and of three words
+    flagged = {r.id: r.flagged for r in rules.rule_flag(df, table).collect()}
+    assert flagged == {i: None if t is None else any(by_walk(t, [w], "boundary") for w in words) for i, t in enumerate(texts)}

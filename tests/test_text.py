@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from chatsieve.functions.patterns import fold, folded
 from chatsieve.functions.text import FUNCTION_WORDS, language_of, normalised
 from chatsieve.operators import fuzzy, mining, tokens
 
@@ -127,3 +128,12 @@ def test_error_terms(frame):
     top = mining.error_terms(df, "fn", 1).first()
     assert (top.term, top.error_texts, top.other_texts) == ("kys", 4, 0)
     assert mining.error_terms(df, "fp", 5).count() == 0
+
+
+def test_fold_of_every_letter_in_any_company(spark):
+    """Texts whose fold is their lower case, and those with a letter for which it is not."""
+    letters = [c for c in map(chr, range(0x80, 0x600)) if c.isalpha() and len(c.lower()) == 1]
+    texts = [p.format(c) for c in letters for p in ("{}", "É{}b’ A", "AΣ {}", "İ{}")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for t, f in df.select("t", folded(F.col("t"))).collect():
+        assert f == fold(t) and len(f) == len(t), (t, f)
