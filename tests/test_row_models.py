@@ -82,6 +82,16 @@ def test_too_many_terms_and_rows_without_class(rows, monkeypatch):
         term_models.fit_on_rows(rows.withColumn("toxic", F.lit(None)), 1.0, term_models.Terms(), (1, 1), "word", 5, "message", "toxic", 1e-8)
 
 
+def test_the_search_is_not_cut_short(monkeypatch):
+    from chatsieve.plans import queries
+
+    asked = {}
+    monkeypatch.setattr(queries, "train_rows", lambda spark, d: None)
+    monkeypatch.setattr(models, "fit_logistic_cv", lambda rows, **options: (None, asked.update(options)))
+    queries.QUERIES["fit_logistic_cv"](None, "")
+    assert not set(asked) & {"max_iter", "k", "grid", "tol", "max_df", "min_df"}
+
+
 def test_terms_of_one_hash_are_told_apart():
     known = row_models.Hashed(np.array([5, -3, 9]), np.array([1, 2, 3], np.int32))
     assert known.places(np.array([9, 5, 5, 7, -3]), np.array([3, 1, 8, 1, 2], np.int32)).tolist() == [2, 1, -1, -1, 0]
