@@ -14,6 +14,7 @@ from chatsieve.functions.text import text_key
 from chatsieve.operators.evaluate import band_columns, rate_verdict
 from chatsieve.operators.models import score
 from chatsieve.operators.rules import censor, rule_flag
+from chatsieve.operators.term_models import TermModel
 from chatsieve.session import scratch_path
 
 
@@ -24,8 +25,8 @@ def stream_moderate(
     return censor(rule_flag(stream, words, mode, text), words, mode, text=text)
 
 
-def stream_score(stream: DataFrame, model: PipelineModel) -> DataFrame:
-    """The same with a fitted model in place of a word list."""
+def stream_score(stream: DataFrame, model: PipelineModel | TermModel) -> DataFrame:
+    """The same with a fitted model in place of a word list, also one whose weights are a table."""
     return score(stream, model)
 
 

@@ -100,3 +100,23 @@ def test_a_text_that_everybody_sends_is_combined_before_the_shuffle(spark):
     )
     kept = moderation.first_copies(many.withColumn("text_key", F.sha2("text", 256)))
     assert kept.count() <= 8 and kept.agg(F.max(F.unix_timestamp("ts"))).first()[0] == 976
+
+
+def test_a_model_whose_weights_are_a_table_scores_a_stream(spark, frame, tmp_path, monkeypatch):
+    from chatsieve.operators import features, models, term_models
+
+    said = [("you idiot", True), ("hello there you", False), ("idiot idiot fool", True), ("", False), (None, False)] * 3
+    rows = [(i, at(0, i), "en", text) for i, (text, _) in enumerate(said)]
+    path = folder(frame, tmp_path, [rows[:7], rows[7:]])
+    labelled = frame([(i, t, y) for i, (t, y) in enumerate(said)], "id int, message string, toxic boolean")
+    monkeypatch.setattr(features, "MAX_VOCABULARY", 2)
+    for k, model in enumerate([models.fit_naive_bayes(labelled, 1.0), models.fit_logistic(labelled)]):
+        assert isinstance(model, term_models.TermModel)
+        stream = stream_of(spark, path).select(F.col("msg_id").alias("id"), F.col("text").alias("message"))
+        live = moderation.drain(moderation.stream_score(stream, model).select("id", "probability"), f"t5{k}")
+        got = {r.id: r.probability for r in live.collect()}
+        with monkeypatch.context() as joined:
+            joined.setattr(term_models, "LOOKED_UP", 0)
+            want = {r.id: r.probability for r in models.score(labelled, model).collect()}
+        assert got.keys() == want.keys() and len(got) == 15
+        assert all((got[i] is None) == (want[i] is None) and (want[i] is None or abs(got[i] - want[i]) < 1e-12) for i in want)
