@@ -173,3 +173,39 @@ def test_short_phrases_are_cut_out_by_a_pattern(frame, monkeypatch):
     assert plan.count("regexp_extract_all(lambda") == 3  # words, phrases of two and of three words
     flagged = {r.id: r.flagged for r in rules.rule_flag(df, table).collect()}
     assert flagged == {i: None if t is None else any(by_walk(t, [w], "boundary") for w in words) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("mode", ["boundary", "substring"])
+def test_long_lists_are_looked_up_without_a_shuffle(frame, monkeypatch, mode):
+    import random
+
+    from chatsieve.operators import rules
+
+    rng = random.Random(4)
+    pool = ["a", "bad", "Day", "ö", "x1", "no", "über"]
+    texts = [rng.choice(["", " ", "- "]) + rng.choice([" ", ", ", "  "]).join(rng.choice(pool) for _ in range(rng.randrange(12))) for _ in range(60)]
+    rows = frame([(i, t) for i, t in enumerate([*texts, None, ""])], "id int, message string")
+    words = frame([(w,) for w in ["bad day", "day", "a bad", "a, bad, no", "no", "ÜBER", "x1 a", "ay", "nobody"]], "word string")
+    monkeypatch.setattr(matching, "ROW_LOCAL_WORDS", 3)
+
+    def both():
+        return rules.censor(rows, words, mode, per_char=True), rules.explain_match(rows, words, mode)
+
+    looked_up = both()
+    for table in looked_up:
+        assert "Exchange" not in table._jdf.queryExecution().executedPlan().toString()
+    got = [sorted(map(tuple, t.collect()), key=str) for t in looked_up]
+    monkeypatch.setattr(matching, "HASHED_ENTRIES", 0)
+    joined = both()
+    assert [t.schema for t in looked_up] == [t.schema for t in joined]
+    assert got == [sorted(map(tuple, t.collect()), key=str) for t in joined]
+    assert len(got[1]) > 60
+
+
+def test_hits_that_overlap_are_taken_from_the_left():
+    import numpy as np
+
+    row, at, k = np.array([0, 0, 0, 0, 1, 1]), np.array([4, 0, 2, 0, 1, 0]), np.array([1, 1, 3, 3, 1, 1])
+    kept = matching.without_overlap(row, at, k)
+    assert [(row[i], at[i], k[i]) for i in kept] == [(0, 0, 3), (0, 4, 1), (1, 0, 1), (1, 1, 1)]
+    assert not len(matching.without_overlap(row[:0], at[:0], k[:0]))

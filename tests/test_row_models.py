@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chatsieve.operators import features, models, row_models, term_models
+from chatsieve.operators import features, hashed, models, row_models, term_models
 from chatsieve.operators.sampling import stratified_split
 from chatsieve.operators.term_models import TermModel
 
@@ -93,6 +93,6 @@ def test_the_search_is_not_cut_short(monkeypatch):
 
 
 def test_terms_of_one_hash_are_told_apart():
-    known = row_models.Hashed(np.array([5, -3, 9]), np.array([1, 2, 3], np.int32))
+    known = hashed.Hashed(np.array([5, -3, 9]), np.array([1, 2, 3], np.int32))
     assert known.places(np.array([9, 5, 5, 7, -3]), np.array([3, 1, 8, 1, 2], np.int32)).tolist() == [2, 1, -1, -1, 0]
-    assert not row_models.Hashed(np.array([5, 5]), np.array([1, 2], np.int32)).unique
+    assert not hashed.Hashed(np.array([5, 5]), np.array([1, 2], np.int32)).unique

@@ -110,7 +110,7 @@ def test_a_model_whose_weights_are_a_table_scores_a_stream(spark, frame, tmp_pat
     path = folder(frame, tmp_path, [rows[:7], rows[7:]])
     labelled = frame([(i, t, y) for i, (t, y) in enumerate(said)], "id int, message string, toxic boolean")
     monkeypatch.setattr(features, "MAX_VOCABULARY", 2)
-    for k, model in enumerate([models.fit_naive_bayes(labelled, 1.0), models.fit_logistic(labelled)]):
+    for k, model in enumerate([models.fit_naive_bayes(labelled, 1.0), models.fit_logistic(labelled, ngram=(1, 2))]):
         assert isinstance(model, term_models.TermModel)
         stream = stream_of(spark, path).select(F.col("msg_id").alias("id"), F.col("text").alias("message"))
         live = moderation.drain(moderation.stream_score(stream, model).select("id", "probability"), f"t5{k}")
