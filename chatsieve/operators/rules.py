@@ -206,19 +206,33 @@ def explain_match(
     parts = matching.cut(
         F.col(text), F.col("_hits"), mode, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("matched"))
     )
-    if "start" in marked.schema["_hits"].dataType.elementType.names:
-        # Looked-up hits know their places: nothing is shuffled.
-        both = F.arrays_zip(parts["matched"].alias("matched"), F.col("_hits")["start"].alias("start"))
-        hits = marked.select(id_col, F.posexplode(both).alias("hit_no", "hit"))
-        start, width = F.col("hit.start").cast("long"), F.length("hit.matched")
-        return hits.select(
-            id_col,
-            (F.col("hit_no") + 1).alias("hit_no"),
-            folded(F.col("hit.matched")).alias("rule"),
-            F.col("hit.matched").alias("matched"),
-            (start + 1).alias("start_pos"),
-            (start + width).alias("end_pos"),
-        )
+    if "start" not in marked.schema["_hits"].dataType.elementType.names:
+        return _summed_positions(marked, parts, id_col)
+    # Looked-up hits know their places: nothing is shuffled but rows of an id that repeats.
+    again = df.groupBy(id_col).agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col(id_col).alias("_again"))
+    if again.isEmpty():
+        return _known_positions(marked, parts, id_col)
+    repeats = F.col(id_col).eqNullSafe(F.col("_again"))
+    once, several = (marked.join(again, repeats, how) for how in ("left_anti", "left_semi"))
+    return _known_positions(once, parts, id_col).unionByName(_summed_positions(several, parts, id_col))
+
+
+def _known_positions(marked: DataFrame, parts: Column, id_col: str) -> DataFrame:
+    both = F.arrays_zip(parts["matched"].alias("matched"), F.col("_hits")["start"].alias("start"))
+    hits = marked.select(id_col, F.posexplode(both).alias("hit_no", "hit"))
+    start, width = F.col("hit.start").cast("long"), F.length("hit.matched")
+    return hits.select(
+        id_col,
+        (F.col("hit_no") + 1).alias("hit_no"),
+        folded(F.col("hit.matched")).alias("rule"),
+        F.col("hit.matched").alias("matched"),
+        (start + 1).alias("start_pos"),
+        (start + width).alias("end_pos"),
+    )
+
+
+def _summed_positions(marked: DataFrame, parts: Column, id_col: str) -> DataFrame:
+    """Positions by a running sum over the hits of an id; rows that share one are summed together."""
     hits = marked.select(id_col, F.posexplode(parts).alias("hit_no", "hit")).select(
         id_col,
         (F.col("hit_no") + 1).alias("hit_no"),

@@ -202,6 +202,16 @@ def test_long_lists_are_looked_up_without_a_shuffle(frame, monkeypatch, mode):
     assert len(got[1]) > 60
 
 
+def test_positions_of_ids_that_repeat_are_as_before(frame, monkeypatch):
+    from chatsieve.operators import rules
+
+    rows = frame([(1, "ab cd"), (2, "x ab"), (2, "x ab")], "id int, message string")
+    words = frame([("ab",), ("cd",), ("x ab",), ("no",)], "word string")
+    monkeypatch.setattr(matching, "ROW_LOCAL_WORDS", 3)
+    found = rules.explain_match(rows, words).select("id", "matched", "start_pos", "end_pos").collect()
+    assert sorted(map(tuple, found)) == [(1, "ab", 1, 2), (1, "cd", 4, 5), (2, "x ab", 5, 8), (2, "x ab", 5, 8)]
+
+
 def test_hits_that_overlap_are_taken_from_the_left():
     import numpy as np
 
